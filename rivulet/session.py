@@ -69,3 +69,30 @@ def ensure_state_store(spark: SparkSession) -> None:
     """transformWithStateInPandas needs the RocksDB state store provider."""
     key = "spark.sql.streaming.stateStore.providerClass"
     spark.conf.set(key, BASE_CONF[key])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rivulet`` importable in Python workers (state processors are
+    pickled by reference).  Zips the package into the shared scratch folder
+    and registers it with ``addPyFile`` once per SparkContext, as
+    ``--py-files`` would at submit time."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = scratch_dir(spark, "pyfiles")
+    local = out[len("file:"):] if out.startswith("file:") else out
+    zpath = os.path.join(local, "rivulet.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)

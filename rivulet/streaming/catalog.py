@@ -18,7 +18,7 @@ from rivulet.operators.joins import join_dimension
 from rivulet.operators.tables import latest_per_key
 from rivulet.operators.topk import top_k_by_volume
 from rivulet.operators.cogroup import ids_text
-from rivulet.session import ensure_state_store
+from rivulet.session import ensure_state_store, ship_package
 from rivulet.sources import fixtures as V
 from rivulet.sources.tables import read_table
 from rivulet.streaming.harness import (file_stream, read_batches, run_append, run_update,
@@ -29,6 +29,7 @@ N_CHUNKS = 4
 WATERMARK_DELAY = "24 hours"
 SESSION_GAP = "2 days"
 TOPK_SHARDS = 16
+REWARD_BUCKETS = 32
 END_MARKER = "~end"
 
 
@@ -87,6 +88,7 @@ def q_topk_stream(spark, d):
     symbols spread over ``TOPK_SHARDS`` state keys; each shard emits its own
     top 5 and the read-back merges the latest shard lists."""
     ensure_state_store(spark)
+    ship_package(spark)
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
     path = stage_chunks(spark, li, F.col("l_orderkey"), N_CHUNKS, "lineitem")
     s = file_stream(spark, path, li.schema)
@@ -108,12 +110,14 @@ def q_topk_stream(spark, d):
 
 def q_reward_stream(spark, d):
     ensure_state_store(spark)
+    ship_package(spark)
     pur = V.v_purchase(spark, d).select(
         "customer_id", P.java_int(P.amount()).cast("long").alias("points"),
         F.datediff(F.to_date("purchase_date"), F.lit("1970-01-01").cast("date")).alias("day"))
     path = stage_chunks(spark, pur, F.col("day"), N_CHUNKS, "purchases")
     s = file_stream(spark, path, pur.schema)
-    acc = s.groupBy("customer_id").transformWithStateInPandas(
+    s = s.withColumn("bucket", F.pmod(F.xxhash64("customer_id"), F.lit(REWARD_BUCKETS)).cast("int"))
+    acc = s.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=RewardAccumulator(), outputStructType=REWARD_OUT, outputMode="Update",
         timeMode="None")
     out = run_update(spark, acc, "rewards")

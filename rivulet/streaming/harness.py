@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,13 +23,23 @@ from rivulet.session import scratch_dir
 RUN_TIMEOUT_SECONDS = 1800
 
 
+FILES_PER_CHUNK = 2
+
+
 def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, n_chunks: int, name: str,
-                 tail: DataFrame | None = None) -> str:
+                 tail: DataFrame | None = None, files_per_chunk: int = FILES_PER_CHUNK) -> str:
     """Write ``df`` as ``n_chunks`` ordered appends (ranges of ``order``),
-    then ``tail`` (e.g. an end-of-input marker) as the last one."""
+    then ``tail`` (e.g. an end-of-input marker) as the last one.
+
+    Each chunk is spread round-robin over exactly ``files_per_chunk`` files
+    (no empty files), so ``file_stream(max_files=files_per_chunk)`` turns one
+    chunk into one micro-batch.  Cut points come from ``approxQuantile``
+    (n_chunks - 1 numbers reach the driver)."""
     path = scratch_dir(spark, f"stream-in-{name}")
-    keyed = df.withColumn("_o", order)
-    cuts = keyed.approxQuantile("_o", [i / n_chunks for i in range(1, n_chunks)], 0.0) if n_chunks > 1 else []
+    # Staging scans the input once per chunk; keep it for the duration.
+    keyed = df.withColumn("_o", order).persist(StorageLevel.MEMORY_AND_DISK)
+    probs = [i / n_chunks for i in range(1, n_chunks)]
+    cuts = sorted(set(keyed.approxQuantile("_o", probs, 0.001))) if n_chunks > 1 else []
     bounds = [None, *cuts, None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = F.lit(True)
@@ -36,13 +47,14 @@ def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, n_chunks: in
             cond = cond & (F.col("_o") > F.lit(lo))
         if hi is not None:
             cond = cond & (F.col("_o") <= F.lit(hi))
-        keyed.where(cond).drop("_o").write.mode("append").parquet(path)
+        keyed.where(cond).drop("_o").repartition(files_per_chunk).write.mode("append").parquet(path)
+    keyed.unpersist()
     if tail is not None:
-        tail.select(*df.columns).write.mode("append").parquet(path)
+        tail.select(*df.columns).repartition(files_per_chunk).write.mode("append").parquet(path)
     return path
 
 
-def file_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema, max_files: int = FILES_PER_CHUNK) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .parquet(path))
 
