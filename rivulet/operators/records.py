@@ -107,12 +107,18 @@ def json_encode(df: DataFrame, key: str, value_cols: list[str] | None = None) ->
 
 
 def json_decode(df: DataFrame, schema, value: str = "value") -> DataFrame:
-    """Typed decode; a malformed record yields nulls (PERMISSIVE) and is
-    flagged in ``_malformed`` instead of failing the job."""
-    parsed = F.from_json(F.col(value), schema)
+    """Typed decode; a malformed record yields null fields (PERMISSIVE) and
+    is flagged in ``_malformed`` through the corrupt-record column instead of
+    failing the job."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    corrupt = "_corrupt_record"
+    with_corrupt = StructType([*schema.fields, StructField(corrupt, StringType())])
+    parsed = F.from_json(F.col(value), with_corrupt, {"columnNameOfCorruptRecord": corrupt})
+    keep = [c for c in df.columns if c != value]
     return (df.withColumn("_v", parsed)
-              .withColumn("_malformed", F.col("_v").isNull() & F.col(value).isNotNull())
-              .select(*[c for c in df.columns if c != value], "_v.*", "_malformed"))
+              .select(*keep, *[F.col(f"_v.{f.name}").alias(f.name) for f in schema.fields],
+                      F.col(f"_v.{corrupt}").isNotNull().alias("_malformed")))
 
 
 def audit_lines(records: DataFrame) -> DataFrame:

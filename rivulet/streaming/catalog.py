@@ -72,14 +72,25 @@ def q_session_stream(spark, d):
         F.lit(END_MARKER).alias("symbol"), F.lit(END_MARKER).alias("industry"),
         F.timestamp_add("DAY", F.lit(3650), F.col("t")).alias("ts"))
     path = stage_chunks(spark, txn, F.col("event_id"), N_CHUNKS, "txn", tail=end)
-    s = to_event_time(file_stream(spark, path, txn.schema), "ts").withWatermark("ts", WATERMARK_DELAY)
-    sessions = (s.groupBy("customer_id", "symbol", "industry", F.session_window("ts", SESSION_GAP))
-                 .agg(F.min("ts").alias("session_start"), F.max("ts").alias("session_end"),
-                      F.count(F.lit(1)).alias("n"))
-                 .drop("session_window"))
+    sessions = session_counts(file_stream(spark, path, txn.schema))
     out = run_append(spark, sessions, "sessions")
-    back = spark.read.parquet(out).where(F.col("customer_id") != END_MARKER)
-    return back.select("customer_id", "symbol", "industry", _ntz("session_start"), _ntz("session_end"), "n")
+    return read_sessions(spark, out)
+
+
+def session_counts(stream: DataFrame, keys=("customer_id", "symbol", "industry"),
+                   gap: str = SESSION_GAP, delay: str = WATERMARK_DELAY) -> DataFrame:
+    """Streaming session count per key: event time ``ts``, watermark
+    ``delay``, append mode (each session emitted once, when closed)."""
+    s = to_event_time(stream, "ts").withWatermark("ts", delay)
+    return (s.groupBy(*keys, F.session_window("ts", gap))
+             .agg(F.min("ts").alias("session_start"), F.max("ts").alias("session_end"),
+                  F.count(F.lit(1)).alias("n"))
+             .drop("session_window"))
+
+
+def read_sessions(spark: SparkSession, out: str, keys=("customer_id", "symbol", "industry")) -> DataFrame:
+    back = spark.read.parquet(out).where(F.col(keys[0]) != END_MARKER)
+    return back.select(*keys, _ntz("session_start"), _ntz("session_end"), "n")
 
 
 def q_topk_stream(spark, d):

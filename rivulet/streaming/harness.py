@@ -27,21 +27,25 @@ FILES_PER_CHUNK = 2
 
 
 def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, n_chunks: int, name: str,
-                 tail: DataFrame | None = None, files_per_chunk: int = FILES_PER_CHUNK) -> str:
+                 tail: DataFrame | None = None, files_per_chunk: int = FILES_PER_CHUNK,
+                 sequence: list[int] | None = None, path: str | None = None) -> str:
     """Write ``df`` as ``n_chunks`` ordered appends (ranges of ``order``),
     then ``tail`` (e.g. an end-of-input marker) as the last one.
 
     Each chunk is spread round-robin over exactly ``files_per_chunk`` files
     (no empty files), so ``file_stream(max_files=files_per_chunk)`` turns one
     chunk into one micro-batch.  Cut points come from ``approxQuantile``
-    (n_chunks - 1 numbers reach the driver)."""
-    path = scratch_dir(spark, f"stream-in-{name}")
+    (n_chunks - 1 numbers reach the driver).  ``sequence`` gives the order
+    in which chunks are appended (default: ascending; tests use it to make
+    late data); ``path`` appends to an existing staging folder."""
+    path = path or scratch_dir(spark, f"stream-in-{name}")
     # Staging scans the input once per chunk; keep it for the duration.
     keyed = df.withColumn("_o", order).persist(StorageLevel.MEMORY_AND_DISK)
     probs = [i / n_chunks for i in range(1, n_chunks)]
     cuts = sorted(set(keyed.approxQuantile("_o", probs, 0.001))) if n_chunks > 1 else []
     bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
+    ranges = list(zip(bounds[:-1], bounds[1:]))
+    for lo, hi in (ranges[i] for i in (sequence if sequence is not None else range(len(ranges)))):
         cond = F.lit(True)
         if lo is not None:
             cond = cond & (F.col("_o") > F.lit(lo))
