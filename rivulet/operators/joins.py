@@ -40,18 +40,19 @@ def interval_join(left: DataFrame, right: DataFrame, key: tuple[str, str],
     once and a key's rows are only compared within neighbouring buckets.
 
     ``how``: inner, left, or full.  Full adds the right rows that matched no
-    left row (found by an anti-join on ``right_id``).
+    left row (found by an anti-join on ``right_id``).  On streams (inner or
+    left) both sides need watermarks on their time columns; the range in the
+    condition bounds the join state.
     """
     lk, rk = key
     lt, rt = ts
     lo, hi = int(lower_seconds * 1_000_000), int(upper_seconds * 1_000_000)
     width = max(hi - lo, 1)
-    lb = left.withColumn("_lb", F.floor((epoch_micros(lt) + F.lit(lo)) / F.lit(width)))
-    rb0 = F.floor(epoch_micros(rt) / F.lit(width))
+    lb = left.withColumn("_lb", F.floor((_micros(left, lt) + F.lit(lo)) / F.lit(width)))
+    rb0 = F.floor(_micros(right, rt) / F.lit(width))
     rb = right.withColumn("_rb", F.explode(F.array(rb0, rb0 - 1)))
     cond = ((F.col(lk) == F.col(rk)) & (F.col("_lb") == F.col("_rb"))
-            & (F.col(rt) >= F.timestamp_add("MICROSECOND", F.lit(lo), F.col(lt)))
-            & (F.col(rt) <= F.timestamp_add("MICROSECOND", F.lit(hi), F.col(lt))))
+            & (F.col(rt) >= _shift(lt, lo)) & (F.col(rt) <= _shift(lt, hi)))
     if how == "inner":
         return lb.join(rb, cond, "inner").drop("_lb", "_rb")
     left_res = lb.join(rb, cond, "left").drop("_lb", "_rb")
@@ -66,6 +67,23 @@ def interval_join(left: DataFrame, right: DataFrame, key: tuple[str, str],
     return left_res.unionByName(unmatched, allowMissingColumns=True)
 
 
+def _shift(col: str, micros: int) -> Column:
+    """``col + INTERVAL`` (the form a stream-stream join reads as a time range)."""
+    if micros == 0:
+        return F.col(col)
+    return F.col(col) + F.expr(f"INTERVAL '{micros / 1_000_000:.6f}' SECOND")
+
+
+def _micros(df: DataFrame, col: str) -> Column:
+    """Epoch microseconds of a TIMESTAMP_NTZ (batch tables) or TIMESTAMP
+    (event-time column of a watermarked stream)."""
+    from pyspark.sql.types import TimestampType
+
+    if isinstance(df.schema[col].dataType, TimestampType):
+        return F.unix_micros(F.col(col))
+    return epoch_micros(col)
+
+
 def pair_purchases(joined: DataFrame, a: dict, b: dict) -> DataFrame:
     """Combine two purchases where either side may be missing: the id comes
     from the first present side, items are the present items, the total adds

@@ -169,6 +169,7 @@ from (select event_id, cast(user_id % 4 as int) "partition", event_id "offset",
     "correlate_purchases_inner": _correlate("inner"),
     "correlate_purchases_left": _correlate("left"),
     "correlate_purchases_full": _correlate("full"),
+    "correlate_purchases_stream": _correlate("left"),
     "cogroup_events": """with t as (
   select user_id key, ts, event_id rid, case event_type when 'click' then 'a' else 'b' end side
   from events where event_type in ('click', 'purchase')),
@@ -206,3 +207,5 @@ r as (select *, cast(sum(batch_completed) over (partition by "partition" order b
 select *, cast(floor((restored_so_far * 20000 + total_to_restore) / (total_to_restore * 2)) as double) / 100.0
   as percent_complete from r""",
 }
+
+SQL["event_time_repair_stream"] = SQL["event_time_repair"]

@@ -23,7 +23,10 @@ from rivulet.sources import fixtures as V
 from rivulet.sources.tables import read_table
 from rivulet.streaming.harness import (file_stream, read_batches, run_append, run_update,
                                        stage_chunks, to_event_time)
-from rivulet.streaming.state import REWARD_OUT, TOP_OUT, RewardAccumulator, ShardTopK
+from rivulet.functions.timecols import epoch_millis
+from rivulet.operators.joins import interval_join, pair_purchases
+from rivulet.streaming.state import (REPAIR_OUT, REWARD_OUT, TOP_OUT, PartitionTime, RewardAccumulator,
+                                     ShardTopK)
 
 N_CHUNKS = 4
 WATERMARK_DELAY = "24 hours"
@@ -163,6 +166,61 @@ def q_cogroup_stream(spark, d):
                        ids_text("ids_a").alias("click_ids"), ids_text("ids_b").alias("purchase_ids"))
 
 
+def q_correlate_purchases_stream(spark, d):
+    """Stream-stream interval join (left outer): a view and the same user's
+    purchases within 6 hours after it.  Unmatched views are emitted once the
+    watermark passes view time + 6 h; the end-of-input marker (one view and
+    one purchase) moves it past every real row."""
+    _utc(spark)
+    ev = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = ev.where(F.col("event_type").isin("view", "purchase"))
+    last = ev.agg(F.max("event_id").alias("m"), F.max("ts").alias("t"))
+    end = last.select(F.inline(F.array(*[
+        F.struct((F.col("m") + i + 1).alias("event_id"),
+                 F.timestamp_add("DAY", F.lit(3650), F.col("t")).alias("ts"),
+                 F.lit(-1).cast("long").alias("user_id"), F.lit(kind).alias("event_type"),
+                 F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
+        for i, kind in enumerate(["view", "purchase"])])))
+    path = stage_chunks(spark, ev, F.col("event_id"), N_CHUNKS, "pairs", tail=end)
+    s = to_event_time(file_stream(spark, path, ev.schema), "ts")
+    left = (s.where(F.col("event_type") == "view")
+             .select(F.col("event_id").alias("l_id"), F.col("ts").alias("l_ts"), F.col("user_id").alias("l_user"),
+                     F.col("value").alias("l_value"), F.col("props").alias("l_item"))
+             .withWatermark("l_ts", WATERMARK_DELAY))
+    right = (s.where(F.col("event_type") == "purchase")
+              .select(F.col("event_id").alias("r_id"), F.col("ts").alias("r_ts"), F.col("user_id").alias("r_user"),
+                      F.col("value").alias("r_value"), F.col("props").alias("r_item"))
+              .withWatermark("r_ts", WATERMARK_DELAY))
+    j = interval_join(left, right, ("l_user", "r_user"), ("l_ts", "r_ts"), 0, 6 * 3600, how="left")
+    out = run_append(spark, j.drop("_lb", "_rb"), "pairs")
+    back = spark.read.parquet(out).where(F.col("l_user") != -1)
+    back = (back.withColumn("l_ts", F.col("l_ts").cast("timestamp_ntz"))
+                .withColumn("r_ts", F.col("r_ts").cast("timestamp_ntz"))
+                .withColumn("l_user", F.col("l_user").cast("string"))
+                .withColumn("r_user", F.col("r_user").cast("string")))
+    res = pair_purchases(back, {"customer": "l_user", "item": "l_item", "price": "l_value", "ts": "l_ts"},
+                         {"customer": "r_user", "item": "r_item", "price": "r_value", "ts": "r_ts"})
+    return res.withColumn("items_purchased", F.array_join("items_purchased", "|"))
+
+
+def q_event_time_repair_stream(spark, d):
+    """Invalid record times replaced by the partition time kept in state,
+    one state key per input partition, in offset order across batches."""
+    ensure_state_store(spark)
+    ship_package(spark)
+    ev = read_table(spark, d, "events", "event_id", "user_id", "ts")
+    rec = ev.select("event_id", (F.col("user_id") % 4).cast("int").alias("partition"),
+                    F.col("event_id").alias("offset"),
+                    F.when(F.col("event_id") % 7 == 0, F.lit(-1).cast("long"))
+                     .otherwise(epoch_millis("ts")).alias("ts_ms"))
+    path = stage_chunks(spark, rec, F.col("offset"), N_CHUNKS, "repair")
+    s = file_stream(spark, path, rec.schema)
+    fixed = s.groupBy("partition").transformWithStateInPandas(
+        statefulProcessor=PartitionTime(), outputStructType=REPAIR_OUT, outputMode="Append", timeMode="None")
+    out = run_append(spark, fixed, "repair")
+    return spark.read.parquet(out).select(*[f.name for f in REPAIR_OUT.fields])
+
+
 STREAM_QUERIES = {
     "source_append": q_source_append,
     "changelog_stream": q_changelog_stream,
@@ -170,4 +228,6 @@ STREAM_QUERIES = {
     "topk_stream": q_topk_stream,
     "reward_stream": q_reward_stream,
     "cogroup_stream": q_cogroup_stream,
+    "correlate_purchases_stream": q_correlate_purchases_stream,
+    "event_time_repair_stream": q_event_time_repair_stream,
 }

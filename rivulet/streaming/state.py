@@ -122,3 +122,39 @@ class RewardAccumulator(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+REPAIR_OUT = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("ts_ms", T.LongType()),
+    T.StructField("event_ms", T.LongType()),
+    T.StructField("repaired", T.BooleanType()),
+])
+
+
+class PartitionTime(StatefulProcessor):
+    """Per input partition: the highest valid timestamp seen so far.  A
+    record with a negative timestamp gets that partition time (null before
+    any valid one).  Records of a batch are taken in offset order."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.high = handle.getValueState("high", "ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("offset", kind="stable")
+        start = int(self.high.get()[0]) if self.high.exists() else None
+        valid = batch["ts_ms"].where(batch["ts_ms"] >= 0)
+        running = valid.cummax().ffill()
+        if start is not None:
+            running = running.fillna(start).clip(lower=start)
+        event_ms = batch["ts_ms"].where(batch["ts_ms"] >= 0, running)
+        if running.notna().any():
+            self.high.update((int(running.max()),))
+        yield pd.DataFrame({"event_id": batch["event_id"], "partition": batch["partition"],
+                            "offset": batch["offset"], "ts_ms": batch["ts_ms"],
+                            "event_ms": event_ms.astype("Int64"), "repaired": batch["ts_ms"] < 0})
+
+    def close(self) -> None:
+        pass
