@@ -14,12 +14,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def epoch_millis(ts: Column | str) -> Column:
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), _c(ts))
+def epoch_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ, computed from
+    its date and time-of-day fields, so no session time zone is involved."""
+    ts = _c(ts)
+    day_us = F.unix_date(F.to_date(ts)).cast("long") * F.lit(86_400_000_000)
+    tod_us = ((F.hour(ts) * 3600 + F.minute(ts) * 60).cast("long") * F.lit(1_000_000)
+              + (F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("long"))
+    return day_us + tod_us
 
 
-def epoch_micros(ts: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(ts))
+def epoch_millis(ts: Column | str) -> Column:
+    """Milliseconds since the epoch, truncated (floor) like a millisecond clock."""
+    return F.floor(epoch_micros(ts) / F.lit(1000)).cast("long")
 
 
 def from_epoch_millis(ms: Column | str) -> Column:

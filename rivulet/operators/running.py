@@ -28,7 +28,8 @@ def running_aggregate(df: DataFrame, keys: list[str], bucket: Column, order: lis
     local_w = (Window.partitionBy(*keys, "_bucket").orderBy(*order)
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.withColumn("_local", agg("_val").over(local_w))
-    totals = b.groupBy(*keys, "_bucket").agg(agg("_val").alias("_btotal"))
+    # Bucket totals from the same (key, bucket) partitioning: no second scan.
+    totals = local.groupBy(*keys, "_bucket").agg(agg("_val").alias("_btotal"))
     prior_w = (Window.partitionBy(*keys).orderBy("_bucket")
                      .rowsBetween(Window.unboundedPreceding, -1))
     prior = totals.select(*keys, "_bucket", agg("_btotal").over(prior_w).alias("_prior"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.timecols import epoch_micros
 
 
-def _islands(df: DataFrame, w: Window, start_us: str, prev_end_us: Column, gap_us: int) -> Column:
+def _new_session(start_us: str, prev_end_us: Column, gap_us: int) -> Column:
     return F.when(prev_end_us.isNull() | ((F.col(start_us) - prev_end_us) > F.lit(gap_us)), 1).otherwise(0)
 
 
@@ -33,25 +33,26 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: int,
            .select(*keys, F.col(ts).alias("_ts"))
            .withColumn("_us", epoch_micros("_ts"))
            .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us))))
+    # 1. local sessions inside each (key, bucket)
     w = Window.partitionBy(*keys, "_b").orderBy("_us")
-    run = Window.partitionBy(*keys, "_b").orderBy("_us").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_new", _islands(d, w, "_us", F.lag("_us").over(w), gap_us))
-    d = d.withColumn("_sid", F.sum("_new").over(run))
+    d = d.withColumn("_new", _new_session("_us", F.lag("_us").over(w), gap_us))
+    d = d.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     local = (d.groupBy(*keys, "_b", "_sid")
               .agg(F.min("_ts").alias("session_start"), F.max("_ts").alias("session_end"),
                    F.min("_us").alias("_s"), F.max("_us").alias("_e"),
                    F.count(F.lit(1)).alias("n")))
     local = local.withColumn("_last", F.max("_sid").over(Window.partitionBy(*keys, "_b")))
+    # 2. first/last local sessions of every bucket of a key share one window
+    #    partition (_grp = -1) and are merged there; an interior session is
+    #    alone in its own partition (_grp = bucket, _gsid = its id).
     is_edge = (F.col("_sid") == 1) | (F.col("_sid") == F.col("_last"))
-    out_cols = [*keys, "session_start", "session_end", "n"]
-    interior = local.where(~is_edge).select(*out_cols)
-    edge = local.where(is_edge)
-    we = Window.partitionBy(*keys).orderBy("_s")
-    edge = edge.withColumn("_new", _islands(edge, we, "_s", F.lag("_e").over(we), gap_us))
-    edge = edge.withColumn("_gid", F.sum("_new").over(we.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = (edge.groupBy(*keys, "_gid")
-                  .agg(F.min("session_start").alias("session_start"),
-                       F.max("session_end").alias("session_end"),
-                       F.sum("n").alias("n"))
-                  .select(*out_cols))
-    return interior.unionByName(merged)
+    local = (local.withColumn("_grp", F.when(is_edge, F.lit(-1)).otherwise(F.col("_b")))
+                  .withColumn("_gsid", F.when(is_edge, F.lit(0)).otherwise(F.col("_sid"))))
+    we = Window.partitionBy(*keys, "_grp", "_gsid").orderBy("_s")
+    local = local.withColumn("_new", _new_session("_s", F.lag("_e").over(we), gap_us))
+    local = local.withColumn("_gid", F.sum("_new").over(we.rowsBetween(Window.unboundedPreceding, 0)))
+    return (local.groupBy(*keys, "_grp", "_gsid", "_gid")
+                 .agg(F.min("session_start").alias("session_start"),
+                      F.max("session_end").alias("session_end"),
+                      F.sum("n").alias("n"))
+                 .select(*keys, "session_start", "session_end", "n"))
