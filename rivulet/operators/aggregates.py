@@ -22,17 +22,20 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def pair_by_rank(keys: DataFrame, key: str, items: DataFrame, item_order: list[Column],
+def pair_by_rank(keys: DataFrame, key: str, items: DataFrame, item_key: str,
                  item_cols: list[str]) -> DataFrame:
-    """Pair the n-th smallest key with the n-th item in ``item_order``.
+    """Pair the n-th smallest key with the n-th smallest ``item_key``.
 
     Keys are a small distinct set; ranking it is a sort of that set only.
-    Items are cut to the first N (N = number of keys) with a distributed
-    top-N (each task keeps N rows), so the item table is never ranked in one
-    task.  Only the scalar N reaches the driver.
+    Items are cut to the first N ids (N = number of keys) with a distributed
+    top-N over the id column alone; the other item columns (e.g. whole
+    texts) are fetched for those N ids only, by a join whose small side has
+    exactly N rows.  Only the scalar N reaches the driver.
     """
     n_keys = keys.count()
     ranked_keys = keys.withColumn("_n", F.row_number().over(Window.orderBy(F.col(key))))
-    first_items = items.orderBy(*item_order).limit(max(n_keys, 1))
-    ranked_items = first_items.withColumn("_n", F.row_number().over(Window.orderBy(*item_order)))
-    return ranked_keys.join(ranked_items.select("_n", *item_cols), "_n").drop("_n")
+    first_ids = (items.select(item_key).orderBy(item_key).limit(max(n_keys, 1))
+                      .withColumn("_n", F.row_number().over(Window.orderBy(item_key))))
+    chosen = items.select(item_key, *[c for c in item_cols if c != item_key]).join(
+        F.broadcast(first_ids), item_key)
+    return ranked_keys.join(chosen, "_n").select(key, *item_cols)

@@ -152,7 +152,7 @@ def q_distinct_industries(spark, d):
 def q_headline_per_industry(spark, d):
     industries = A.distinct_values(V.v_trade(spark, d), "industry")
     docs = read_table(spark, d, "documents", "doc_id", "text")
-    return (A.pair_by_rank(industries, "industry", docs, [F.col("doc_id")], ["doc_id", "text"])
+    return (A.pair_by_rank(industries, "industry", docs, "doc_id", ["doc_id", "text"])
              .withColumnRenamed("text", "headline"))
 
 
