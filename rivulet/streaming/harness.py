@@ -84,6 +84,26 @@ def run_to_end(query: StreamingQuery, timeout: int = RUN_TIMEOUT_SECONDS) -> Non
         raise RuntimeError(str(query.exception()))
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions of a stateful stream (fixed for the life of its
+    checkpoint): one per core of the cluster, so every core holds a slice of
+    the state and no batch pays for idle state-store instances."""
+    return max(spark.sparkContext.defaultParallelism, 1)
+
+
+def start_with_partitions(spark: SparkSession, writer, partitions: int | None = None) -> StreamingQuery:
+    """Start ``writer`` with ``spark.sql.shuffle.partitions`` set for the
+    stream; the query clones the session conf at start, so the caller's
+    setting is restored right after."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_append(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
     """Append-mode query into the parquet file sink; returns the sink path."""
     out = scratch_dir(spark, f"sink-{name}")
@@ -92,7 +112,7 @@ def run_append(spark: SparkSession, df: DataFrame, name: str, partition_by: list
            .outputMode("append").trigger(availableNow=True).queryName(f"{name}_{ckpt[-6:]}"))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    run_to_end(w.start())
+    run_to_end(start_with_partitions(spark, w))
     return out
 
 
@@ -100,9 +120,9 @@ def run_update(spark: SparkSession, df: DataFrame, name: str) -> str:
     """Update-mode query into per-batch parquet folders; returns the sink path."""
     out = scratch_dir(spark, f"sink-{name}")
     ckpt = scratch_dir(spark, f"ckpt-{name}")
-    q = (df.writeStream.foreachBatch(batch_writer(out)).option("checkpointLocation", ckpt)
-           .outputMode("update").trigger(availableNow=True).queryName(f"{name}_{ckpt[-6:]}").start())
-    run_to_end(q)
+    w = (df.writeStream.foreachBatch(batch_writer(out)).option("checkpointLocation", ckpt)
+           .outputMode("update").trigger(availableNow=True).queryName(f"{name}_{ckpt[-6:]}"))
+    run_to_end(start_with_partitions(spark, w))
     return out
 
 
