@@ -20,7 +20,10 @@ def tag_sides(a: DataFrame, b: DataFrame, key: str, ts: str, rid: str) -> DataFr
 
 def cogroup(a: DataFrame, b: DataFrame, key: str, ts: str, rid: str,
             window: str = "1 day", chunk_size: int = 1000) -> DataFrame:
-    t = tag_sides(a, b, key, ts, rid).withColumn("window_start", F.window("ts", window).start)
+    # One shuffle on (key, window): it serves both the numbering window and
+    # the chunk grouping (their keys contain it).
+    t = (tag_sides(a, b, key, ts, rid).withColumn("window_start", F.window("ts", window).start)
+         .repartition("key", "window_start"))
     w = Window.partitionBy("key", "window_start", "side").orderBy("ts", "rid")
     t = t.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / F.lit(chunk_size)).cast("int"))
     side_a, side_b = F.col("side") == "a", F.col("side") == "b"

@@ -79,17 +79,30 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``rivulet`` importable in Python workers (state processors are
-    pickled by reference).  Zips the package into the shared scratch folder
-    and registers it with ``addPyFile`` once per SparkContext, as
+    """Make the state processors runnable in Python workers.
+
+    The processor module is pickled by value (its classes travel with the
+    query, which also covers the driver-side runner that initialises
+    transformWithState), and the package is zipped into the shared scratch
+    folder and registered with ``addPyFile`` once per SparkContext, as
     ``--py-files`` would at submit time."""
     import zipfile
 
+    from pyspark import cloudpickle
+
+    import rivulet.streaming.state as state_module
+
+    cloudpickle.register_pickle_by_value(state_module)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out = scratch_dir(spark, "pyfiles")
+    if "://" in out and not out.startswith("file:"):
+        # cluster file system: the package is deployed with --py-files and the
+        # processors travel by value; nothing to write from the driver here.
+        _SHIPPED.add(sc.applicationId)
+        return
     local = out[len("file:"):] if out.startswith("file:") else out
     zpath = os.path.join(local, "rivulet.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
