@@ -28,3 +28,14 @@ def observed(df: DataFrame, name: str, *metrics: Column) -> DataFrame:
     """Pass-through with named metrics (a peek that logs nothing per row)."""
     ms = metrics or (F.count(F.lit(1)).alias("rows"),)
     return df.observe(name, *ms)
+
+
+def describe(df: DataFrame, mode: str = "formatted") -> str:
+    """The dataflow of a query as text (its physical plan)."""
+    import io
+    from contextlib import redirect_stdout
+
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

@@ -31,8 +31,18 @@ from rivulet.streaming.state import (REPAIR_OUT, REWARD_OUT, TOP_OUT, PartitionT
 N_CHUNKS = 4
 WATERMARK_DELAY = "24 hours"
 SESSION_GAP = "2 days"
-TOPK_SHARDS = 16
-REWARD_BUCKETS = 32
+MIN_STATE_BUCKETS = 16
+
+
+def state_buckets(spark: SparkSession, setting: str) -> int:
+    """Number of state buckets (top-k shards per industry, customer buckets).
+    Set ``spark.rivulet.<setting>`` to size it to the key cardinality (about
+    ten thousand members per bucket); by default four per cluster core.
+    Fixed for the life of a checkpoint."""
+    conf = spark.conf.get(f"spark.rivulet.{setting}", None)
+    if conf:
+        return int(conf)
+    return max(MIN_STATE_BUCKETS, 4 * spark.sparkContext.defaultParallelism)
 END_MARKER = "~end"
 
 
@@ -99,7 +109,7 @@ def read_sessions(spark: SparkSession, out: str, keys=("customer_id", "symbol",
 def q_topk_stream(spark, d):
     """Share volume per symbol and top 5 per industry, maintained in keyed
     state.  State is keyed by (industry, shard of symbol) so one industry's
-    symbols spread over ``TOPK_SHARDS`` state keys; each shard emits its own
+    symbols spread over ``state_buckets`` state keys; each shard emits its own
     top 5 and the read-back merges the latest shard lists."""
     ensure_state_store(spark)
     ship_package(spark)
@@ -110,7 +120,7 @@ def q_topk_stream(spark, d):
     trades = join_dimension(s, part.withColumnRenamed("p_partkey", "l_partkey"), "l_partkey", how="inner")
     keyed = trades.select(
         F.col("p_type").alias("industry"),
-        F.pmod(F.xxhash64(F.col("l_partkey")), F.lit(TOPK_SHARDS)).cast("int").alias("shard"),
+        F.pmod(F.xxhash64(F.col("l_partkey")), F.lit(state_buckets(spark, "topk.shards"))).cast("int").alias("shard"),
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
         F.col("l_quantity").cast("int").cast("long").alias("shares"))
     tops = keyed.groupBy("industry", "shard").transformWithStateInPandas(
@@ -130,7 +140,8 @@ def q_reward_stream(spark, d):
         F.datediff(F.to_date("purchase_date"), F.lit("1970-01-01").cast("date")).alias("day"))
     path = stage_chunks(spark, pur, F.col("day"), N_CHUNKS, "purchases")
     s = file_stream(spark, path, pur.schema)
-    s = s.withColumn("bucket", F.pmod(F.xxhash64("customer_id"), F.lit(REWARD_BUCKETS)).cast("int"))
+    buckets = state_buckets(spark, "reward.buckets")
+    s = s.withColumn("bucket", F.pmod(F.xxhash64("customer_id"), F.lit(buckets)).cast("int"))
     acc = s.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=RewardAccumulator(), outputStructType=REWARD_OUT, outputMode="Update",
         timeMode="None")
