@@ -21,8 +21,9 @@ from rivulet.operators.cogroup import ids_text
 from rivulet.session import ensure_state_store, ship_package
 from rivulet.sources import fixtures as V
 from rivulet.sources.tables import read_table
-from rivulet.streaming.harness import (file_stream, read_batches, run_append, run_update,
-                                       stage_chunks, to_event_time)
+from rivulet.session import scratch_dir
+from rivulet.streaming.harness import (file_stream, read_batches, run_append, run_to_end, run_update,
+                                       stage_chunks, start_with_partitions, to_event_time)
 from rivulet.functions.timecols import epoch_millis
 from rivulet.operators.joins import interval_join, pair_purchases
 from rivulet.streaming.state import (REPAIR_OUT, REWARD_OUT, TOP_OUT, PartitionTime, RewardAccumulator,
@@ -233,6 +234,51 @@ def q_event_time_repair_stream(spark, d):
     return spark.read.parquet(out).select(*[f.name for f in REPAIR_OUT.fields])
 
 
+def q_purchase_fanout_stream(spark, d):
+    """The purchase flow as one stream with three outputs (masked purchases,
+    patterns, rewards) written exactly-once per batch by a ``foreachBatch``
+    fan-out; the outputs are read back and summarised per sink."""
+    from rivulet.plans.apps import purchase_flow
+    from rivulet.sources.sinks import fan_out_writer
+
+    pur = V.v_purchase(spark, d)
+    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), N_CHUNKS, "fanout")
+    base, ckpt = scratch_dir(spark, "sink-fanout"), scratch_dir(spark, "ckpt-fanout")
+    w = (file_stream(spark, path, pur.schema).writeStream
+         .foreachBatch(fan_out_writer(purchase_flow, base)).queryName(f"fanout_{ckpt[-6:]}")
+         .option("checkpointLocation", ckpt).trigger(availableNow=True))
+    run_to_end(start_with_partitions(spark, w))
+    purchases = spark.read.parquet(f"{base}/purchases/batch=*")
+    patterns = spark.read.parquet(f"{base}/patterns/batch=*")
+    rewards = spark.read.parquet(f"{base}/rewards/batch=*")
+    one = lambda df, name, metric: df.agg(F.lit(name).alias("sink"), F.count(F.lit(1)).alias("n_records"),
+                                          metric.alias("checksum"))
+    return (one(purchases, "purchases",
+                F.sum(F.when(F.col("credit_card_number") == P.CARD_MASK_SHORT, 1).otherwise(0)).cast("double"))
+            .unionByName(one(patterns, "patterns", F.sum(F.col("amount").cast("decimal(38,4)")).cast("double")))
+            .unionByName(one(rewards, "rewards", F.sum(F.col("current_reward_points").cast("long")).cast("double"))))
+
+
+def q_session_enriched_stream(spark, d):
+    """Session counts enriched inside the stream: each closed session is
+    joined with the company and client tables (stream-static left joins,
+    dimensions broadcast after their size check)."""
+    _utc(spark)
+    txn = V.v_txn(spark, d)
+    end = txn.agg(F.max("event_id").alias("m"), F.max("ts").alias("t")).select(
+        (F.col("m") + 1).alias("event_id"), F.lit(END_MARKER).alias("customer_id"),
+        F.lit(END_MARKER).alias("symbol"), F.lit(END_MARKER).alias("industry"),
+        F.timestamp_add("DAY", F.lit(3650), F.col("t")).alias("ts"))
+    path = stage_chunks(spark, txn, F.col("event_id"), N_CHUNKS, "txn-enriched", tail=end)
+    sessions = session_counts(file_stream(spark, path, txn.schema))
+    s = join_dimension(sessions, V.v_company(spark, d).withColumnRenamed("name", "company_name"), "symbol")
+    s = join_dimension(s, V.v_client(spark, d).withColumnRenamed("name", "customer_name"), "customer_id")
+    out = run_append(spark, s, "sessions-enriched")
+    back = spark.read.parquet(out).where(F.col("customer_id") != END_MARKER)
+    return back.select("customer_id", "symbol", "industry", _ntz("session_start"), _ntz("session_end"), "n",
+                       "company_name", "customer_name")
+
+
 STREAM_QUERIES = {
     "source_append": q_source_append,
     "changelog_stream": q_changelog_stream,
@@ -242,4 +288,6 @@ STREAM_QUERIES = {
     "cogroup_stream": q_cogroup_stream,
     "correlate_purchases_stream": q_correlate_purchases_stream,
     "event_time_repair_stream": q_event_time_repair_stream,
+    "purchase_fanout_stream": q_purchase_fanout_stream,
+    "session_enriched_stream": q_session_enriched_stream,
 }

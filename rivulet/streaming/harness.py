@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,8 +38,13 @@ def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, n_chunks: in
     in which chunks are appended (default: ascending; tests use it to make
     late data); ``path`` appends to an existing staging folder."""
     path = path or scratch_dir(spark, f"stream-in-{name}")
-    # Staging scans the input once per chunk; keep it for the duration.
-    keyed = df.withColumn("_o", order).persist(StorageLevel.MEMORY_AND_DISK)
+    # Compute the input once into a table in the shared folder (a lineage
+    # cut); quantiles and the chunk writes read it with the range filter
+    # pushed into the scan.
+    source = scratch_dir(spark, f"stage-src-{name}")
+    staged = df.withColumn("_o", order)
+    _spread(staged, max(spark.sparkContext.defaultParallelism, 1)).write.mode("overwrite").parquet(source)
+    keyed = spark.read.parquet(source)
     probs = [i / n_chunks for i in range(1, n_chunks)]
     cuts = sorted(set(keyed.approxQuantile("_o", probs, 0.001))) if n_chunks > 1 else []
     bounds = [None, *cuts, None]
@@ -51,13 +55,18 @@ def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, n_chunks: in
             cond = cond & (F.col("_o") > F.lit(lo))
         if hi is not None:
             cond = cond & (F.col("_o") <= F.lit(hi))
-        keyed.where(cond).drop("_o").repartition(files_per_chunk).write.mode("append").parquet(path)
-    keyed.unpersist()
+        _spread(keyed.where(cond).drop("_o"), files_per_chunk).write.mode("append").parquet(path)
     if tail is not None:
-        tail.select(*df.columns).repartition(files_per_chunk).write.mode("append").parquet(path)
+        _spread(tail.select(*df.columns), files_per_chunk).write.mode("append").parquet(path)
     return path
 
 
+def _spread(df: DataFrame, files: int) -> DataFrame:
+    """Hash-partition on all columns: deterministic on retry like a sorted
+    round-robin, without sorting every row first."""
+    return df.repartition(files, F.xxhash64(*df.columns))
+
+
 def file_stream(spark: SparkSession, path: str, schema, max_files: int = FILES_PER_CHUNK) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .parquet(path))
