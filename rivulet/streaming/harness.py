@@ -137,4 +137,8 @@ def run_update(spark: SparkSession, df: DataFrame, name: str) -> str:
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a ``run_update`` sink back (all batches, with ``batch_id``)."""
-    return spark.read.schema(schema.add("batch_id", "long")).parquet(f"{path}/batch=*")
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    # a new StructType: ``StructType.add`` would change the caller's schema
+    with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return spark.read.schema(with_batch).parquet(f"{path}/batch=*")
