@@ -23,7 +23,7 @@ from rivulet.operators.topk import render_ranked, top_k_by_volume
 Outputs = dict[str, DataFrame]
 
 
-def yelling(text: DataFrame) -> Outputs:
+def upper_case_text(text: DataFrame) -> Outputs:
     """Upper-case every text record."""
     return {"out": R.map_upper(text)}
 
@@ -68,7 +68,7 @@ def sessions_enriched(txn: DataFrame, companies: DataFrame, clients: DataFrame,
     return {"resolved_summaries": s.withColumn("key", F.col("industry"))}
 
 
-def pops_hops(sales: DataFrame) -> Outputs:
+def beer_sales_routes(sales: DataFrame) -> Outputs:
     routed = R.route_sales(sales)
     return {"domestic": routed.where(F.col("route") == "domestic").drop("route"),
             "international": routed.where(F.col("route") == "international").drop("route")}

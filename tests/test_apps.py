@@ -49,8 +49,8 @@ def test_branch_outputs_by_folder(spark):
     assert back.count() == deps.count()
 
 
-def test_pops_hops_routes_every_sale_once(spark):
-    out = apps.pops_hops(V.v_beer(spark, SF_SMALL))
+def test_beer_sales_route_every_sale_once(spark):
+    out = apps.beer_sales_routes(V.v_beer(spark, SF_SMALL))
     routed = q_route_sales(spark, SF_SMALL)
     assert out["domestic"].count() + out["international"].count() == routed.count()
     assert out["domestic"].where("currency <> 'DOLLARS'").count() == 0

@@ -41,6 +41,6 @@ def test_option_maps():
 
 def test_labelled_print_and_describe(spark):
     df = spark.range(3)
-    out = labelled(df, "Stocks-KTable")
-    assert out.columns == ["label", "id"] and {r.label for r in out.collect()} == {"Stocks-KTable"}
+    out = labelled(df, "ticker-table")
+    assert out.columns == ["label", "id"] and {r.label for r in out.collect()} == {"ticker-table"}
     assert "Range" in describe(df)
