@@ -1,6 +1,7 @@
 """Streaming behaviour: restart from a checkpoint, late data, progress rows."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -99,7 +100,7 @@ def test_progress_log_records_observed_metrics(spark):
              .trigger(availableNow=True).start())
         run_to_end(q)
         # listener events are delivered asynchronously
-        spark.sparkContext._jvm.java.lang.Thread.sleep(2000)
+        time.sleep(2)
     finally:
         spark.streams.removeListener(log)
     rows = [r for r in log.rows if r.get("sink.rows") is not None]
