@@ -78,13 +78,19 @@ def q_changelog_stream(spark, d):
     return latest_per_key(back, "symbol", "seq", ["price"], keep_deletes=True)
 
 
-def q_session_stream(spark, d):
-    _utc(spark)
-    txn = V.v_txn(spark, d)
-    end = txn.agg(F.max("event_id").alias("m"), F.max("ts").alias("t")).select(
+def txn_end_marker(txn: DataFrame) -> DataFrame:
+    """One transaction ten years after the last one (derived from the data),
+    keyed so it is easy to drop from results."""
+    return txn.agg(F.max("event_id").alias("m"), F.max("ts").alias("t")).select(
         (F.col("m") + 1).alias("event_id"), F.lit(END_MARKER).alias("customer_id"),
         F.lit(END_MARKER).alias("symbol"), F.lit(END_MARKER).alias("industry"),
         F.timestamp_add("DAY", F.lit(3650), F.col("t")).alias("ts"))
+
+
+def q_session_stream(spark, d):
+    _utc(spark)
+    txn = V.v_txn(spark, d)
+    end = txn_end_marker(txn)
     path = stage_chunks(spark, txn, F.col("event_id"), N_CHUNKS, "txn", tail=end)
     sessions = session_counts(file_stream(spark, path, txn.schema))
     out = run_append(spark, sessions, "sessions")
@@ -265,10 +271,7 @@ def q_session_enriched_stream(spark, d):
     dimensions broadcast after their size check)."""
     _utc(spark)
     txn = V.v_txn(spark, d)
-    end = txn.agg(F.max("event_id").alias("m"), F.max("ts").alias("t")).select(
-        (F.col("m") + 1).alias("event_id"), F.lit(END_MARKER).alias("customer_id"),
-        F.lit(END_MARKER).alias("symbol"), F.lit(END_MARKER).alias("industry"),
-        F.timestamp_add("DAY", F.lit(3650), F.col("t")).alias("ts"))
+    end = txn_end_marker(txn)
     path = stage_chunks(spark, txn, F.col("event_id"), N_CHUNKS, "txn-enriched", tail=end)
     sessions = session_counts(file_stream(spark, path, txn.schema))
     s = join_dimension(sessions, V.v_company(spark, d).withColumnRenamed("name", "company_name"), "symbol")

@@ -61,3 +61,22 @@ def test_metrics_flow_observes_each_output(spark):
     df = outs["employee_alerts"]
     n = df.count()
     assert n > 0
+
+
+def test_purchase_flow_one_purchase_three_outputs(spark):
+    """One purchase in; masked purchase, reward and pattern out."""
+    import datetime as dt
+
+    when = dt.datetime(2024, 3, 1, 12, 30)
+    row = ("Ann", "Smith", "c-1", "1234-5678-9012-3456", "coffee beans", "Coffee", "000123",
+           3, 4.25, when, "10001", "s-9")
+    purchases = spark.createDataFrame([row], PURCHASE)
+    out = apps.purchase_flow(purchases)
+    masked = out["purchases"].first()
+    assert masked.credit_card_number == "xxxx-xxxx-xxxx-3456"
+    assert (masked.first_name, masked.item_purchased, masked.quantity, masked.price) == ("Ann", "coffee beans", 3, 4.25)
+    reward = out["rewards"].first()
+    assert (reward.customer_id, reward.purchase_total, reward.current_reward_points,
+            reward.total_reward_points, reward.days_from_last_purchase) == ("Smith,Ann", 12.75, 12, 12, 0)
+    pattern = out["patterns"].first()
+    assert (pattern.zip_code, pattern.item, pattern.date, pattern.amount) == ("10001", "coffee beans", when, 12.75)

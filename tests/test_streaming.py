@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from rivulet.operators.sessions import sessionize
 from rivulet.session import scratch_dir
 from rivulet.sources import fixtures as V
-from rivulet.streaming.catalog import END_MARKER, read_sessions, session_counts
+from rivulet.streaming.catalog import read_sessions, session_counts, txn_end_marker
 from rivulet.streaming.harness import file_stream, run_to_end, stage_chunks, to_event_time
 from rivulet.streaming.listener import ProgressLog
 from rivulet.operators.monitoring import observed
@@ -18,10 +18,7 @@ GAP_S = 2 * 24 * 3600
 
 
 def _end_marker(txn):
-    return txn.agg(F.max("event_id").alias("m"), F.max("ts").alias("t")).select(
-        (F.col("m") + 1).alias("event_id"), F.lit(END_MARKER).alias("customer_id"),
-        F.lit(END_MARKER).alias("symbol"), F.lit(END_MARKER).alias("industry"),
-        F.timestamp_add("DAY", F.lit(3650), F.col("t")).alias("ts"))
+    return txn_end_marker(txn)
 
 
 def _start(spark, path, schema, out, ckpt, delay="24 hours"):
