@@ -182,11 +182,12 @@ select key, window_start, chunk, count(*) filter (where side = 'a') as n_clicks,
   coalesce(string_agg(cast(rid as varchar), ',' order by rid) filter (where side = 'b'), '') as purchase_ids
 from c group by key, window_start, chunk""",
     "cogroup_stream": """select user_id as key, date_trunc('day', ts) as window_start,
+  cast(event_id % 8 as int) as salt,
   count(*) filter (where event_type = 'click') as n_clicks,
   count(*) filter (where event_type = 'purchase') as n_purchases,
   coalesce(string_agg(cast(event_id as varchar), ',' order by event_id) filter (where event_type = 'click'), '') as click_ids,
   coalesce(string_agg(cast(event_id as varchar), ',' order by event_id) filter (where event_type = 'purchase'), '') as purchase_ids
-from events where event_type in ('click', 'purchase') group by user_id, date_trunc('day', ts)""",
+from events where event_type in ('click', 'purchase') group by user_id, date_trunc('day', ts), event_id % 8""",
     "reward_running_total": _with(("v", V_PURCHASE)) + f""",
 d as (select customer_id, purchase_date, count(*) n_purchases,
       cast(sum({JAVA_INT.format(x=AMOUNT)}) as bigint) day_points from v group by customer_id, purchase_date)

@@ -33,6 +33,7 @@ N_CHUNKS = 4
 WATERMARK_DELAY = "24 hours"
 SESSION_GAP = "2 days"
 MIN_STATE_BUCKETS = 16
+COGROUP_SALTS = 8
 
 
 def state_buckets(spark: SparkSession, setting: str) -> int:
@@ -161,8 +162,9 @@ def q_reward_stream(spark, d):
 
 def q_cogroup_stream(spark, d):
     """Clicks and purchases co-grouped per user and day as a windowed
-    streaming aggregation; each (user, day) is emitted once, when the
-    watermark passes the day."""
+    streaming aggregation, salted by event id so one hot user-day is spread
+    over ``COGROUP_SALTS`` groups (and lists); each group is emitted once,
+    when the watermark passes the day."""
     _utc(spark)
     ev = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type")
     end = ev.agg(F.max("event_id").alias("m"), F.max("ts").alias("t")).select(
@@ -172,15 +174,17 @@ def q_cogroup_stream(spark, d):
     s = to_event_time(file_stream(spark, path, ev.schema), "ts").withWatermark("ts", WATERMARK_DELAY)
     s = s.where(F.col("event_type").isin("click", "purchase"))
     click, buy = F.col("event_type") == "click", F.col("event_type") == "purchase"
-    g = (s.groupBy(F.col("user_id").alias("key"), F.window("ts", "1 day"))
+    # salt: a hot (user, day) is split over COGROUP_SALTS state keys and lists
+    salt = F.pmod(F.col("event_id"), F.lit(COGROUP_SALTS)).cast("int").alias("salt")
+    g = (s.groupBy(F.col("user_id").alias("key"), F.window("ts", "1 day"), salt)
           .agg(F.count_if(click).alias("n_clicks"), F.count_if(buy).alias("n_purchases"),
                F.array_sort(F.collect_list(F.when(click, F.col("event_id")))).alias("ids_a"),
                F.array_sort(F.collect_list(F.when(buy, F.col("event_id")))).alias("ids_b"))
-          .select("key", F.col("window.start").alias("window_start"), "n_clicks", "n_purchases",
+          .select("key", F.col("window.start").alias("window_start"), "salt", "n_clicks", "n_purchases",
                   "ids_a", "ids_b"))
     out = run_append(spark, g, "cogroup")
     back = spark.read.parquet(out).where(F.col("key") != -1)
-    return back.select("key", _ntz("window_start"), "n_clicks", "n_purchases",
+    return back.select("key", _ntz("window_start"), "salt", "n_clicks", "n_purchases",
                        ids_text("ids_a").alias("click_ids"), ids_text("ids_b").alias("purchase_ids"))
 
 
