@@ -24,6 +24,18 @@ def _pad4(c: str) -> Column:
     return F.lpad((F.col(c) % 10000).cast("string"), 4, "0")
 
 
+def name_part(name: str, n: int) -> Column:
+    """n-th (1 or 2) ``#``-separated part, as ``split_part`` gives it (empty
+    when the part is missing), with ``substring_index`` (no array per row)."""
+    c = F.col(name)
+    if n == 1:
+        return F.substring_index(c, "#", 1)
+    has_sep = F.instr(c, "#") > 0
+    return (F.when(c.isNull(), F.lit(None).cast("string"))
+             .when(has_sep, F.substring_index(F.substring_index(c, "#", 2), "#", -1))
+             .otherwise(F.lit("")))
+
+
 def v_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                     "l_quantity", "l_discount")
@@ -43,8 +55,8 @@ def v_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     employee = (F.when(F.col("l_suppkey") % 20 == 0, F.lit("000000"))
                  .otherwise(F.lpad(_s("l_suppkey"), 6, "0")))
     return j.select(
-        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("last_name"),
-        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("first_name"),
+        name_part("c_name", 1).alias("last_name"),
+        name_part("c_name", 2).alias("first_name"),
         _s("o_custkey").alias("customer_id"),
         card.alias("credit_card_number"),
         F.col("p_name").alias("item_purchased"),
@@ -92,8 +104,7 @@ def v_company(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
     return c.select(_s("c_custkey").alias("customer_id"),
-                    F.concat(F.split_part("c_name", F.lit("#"), F.lit(1)), F.lit(", "),
-                             F.split_part("c_name", F.lit("#"), F.lit(2))).alias("name"))
+                    F.concat(name_part("c_name", 1), F.lit(", "), name_part("c_name", 2)).alias("name"))
 
 
 def v_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:

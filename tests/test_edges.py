@@ -145,3 +145,14 @@ def test_json_decode_flags_malformed(spark):
     df = spark.createDataFrame([(1, '{"k": 3}'), (2, "not json"), (3, None)], "id long, value string")
     got = {r.id: (r.k, r._malformed) for r in json_decode(df, PROPS).collect()}
     assert got == {1: (3, False), 2: (None, True), 3: (None, False)}
+
+
+def test_name_parts_match_split_part(spark):
+    from rivulet.sources.fixtures import name_part
+
+    df = spark.createDataFrame([(x,) for x in ["Customer#0001", "a#b#c", "plain", "#x", "y#", "", None]],
+                               "c_name string")
+    rows = df.select(name_part("c_name", 1).alias("a"), F.split_part("c_name", F.lit("#"), F.lit(1)).alias("a2"),
+                     name_part("c_name", 2).alias("b"), F.split_part("c_name", F.lit("#"), F.lit(2)).alias("b2")
+                     ).collect()
+    assert all(r.a == r.a2 and r.b == r.b2 for r in rows)
