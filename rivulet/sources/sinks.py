@@ -65,3 +65,14 @@ def fan_out_writer(outputs: Callable[[DataFrame], Outputs], base: str):
         finally:
             b.unpersist()
     return write
+
+
+def start_fan_out(stream: DataFrame, outputs: Callable[[DataFrame], Outputs], base: str, checkpoint: str,
+                  every: str = "10 seconds", name: str | None = None):
+    """Start a long-running stream that writes its outputs every ``every``
+    (the commit cadence); returns the running query."""
+    w = (stream.writeStream.foreachBatch(fan_out_writer(outputs, base))
+         .option("checkpointLocation", checkpoint).trigger(processingTime=every))
+    if name:
+        w = w.queryName(name)
+    return w.start()

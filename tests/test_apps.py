@@ -80,3 +80,18 @@ def test_purchase_flow_one_purchase_three_outputs(spark):
             reward.total_reward_points, reward.days_from_last_purchase) == ("Smith,Ann", 12.75, 12, 12, 0)
     pattern = out["patterns"].first()
     assert (pattern.zip_code, pattern.item, pattern.date, pattern.amount) == ("10001", "coffee beans", when, 12.75)
+
+
+def test_fan_out_on_a_processing_time_trigger(spark):
+    from rivulet.sources.sinks import start_fan_out
+
+    pur = V.v_purchase(spark, SF_SMALL)
+    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), 2, "app-cadence")
+    base, ckpt = scratch_dir(spark, "app-cadence-out"), scratch_dir(spark, "app-cadence-ckpt")
+    q = start_fan_out(file_stream(spark, path, PURCHASE), apps.purchase_flow, base, ckpt, every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.read.parquet(f"{base}/rewards/batch=*")
+    assert got.count() == pur.count()
