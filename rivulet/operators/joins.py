@@ -67,6 +67,28 @@ def interval_join(left: DataFrame, right: DataFrame, key: tuple[str, str],
     return left_res.unionByName(unmatched, allowMissingColumns=True)
 
 
+def interval_join_full_union(left: DataFrame, right: DataFrame, key: tuple[str, str],
+                             ts: tuple[str, str], lower_seconds: int, upper_seconds: int) -> DataFrame:
+    """Full outer interval join without an anti-join, so it also runs on
+    streams: (a) left outer join with the right side copied to two buckets
+    gives every pair and the unmatched left rows; (b) right outer join with
+    the left side copied to two buckets gives each right row once, and its
+    unmatched rows are added."""
+    lk, rk = key
+    lt, rt = ts
+    lo, hi = int(lower_seconds * 1_000_000), int(upper_seconds * 1_000_000)
+    width = max(hi - lo, 1)
+    range_cond = (F.col(rt) >= _shift(lt, lo)) & (F.col(rt) <= _shift(lt, hi))
+    pairs_and_left = interval_join(left, right, key, ts, lower_seconds, upper_seconds, how="left")
+    lb0 = F.floor((_micros(left, lt) + F.lit(lo)) / F.lit(width))
+    l2 = left.withColumn("_lb", F.explode(F.array(lb0, lb0 + 1)))
+    r1 = right.withColumn("_rb", F.floor(_micros(right, rt) / F.lit(width)))
+    cond = (F.col(lk) == F.col(rk)) & (F.col("_lb") == F.col("_rb")) & range_cond
+    right_only = (l2.join(r1, cond, "right").where(F.col(lk).isNull())
+                    .drop("_lb", "_rb"))
+    return pairs_and_left.unionByName(right_only.select(*pairs_and_left.columns))
+
+
 def _shift(col: str, micros: int) -> Column:
     """``col + INTERVAL`` (the form a stream-stream join reads as a time range)."""
     if micros == 0:

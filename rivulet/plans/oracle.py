@@ -212,3 +212,4 @@ select *, cast(floor((restored_so_far * 20000 + total_to_restore) / (total_to_re
 SQL["event_time_repair_stream"] = SQL["event_time_repair"]
 SQL["purchase_fanout_stream"] = SQL["purchase_fanout"]
 SQL["session_enriched_stream"] = SQL["session_enriched"]
+SQL["correlate_purchases_full_stream"] = SQL["correlate_purchases_full"]

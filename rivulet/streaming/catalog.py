@@ -25,7 +25,7 @@ from rivulet.session import scratch_dir
 from rivulet.streaming.harness import (file_stream, read_batches, run_append, run_to_end, run_update,
                                        stage_chunks, start_with_partitions, to_event_time)
 from rivulet.functions.timecols import epoch_millis
-from rivulet.operators.joins import interval_join, pair_purchases
+from rivulet.operators.joins import interval_join, interval_join_full_union, pair_purchases
 from rivulet.streaming.state import (REPAIR_OUT, REWARD_OUT, TOP_OUT, PartitionTime, RewardAccumulator,
                                      ShardTopK)
 
@@ -188,11 +188,11 @@ def q_cogroup_stream(spark, d):
                        ids_text("ids_a").alias("click_ids"), ids_text("ids_b").alias("purchase_ids"))
 
 
-def q_correlate_purchases_stream(spark, d):
-    """Stream-stream interval join (left outer): a view and the same user's
-    purchases within 6 hours after it.  Unmatched views are emitted once the
-    watermark passes view time + 6 h; the end-of-input marker (one view and
-    one purchase) moves it past every real row."""
+def q_correlate_purchases_stream(spark, d, how: str = "left"):
+    """Stream-stream interval join (left or full outer): a view and the same
+    user's purchases within 6 hours after it.  Unmatched rows are emitted
+    once the watermark passes their time + 6 h; the end-of-input marker
+    (one view and one purchase) moves it past every real row."""
     _utc(spark)
     ensure_state_store(spark)
     ev = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
@@ -214,9 +214,12 @@ def q_correlate_purchases_stream(spark, d):
               .select(F.col("event_id").alias("r_id"), F.col("ts").alias("r_ts"), F.col("user_id").alias("r_user"),
                       F.col("value").alias("r_value"), F.col("props").alias("r_item"))
               .withWatermark("r_ts", WATERMARK_DELAY))
-    j = interval_join(left, right, ("l_user", "r_user"), ("l_ts", "r_ts"), 0, 6 * 3600, how="left")
-    out = run_append(spark, j.drop("_lb", "_rb"), "pairs")
-    back = spark.read.parquet(out).where(F.col("l_user") != -1)
+    if how == "full":
+        j = interval_join_full_union(left, right, ("l_user", "r_user"), ("l_ts", "r_ts"), 0, 6 * 3600)
+    else:
+        j = interval_join(left, right, ("l_user", "r_user"), ("l_ts", "r_ts"), 0, 6 * 3600, how="left")
+    out = run_append(spark, j.drop("_lb", "_rb"), f"pairs-{how}")
+    back = spark.read.parquet(out).where(F.coalesce(F.col("l_user"), F.col("r_user")) != -1)
     back = (back.withColumn("l_ts", F.col("l_ts").cast("timestamp_ntz"))
                 .withColumn("r_ts", F.col("r_ts").cast("timestamp_ntz"))
                 .withColumn("l_user", F.col("l_user").cast("string"))
@@ -294,6 +297,7 @@ STREAM_QUERIES = {
     "reward_stream": q_reward_stream,
     "cogroup_stream": q_cogroup_stream,
     "correlate_purchases_stream": q_correlate_purchases_stream,
+    "correlate_purchases_full_stream": lambda spark, d: q_correlate_purchases_stream(spark, d, "full"),
     "event_time_repair_stream": q_event_time_repair_stream,
     "purchase_fanout_stream": q_purchase_fanout_stream,
     "session_enriched_stream": q_session_enriched_stream,

@@ -75,3 +75,18 @@ def test_running_sum_on_hot_key(hot):
     _same(out.select("event_id", "running"), con, """select event_id,
         sum(cast(round(value * 100) as bigint)) over (partition by user_id order by event_id
         rows between unbounded preceding and current row) as running from hot""")
+
+
+def test_full_interval_join_by_union_on_hot_key(hot):
+    from rivulet.operators.joins import interval_join_full_union
+
+    df, con = hot
+    left = df.where("event_type = 'view'").select(F.col("event_id").alias("l_id"), F.col("user_id").alias("l_user"),
+                                                  F.col("ts").alias("l_ts"))
+    right = df.where("event_type = 'purchase'").select(F.col("event_id").alias("r_id"),
+                                                       F.col("user_id").alias("r_user"), F.col("ts").alias("r_ts"))
+    out = interval_join_full_union(left, right, ("l_user", "r_user"), ("l_ts", "r_ts"), 0, 6 * 3600)
+    _same(out.select("l_id", "r_id"), con, """select l_id, r_id from
+        (select event_id l_id, user_id l_user, ts l_ts from hot where event_type = 'view') l full join
+        (select event_id r_id, user_id r_user, ts r_ts from hot where event_type = 'purchase') r
+        on l_user = r_user and r_ts >= l_ts and r_ts <= l_ts + interval 6 hour""")
