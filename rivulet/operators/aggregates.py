@@ -1,5 +1,6 @@
-"""Keyed reductions.  All are hash aggregates with a partial (map-side)
-phase, so a hot key is pre-reduced in every map task before the shuffle."""
+"""Keyed reductions and rank pairing.  The reductions are hash aggregates
+with a partial (map-side) phase, so a hot key is pre-reduced in every map
+task before the shuffle."""
 
 from __future__ import annotations
 

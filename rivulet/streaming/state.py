@@ -6,7 +6,9 @@ as parallel arrays.  Each micro-batch costs one state read and one write per
 touched bucket, and the merge is vectorised pandas; per-member round trips
 to the state store would dominate otherwise.  The bucket count is a
 parameter: choose it so a bucket holds at most some thousands of members
-(it is fixed for the life of a checkpoint).
+(it is fixed for the life of a checkpoint).  ``PartitionTime`` is the
+exception: it is keyed by input partition, whose records are ordered by
+offset and hold one number of state.
 
 Rows reach the handlers already reduced to the JVM-computed columns they
 need.
