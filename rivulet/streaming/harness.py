@@ -55,6 +55,8 @@ def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, n_chunks: in
             cond = cond & (F.col("_o") > F.lit(lo))
         if hi is not None:
             cond = cond & (F.col("_o") <= F.lit(hi))
+        if lo is None:
+            cond = cond | F.col("_o").isNull()  # rows without an order value go first
         _spread(keyed.where(cond).drop("_o"), files_per_chunk).write.mode("append").parquet(path)
     if tail is not None:
         _spread(tail.select(*df.columns), files_per_chunk).write.mode("append").parquet(path)

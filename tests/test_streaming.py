@@ -103,3 +103,10 @@ def test_progress_log_records_observed_metrics(spark):
     rows = [r for r in log.rows if r.get("sink.rows") is not None]
     assert sum(r["sink.rows"] for r in rows) == ev.count()
     assert len(rows) >= 3
+
+
+def test_staging_keeps_every_row(spark):
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i) for i in range(100)], "id long, o long")
+    path = stage_chunks(spark, df, F.col("o"), 4, "staging-nulls")
+    back = spark.read.parquet(path)
+    assert sorted(r.id for r in back.collect()) == list(range(100))
