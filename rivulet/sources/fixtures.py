@@ -80,6 +80,22 @@ def v_trade(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("l_shipdate").alias("ts")))
 
 
+def v_share_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share volume per symbol, reduced before the dimension join.
+
+    A symbol is one part key, so the sum over trades is taken per
+    ``l_partkey`` (partial aggregation in every map task, then one shuffle of
+    one row per part per task) and only the per-part totals are joined to
+    ``part`` for the industry.  The join never sees the trade rows.
+    """
+    li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_quantity")
+    per_part = li.groupBy("l_partkey").agg(F.sum(F.col("l_quantity").cast("int").cast("long")).alias("shares"))
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_type")
+    return (per_part.join(p, per_part.l_partkey == p.p_partkey)
+                    .select(F.concat(F.lit("P"), _s("l_partkey")).alias("symbol"),
+                            F.col("p_type").alias("industry"), "shares"))
+
+
 def props_k(props: Column | str = "props") -> Column:
     """Typed decode of the events ``props`` JSON (``{"k": n}``)."""
     return F.from_json(props, PROPS).getField("k")

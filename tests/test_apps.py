@@ -95,3 +95,10 @@ def test_fan_out_on_a_processing_time_trigger(spark):
         q.stop()
     got = spark.read.parquet(f"{base}/rewards/batch=*")
     assert got.count() == pur.count()
+
+
+def test_reduce_before_join_equals_reduce_over_trades(spark):
+    from rivulet.operators.aggregates import reduce_share_volume
+
+    cols = ["symbol", "industry", "shares"]
+    assert _rows(V.v_share_volume(spark, SF_SMALL), cols) == _rows(reduce_share_volume(V.v_trade(spark, SF_SMALL)), cols)
