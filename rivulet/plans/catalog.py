@@ -146,11 +146,11 @@ def q_dim_companies(spark, d):
 
 
 def q_distinct_industries(spark, d):
-    return A.distinct_values(V.v_trade(spark, d), "industry")
+    return V.v_traded_industries(spark, d)
 
 
 def q_headline_per_industry(spark, d):
-    industries = A.distinct_values(V.v_trade(spark, d), "industry")
+    industries = V.v_traded_industries(spark, d)
     docs = read_table(spark, d, "documents", "doc_id", "text")
     return (A.pair_by_rank(industries, "industry", docs, "doc_id", ["doc_id", "text"])
              .withColumnRenamed("text", "headline"))

@@ -96,6 +96,17 @@ def v_share_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.col("p_type").alias("industry"), "shares"))
 
 
+def v_traded_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Industries that have at least one trade: distinct traded part keys
+    (partial aggregation in each map task), a semi-join to ``part``, then
+    the distinct industries.  The same rows as ``distinct(industry)`` over
+    the trade view, without joining every trade."""
+    traded = read_table(spark, sf_dir, "lineitem", "l_partkey").distinct()
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_type")
+    return (p.join(traded, p.p_partkey == traded.l_partkey, "left_semi")
+             .select(F.col("p_type").alias("industry")).distinct())
+
+
 def props_k(props: Column | str = "props") -> Column:
     """Typed decode of the events ``props`` JSON (``{"k": n}``)."""
     return F.from_json(props, PROPS).getField("k")

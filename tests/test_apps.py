@@ -102,3 +102,10 @@ def test_reduce_before_join_equals_reduce_over_trades(spark):
 
     cols = ["symbol", "industry", "shares"]
     assert _rows(V.v_share_volume(spark, SF_SMALL), cols) == _rows(reduce_share_volume(V.v_trade(spark, SF_SMALL)), cols)
+
+
+def test_traded_industries_equal_distinct_over_trades(spark):
+    from rivulet.operators.aggregates import distinct_values
+
+    assert (_rows(V.v_traded_industries(spark, SF_SMALL), ["industry"])
+            == _rows(distinct_values(V.v_trade(spark, SF_SMALL), "industry"), ["industry"]))
