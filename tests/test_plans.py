@@ -49,3 +49,17 @@ def test_scans_read_only_needed_columns(spark):
 def test_no_python_in_batch_plans(spark, name):
     p = plan(C.BATCH_QUERIES[name](spark, SF_SMALL))
     assert "EvalPython" not in p and "FlatMapGroupsInPandas" not in p
+
+
+def test_share_volume_is_reduced_before_the_part_join(spark):
+    import re
+
+    p = plan(C.q_reduce_share_volume(spark, SF_SMALL))
+    # node details are numbered from the leaves up: the partial aggregate on
+    # l_partkey must come below (before) the join to part
+    blocks = re.split(r"\n(?=\(\d+\) )", p)
+    number = lambda b: int(re.match(r"\((\d+)\)", b).group(1))
+    nodes = [b for b in blocks if re.match(r"\(\d+\) ", b)]
+    partial = [number(b) for b in nodes if "partial_sum" in b and "l_partkey" in b]
+    joins = [number(b) for b in nodes if re.match(r"\(\d+\) \w*HashJoin|\(\d+\) SortMergeJoin", b)]
+    assert partial and joins and max(partial) < min(joins)
