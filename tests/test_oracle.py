@@ -6,9 +6,10 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 from rivulet.plans.catalog import BATCH_QUERIES
+from rivulet.plans.oracle import SQL
+from rivulet.streaming.catalog import STREAM_QUERIES
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {**BATCH_QUERIES, **STREAM_QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def con():
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(BATCH_QUERIES))
