@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from rivulet.llm import license_scan, warc
+from rivulet.llm.license_scan import op4_license_scan
 from rivulet.llm.url_filter import op10_url_filter
+from rivulet.llm.warc import op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op4_license_scan": op4_license_scan,
     "op10_url_filter": op10_url_filter,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_warc": warc.SQL,
+    "op4_license_scan": license_scan.SQL,
+}
