@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from rivulet.llm import license_scan, warc
+from rivulet.llm.bpe import op6_bpe
 from rivulet.llm.license_scan import op4_license_scan
+from rivulet.llm.quality import op2_quality
 from rivulet.llm.url_filter import op10_url_filter
 from rivulet.llm.warc import op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_quality": op2_quality,
     "op4_license_scan": op4_license_scan,
+    "op6_bpe": op6_bpe,
     "op10_url_filter": op10_url_filter,
 }
 
