@@ -6,6 +6,7 @@ from rivulet.llm import license_scan, warc
 from rivulet.llm.bpe import op6_bpe
 from rivulet.llm.license_scan import op4_license_scan
 from rivulet.llm.quality import op2_quality
+from rivulet.llm.token_counts import op8_token_counts
 from rivulet.llm.url_filter import op10_url_filter
 from rivulet.llm.warc import op1_warc
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op4_license_scan": op4_license_scan,
     "op6_bpe": op6_bpe,
+    "op8_token_counts": op8_token_counts,
     "op10_url_filter": op10_url_filter,
 }
 
