@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rivulet.llm import license_scan, warc
 from rivulet.llm.bpe import op6_bpe
+from rivulet.llm.fingerprint import op3_fingerprint
 from rivulet.llm.license_scan import op4_license_scan
 from rivulet.llm.quality import op2_quality
 from rivulet.llm.token_counts import op8_token_counts
@@ -13,6 +14,7 @@ from rivulet.llm.warc import op1_warc
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
+    "op3_fingerprint": op3_fingerprint,
     "op4_license_scan": op4_license_scan,
     "op6_bpe": op6_bpe,
     "op8_token_counts": op8_token_counts,
