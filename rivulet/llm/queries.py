@@ -7,6 +7,7 @@ from rivulet.llm.bpe import op6_bpe
 from rivulet.llm.fingerprint import op3_fingerprint
 from rivulet.llm.license_scan import op4_license_scan
 from rivulet.llm.quality import op2_quality
+from rivulet.llm.similarity_join import op9_similarity_join
 from rivulet.llm.token_counts import op8_token_counts
 from rivulet.llm.url_filter import op10_url_filter
 from rivulet.llm.warc import op1_warc
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op6_bpe": op6_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_similarity_join": op9_similarity_join,
     "op10_url_filter": op10_url_filter,
 }
 
