@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rivulet.llm import license_scan, warc
+from rivulet.llm import license_scan, mixing, warc
 from rivulet.llm.bpe import op6_bpe
 from rivulet.llm.fingerprint import op3_fingerprint
 from rivulet.llm.license_scan import op4_license_scan
+from rivulet.llm.mixing import op7_mixing
 from rivulet.llm.quality import op2_quality
 from rivulet.llm.similarity_join import op9_similarity_join
 from rivulet.llm.token_counts import op8_token_counts
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_fingerprint": op3_fingerprint,
     "op4_license_scan": op4_license_scan,
     "op6_bpe": op6_bpe,
+    "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_similarity_join": op9_similarity_join,
     "op10_url_filter": op10_url_filter,
@@ -26,4 +28,5 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op1_warc": warc.SQL,
     "op4_license_scan": license_scan.SQL,
+    "op7_mixing": mixing.SQL,
 }
