@@ -212,6 +212,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), *tokenizer())
 
 
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its token counts and digests in place of the text."""
+    return round_trip(docs, *tokenizer())
+
+
 def fold_words(words: DataFrame, path: str, buckets: int = 4096) -> DataFrame:
     """rows (word string) with ids (array<int>), by higher-order functions alone: the state of a word is the array of
     its parts, hex coded; each step finds the adjacent pair of least rank in the literal map and joins it. A literal

@@ -7,6 +7,7 @@ from rivulet.llm.bpe import op6_bpe
 from rivulet.llm.fingerprint import op3_fingerprint
 from rivulet.llm.license_scan import op4_license_scan
 from rivulet.llm.mixing import op7_mixing
+from rivulet.llm.neighbours import op5_neighbours
 from rivulet.llm.quality import op2_quality
 from rivulet.llm.similarity_join import op9_similarity_join
 from rivulet.llm.token_counts import op8_token_counts
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_fingerprint": op3_fingerprint,
     "op4_license_scan": op4_license_scan,
+    "op5_neighbours": op5_neighbours,
     "op6_bpe": op6_bpe,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
