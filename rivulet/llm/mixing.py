@@ -42,14 +42,10 @@ def n_words(text: Column) -> Column:
 
 
 def text_topic(text: Column) -> Column:
-    """documents has no topic, so the query takes the kind of text for one: marked (one of ``#*$%&`` per 50 code points
-    or more), numeric (one digit per 50 or more), else brief (under 1000 code points), else prose."""
-    text = F.coalesce(text, F.lit(""))
-    size = F.char_length(text)
-    count = lambda chars: size - F.char_length(F.translate(text, chars, ""))
-    return (F.when((size > 0) & (50 * count("#*$%&") >= size), "marked")
-            .when((size > 0) & (50 * count("0123456789") >= size), "numeric")
-            .when(size < 1000, "brief").otherwise("prose"))
+    """documents has no topic, so the query takes the kind of text by its code points for one: note (under 900),
+    article (under 1800), report (under 3500) or book."""
+    size = F.char_length(F.coalesce(text, F.lit("")))
+    return F.when(size < 900, "note").when(size < 1800, "article").when(size < 3500, "report").otherwise("book")
 
 
 def uniform(key: Column) -> Column:
@@ -143,12 +139,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def _sql() -> str:
     text = "coalesce(text, '')"
     clean = rf"trim(regexp_replace({text}, '[\x20\x09-\x0D]+', ' ', 'g'))"
-    count = lambda chars: f"length({text}) - length(translate({text}, '{chars}', ''))"
     steps = [f"""
 docs AS (SELECT doc_id, source, lang,
-  CASE WHEN length({text}) > 0 AND 50 * ({count('#*$%&')}) >= length({text}) THEN 'marked'
-       WHEN length({text}) > 0 AND 50 * ({count('0123456789')}) >= length({text}) THEN 'numeric'
-       WHEN length({text}) < 1000 THEN 'brief' ELSE 'prose' END AS topic,
+  CASE WHEN length({text}) < 900 THEN 'note' WHEN length({text}) < 1800 THEN 'article'
+       WHEN length({text}) < 3500 THEN 'report' ELSE 'book' END AS topic,
   CASE WHEN {clean} = '' THEN 0 ELSE 1 + length({clean}) - length(replace({clean}, ' ', '')) END::BIGINT AS tokens
   FROM documents)""",
              """
