@@ -8,11 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def reduce_then_look_up(facts: DataFrame, key: str, totals: list[Column], dim: DataFrame, dim_key: str) -> DataFrame:
+    """Reduce facts by ``key`` (in every map task first), then join the one row per key to its dimension row."""
+    reduced = facts.groupBy(key).agg(*totals)
+    return reduced.join(dim, reduced[key] == dim[dim_key])
+
+
 def reduce_share_volume(trades: DataFrame) -> DataFrame:
-    """Share volume per symbol (binary sum of shares).  A symbol has one
-    industry, so grouping on both keeps the industry without a lookup."""
-    return (trades.groupBy("symbol", "industry")
-                  .agg(F.sum(F.col("shares").cast("long")).alias("shares")))
+    """Share volume per symbol (binary sum of shares). The key is the symbol alone; the industry is that of the
+    symbol's last trade (``ts``, then the larger name)."""
+    return (trades.groupBy("symbol")
+                  .agg(F.max_by("industry", F.struct("ts", "industry")).alias("industry"),
+                       F.sum(F.col("shares").cast("long")).alias("shares")))
 
 
 def keyed_count(df: DataFrame, keys: list[Column | str], extra: list[Column] | None = None) -> DataFrame:
@@ -30,13 +37,12 @@ def pair_by_rank(keys: DataFrame, key: str, items: DataFrame, item_key: str,
     Keys are a small distinct set; ranking it is a sort of that set only.
     Items are cut to the first N ids (N = number of keys) with a distributed
     top-N over the id column alone; the other item columns (e.g. whole
-    texts) are fetched for those N ids only, by a join whose small side has
-    exactly N rows.  Only the scalar N reaches the driver.
+    texts) are fetched for those N ids only. Only the scalar N reaches the
+    driver. A key beyond the number of items is kept, with null items.
     """
     n_keys = keys.count()
     ranked_keys = keys.withColumn("_n", F.row_number().over(Window.orderBy(F.col(key))))
     first_ids = (items.select(item_key).orderBy(item_key).limit(max(n_keys, 1))
                       .withColumn("_n", F.row_number().over(Window.orderBy(item_key))))
-    chosen = items.select(item_key, *[c for c in item_cols if c != item_key]).join(
-        F.broadcast(first_ids), item_key)
-    return ranked_keys.join(chosen, "_n").select(key, *item_cols)
+    chosen = items.select(item_key, *[c for c in item_cols if c != item_key]).join(first_ids, item_key)
+    return ranked_keys.join(chosen, "_n", "left").select(key, *item_cols)

@@ -35,3 +35,10 @@ def cogroup(a: DataFrame, b: DataFrame, key: str, ts: str, rid: str,
 
 def ids_text(col: str):
     return F.array_join(F.transform(F.col(col), lambda x: x.cast("string")), ",")
+
+
+def render(groups: DataFrame) -> DataFrame:
+    """Counts of both sides and their ids as text."""
+    return groups.select("key", "window_start", "chunk", F.col("n_a").alias("n_clicks"),
+                         F.col("n_b").alias("n_purchases"), ids_text("ids_a").alias("click_ids"),
+                         ids_text("ids_b").alias("purchase_ids"))

@@ -1,5 +1,5 @@
-"""Joins: dimension lookups with a checked broadcast, and a time-bounded
-pair join that never compares all pairs of a key."""
+"""Joins: dimension lookups, and a time-bounded pair join that never
+compares all pairs of a key."""
 
 from __future__ import annotations
 
@@ -8,24 +8,19 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.timecols import epoch_micros
 
-# Largest dimension we broadcast; beyond it the join is a shuffle join.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Proven size bound: reads at most ``rows + 1`` rows of ``df``."""
-    return df.limit(rows + 1).count() <= rows
-
 
 def join_dimension(facts: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Look up a dimension (a replicated table).  Broadcast it only when its
-    row count is checked to be under the bound; otherwise let the planner
-    shuffle both sides on the key (AQE may still pick a broadcast at run time
-    from the measured size)."""
-    if has_at_most(dim, max_broadcast_rows):
-        return facts.join(F.broadcast(dim), on, how)
-    return facts.join(dim, on, how)
+                   order: str | None = None) -> DataFrame:
+    """Look up a dimension (a replicated table), which has one row per key: the newest by ``order``, else the largest.
+    No job runs while the plan is built, and no side is forced: the planner broadcasts the dimension if its size in
+    bytes allows, and AQE may still do so at run time."""
+    keys = [on] if isinstance(on, str) else list(on)
+    values = [c for c in dim.columns if c not in keys]
+    if not values:
+        return facts.join(dim.select(*keys).distinct(), keys, how)
+    row = F.struct(*values)
+    one = dim.groupBy(*keys).agg((F.max_by(row, F.col(order)) if order else F.max(row)).alias("_row"))
+    return facts.join(one.select(*keys, "_row.*"), keys, how)
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: tuple[str, str],

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def progress_percent(df: DataFrame, partition: Column, batch: Column) -> DataFrame:
     """Per partition and batch: records completed in the batch, running total
-    so far, partition total, and percent complete rounded half-up to two
+    so far, partition total, and percent complete rounded half-even to two
     places (integer arithmetic on the exact ratio).  Records are first
     reduced per (partition, batch) map-side; the windows then see one row per
     batch."""
@@ -19,8 +19,10 @@ def progress_percent(df: DataFrame, partition: Column, batch: Column) -> DataFra
                           .over(w.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("total_to_restore", F.sum("batch_completed")
                           .over(Window.partitionBy("partition"))))
-    bp = F.floor((F.col("restored_so_far") * 20000 + F.col("total_to_restore"))
-                 / (F.col("total_to_restore") * 2))
+    whole = F.expr("(restored_so_far * 10000) div total_to_restore")
+    twice = F.expr("2 * ((restored_so_far * 10000) % total_to_restore)")
+    up = (twice > F.col("total_to_restore")) | ((twice == F.col("total_to_restore")) & (whole % 2 == 1))
+    bp = whole + up.cast("long")
     return per.withColumn("percent_complete", bp.cast("double") / F.lit(100.0))
 
 

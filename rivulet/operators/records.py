@@ -84,15 +84,18 @@ def route_sales(sales: DataFrame) -> DataFrame:
         P.to_dollars("total_sale", "currency").alias("dollars"))
 
 
-def partition_by_key(df: DataFrame, key: str, num_partitions: int) -> DataFrame:
-    """All records of one key land in one partition (null keys go wherever
-    the hash of null sends them).  One shuffle on ``key``."""
-    return df.repartition(num_partitions, F.col(key))
-
-
-def partition_column(key: Column, num_partitions: int) -> Column:
-    """Explicit partition number for a key, as a partitioner computes it."""
-    return F.pmod(F.hash(key), F.lit(num_partitions))
+def partition_column(key: Column, num_partitions: int, spread: Column) -> Column:
+    """Explicit partition number: a numeric key modulo the number of partitions, any other key by hash; records without
+    a key are spread by ``spread`` (a number that differs between records)."""
+    number = key.try_cast("bigint")
+    return F.pmod(F.when(key.isNull(), spread.cast("long")).otherwise(F.coalesce(number, F.hash(key).cast("long"))),
+                  F.lit(num_partitions)).cast("int")
+
+
+def partition_by_key(df: DataFrame, key: str, num_partitions: int, spread: Column) -> DataFrame:
+    """All records of one key land in the partition that ``partition_column`` names; records without a key are spread
+    over all of them.  One shuffle."""
+    return df.repartitionById(num_partitions, partition_column(F.col(key), num_partitions, spread))
 
 
 def composite_key(df: DataFrame, name: str = "purchase_key") -> DataFrame:

@@ -28,12 +28,17 @@ def running_aggregate(df: DataFrame, keys: list[str], bucket: Column, order: lis
     local_w = (Window.partitionBy(*keys, "_bucket").orderBy(*order)
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.withColumn("_local", agg("_val").over(local_w))
-    # Bucket totals from the same (key, bucket) partitioning: no second scan.
-    totals = local.groupBy(*keys, "_bucket").agg(agg("_val").alias("_btotal"))
+    # Bucket totals: a second, narrow pass that is reduced in every map task before its shuffle.
+    totals = b.groupBy(*keys, "_bucket").agg(agg("_val").alias("_btotal"))
     prior_w = (Window.partitionBy(*keys).orderBy("_bucket")
                      .rowsBetween(Window.unboundedPreceding, -1))
-    prior = totals.select(*keys, "_bucket", agg("_btotal").over(prior_w).alias("_prior"))
-    joined = local.join(prior, on=[*keys, "_bucket"], how="left")
+    names = {k: f"_of_{k}" for k in [*keys, "_bucket"]}
+    prior = totals.select(*[F.col(k).alias(n) for k, n in names.items()], agg("_btotal").over(prior_w).alias("_prior"))
+    # null-safe: a null key is a key like any other
+    meet = F.lit(True)
+    for k, n in names.items():
+        meet = meet & F.col(k).eqNullSafe(F.col(n))
+    joined = local.join(prior, meet, "left").drop(*names.values())
     if how == "sum":
         result = F.when(F.col("_local").isNull() & F.col("_prior").isNull(), F.lit(None)) \
                   .otherwise(F.coalesce("_local", F.lit(0)) + F.coalesce("_prior", F.lit(0)))

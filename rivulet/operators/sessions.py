@@ -4,12 +4,13 @@ A record joins the previous record's session when it is at most ``gap``
 later (inclusive).  Each session is reported with its first and last record
 time and its record count.
 
-Plan: time is cut into buckets of ``bucket_seconds``.  Sessions are first
-built inside each (key, bucket), a shuffle on (key, bucket) that spreads a hot
-key over its buckets.  A local session that is neither the first nor the last
-of its bucket is already final (gaps above ``gap`` on both sides inside the
-bucket).  Only first/last local sessions, at most two per (key, bucket), can
-continue across a bucket border; they are merged per key with a
+Plan: rows of one key whose times fall into one slot of the gap's length are
+always in one session, so rows are first reduced to one per (key, slot), in
+every map task before the shuffle: a hot key's raw rows never meet.  Slots
+are then cut into buckets; sessions are built inside each (key, bucket).  A
+local session that is neither the first nor the last of its bucket is
+already final.  Only first and last local sessions, at most two per (key,
+bucket), can continue across a bucket border; they are merged per key with a
 gaps-and-islands pass over that small set.
 """
 
@@ -27,22 +28,26 @@ def _new_session(start_us: str, prev_end_us: Column, gap_us: int) -> Column:
 
 def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: int,
                bucket_seconds: int | None = None) -> DataFrame:
-    gap_us = int(gap_seconds * 1_000_000)
-    bucket_us = int((bucket_seconds or max(8 * gap_seconds, 3600)) * 1_000_000)
-    d = (df.where(F.col(ts).isNotNull())
-           .select(*keys, F.col(ts).alias("_ts"))
-           .withColumn("_us", epoch_micros("_ts"))
-           .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us))))
-    # 1. local sessions inside each (key, bucket)
+    gap_us = max(int(gap_seconds * 1_000_000), 1)
+    bucket_us = int((bucket_seconds or max(64 * gap_seconds, 3600)) * 1_000_000)
+    us = epoch_micros("_ts")
+    # 1. one row per (key, slot)
+    slots = (df.where(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("_ts"))
+               .withColumns({"_us": us, "_slot": F.floor(us / F.lit(gap_us))})
+               .groupBy(*keys, "_slot")
+               .agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_final"), F.min("_us").alias("_us"),
+                    F.max("_us").alias("_until"), F.count(F.lit(1)).alias("_n")))
+    d = slots.withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)))
+    # 2. local sessions inside each (key, bucket)
     w = Window.partitionBy(*keys, "_b").orderBy("_us")
-    d = d.withColumn("_new", _new_session("_us", F.lag("_us").over(w), gap_us))
+    d = d.withColumn("_new", _new_session("_us", F.lag("_until").over(w), gap_us))
     d = d.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     local = (d.groupBy(*keys, "_b", "_sid")
-              .agg(F.min("_ts").alias("session_start"), F.max("_ts").alias("session_end"),
-                   F.min("_us").alias("_s"), F.max("_us").alias("_e"),
-                   F.count(F.lit(1)).alias("n")))
+              .agg(F.min("_first").alias("session_start"), F.max("_final").alias("session_end"),
+                   F.min("_us").alias("_s"), F.max("_until").alias("_e"),
+                   F.sum("_n").alias("n")))
     local = local.withColumn("_last", F.max("_sid").over(Window.partitionBy(*keys, "_b")))
-    # 2. first/last local sessions of every bucket of a key share one window
+    # 3. first/last local sessions of every bucket of a key share one window
     #    partition (_grp = -1) and are merged there; an interior session is
     #    alone in its own partition (_grp = bucket, _gsid = its id).
     is_edge = (F.col("_sid") == 1) | (F.col("_sid") == F.col("_last"))

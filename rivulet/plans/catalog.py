@@ -13,15 +13,18 @@ from rivulet.functions import purchase as P
 from rivulet.functions.timecols import epoch_millis, time_source, trade_event_time
 from rivulet.operators import aggregates as A
 from rivulet.operators import records as R
-from rivulet.operators.cogroup import cogroup, ids_text
+from rivulet.operators.cogroup import cogroup, render
 from rivulet.operators.joins import interval_join, join_dimension, pair_purchases
 from rivulet.operators.monitoring import progress_percent
 from rivulet.operators.running import repair_event_time, reward_running_totals
 from rivulet.operators.sessions import sessionize
 from rivulet.operators.tables import latest_per_key
 from rivulet.operators.topk import render_ranked, top_k_by_volume
+from rivulet.plans.apps import purchase_flow
 from rivulet.schemas import PROPS, PURCHASE
+from rivulet.session import scratch_dir
 from rivulet.sources import fixtures as V
+from rivulet.sources.sinks import write_outputs
 from rivulet.sources.tables import read_table
 
 SESSION_GAP_SECONDS = 2 * 24 * 3600
@@ -48,21 +51,21 @@ def q_purchase_reward(spark, d):
 
 
 def q_purchase_fanout(spark, d):
-    """The three outputs of the purchase flow from one shared upstream,
-    summarised per sink in a single aggregation pass (one scan)."""
-    up = R.mask_purchases(V.v_purchase(spark, d))
-    amt = P.amount()
-    a = up.agg(F.count(F.lit(1)).alias("n"),
-               F.sum(F.when(F.col("credit_card_number") == P.CARD_MASK_SHORT, 1).otherwise(0)).alias("short"),
-               F.sum(amt.cast("decimal(38,4)")).cast("double").alias("amount_total"),
-               F.sum(P.java_int(amt).cast("long")).alias("points"))
-    return a.select(F.inline(F.array(
-        F.struct(F.lit("purchases").alias("sink"), F.col("n").alias("n_records"),
-                 F.col("short").cast("double").alias("checksum")),
-        F.struct(F.lit("patterns").alias("sink"), F.col("n").alias("n_records"),
-                 F.col("amount_total").alias("checksum")),
-        F.struct(F.lit("rewards").alias("sink"), F.col("n").alias("n_records"),
-                 F.col("points").cast("double").alias("checksum")))))
+    """The purchase flow writes its three outputs from one shared upstream;
+    each table is read back and summarised."""
+    paths = write_outputs(V.v_purchase(spark, d), purchase_flow, scratch_dir(spark, "fanout"))
+    return fan_out_summary(*(spark.read.parquet(paths[n]) for n in ("purchases", "patterns", "rewards")))
+
+
+def fan_out_summary(purchases: DataFrame, patterns: DataFrame, rewards: DataFrame) -> DataFrame:
+    """Records and a checksum per output of the purchase flow."""
+    def one(df, name, metric):
+        return df.agg(F.lit(name).alias("sink"), F.count(F.lit(1)).alias("n_records"), metric.alias("checksum"))
+
+    short = F.sum(F.when(F.col("credit_card_number") == P.CARD_MASK_SHORT, 1).otherwise(0)).cast("double")
+    return (one(purchases, "purchases", short)
+            .unionByName(one(patterns, "patterns", F.sum(F.col("amount").cast("decimal(38,4)")).cast("double")))
+            .unionByName(one(rewards, "rewards", F.sum(F.col("current_reward_points").cast("long")).cast("double"))))
 
 
 def q_filter_rekey(spark, d):
@@ -91,13 +94,22 @@ def q_route_sales(spark, d):
 
 
 def q_json_encode(spark, d):
-    """Encode purchases to JSON text and decode them back with the schema."""
-    enc = R.json_encode(V.v_purchase(spark, d), "customer_id", PURCHASE_COLUMNS)
-    return R.json_decode(enc, PURCHASE).select("key", *PURCHASE_COLUMNS)
+    """Purchases as JSON text (some without a department): the text's field
+    names and some of its fields, read from the text."""
+    pur = V.v_purchase(spark, d).withColumn("department", F.when(F.col("quantity") % 7 != 0, F.col("department")))
+    text = R.json_encode(pur, "customer_id", PURCHASE_COLUMNS)
+    names = ["last_name", "first_name", "credit_card_number", "department", "zip_code"]
+    return text.select("key", F.array_join(F.json_object_keys("value"), ",").alias("fields"),
+                       *[F.get_json_object("value", f"$.{n}").alias(n) for n in names],
+                       F.get_json_object("value", "$.quantity").cast("int").alias("quantity"),
+                       F.get_json_object("value", "$.price").cast("double").alias("price"))
 
 
 def q_json_decode(spark, d):
+    """Every eleventh text is broken, so both outcomes occur."""
     ev = read_table(spark, d, "events", "event_id", "user_id", "props")
+    ev = ev.withColumn("props", F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("broken "), "props"))
+                       .otherwise(F.col("props")))
     return (R.json_decode(ev.withColumnRenamed("props", "value"), PROPS)
              .withColumnRenamed("_malformed", "malformed"))
 
@@ -114,15 +126,19 @@ def q_record_audit_line(spark, d):
 
 
 def q_partition_by_customer(spark, d, num_partitions: int = 16):
-    p = R.partition_by_key(V.v_purchase(spark, d).select("customer_id"), "customer_id", num_partitions)
-    return (p.withColumn("_p", F.spark_partition_id())
-             .groupBy("customer_id")
-             .agg(F.count_distinct("_p").alias("n_partitions"), F.count(F.lit(1)).alias("n_records")))
+    """Records and customers per partition, by the partition they are in;
+    purchases of every tenth store come without a customer."""
+    store = F.col("store_id").cast("long")
+    pur = V.v_purchase(spark, d).select(F.when(store % 10 != 0, F.col("customer_id")).alias("customer_id"), "store_id")
+    p = R.partition_by_key(pur, "customer_id", num_partitions, store)
+    return (p.withColumn("partition", F.spark_partition_id())
+             .groupBy("partition", "customer_id").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("partition").agg(F.sum("n").alias("n_records"), F.count("customer_id").alias("n_customers")))
 
 
 def q_key_by_function(spark, d):
-    keyed = R.key_by(V.v_trade(spark, d), F.col("symbol"))
-    return A.keyed_count(keyed, ["key"], [F.sum(F.col("shares").cast("long")).alias("shares")])
+    """Trades reduced per part before the symbol is looked up and made the key."""
+    return R.key_by(V.v_share_volume(spark, d), F.col("symbol")).select("key", "n", "shares")
 
 
 def q_composite_key_count(spark, d):
@@ -159,7 +175,7 @@ def q_headline_per_industry(spark, d):
 def q_reduce_share_volume(spark, d):
     """Share volume per symbol.  ``A.reduce_share_volume`` over the trade
     view gives the same rows; the plan here reduces before the part join."""
-    return V.v_share_volume(spark, d)
+    return V.v_share_volume(spark, d).drop("n")
 
 
 def q_topk_rows(spark, d):
@@ -176,6 +192,13 @@ def q_session_count(spark, d):
                       SESSION_GAP_SECONDS)
 
 
+def q_session_by_industry(spark, d):
+    """Session counts re-keyed by industry, the count in the value."""
+    return R.key_by(q_session_count(spark, d), F.col("industry")).select(
+        "key", F.struct("customer_id", "symbol", "n").alias("value"), "session_start", "session_end").select(
+        "key", "value.*", "session_start", "session_end")
+
+
 def q_session_enriched(spark, d):
     s = q_session_count(spark, d)
     s = join_dimension(s, V.v_company(spark, d).withColumnRenamed("name", "company_name"), "symbol")
@@ -184,12 +207,14 @@ def q_session_enriched(spark, d):
 
 
 def q_event_time(spark, d):
+    """Every fifth record is no trade, so all three sources of time occur."""
     ev = read_table(spark, d, "events", "event_id", "ts", "props")
-    is_trade = V.props_k("props").isNotNull()
+    is_trade = V.props_k("props").isNotNull() & (F.col("event_id") % 5 != 0)
+    wall = F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")
     trade_ts = F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("ts"))
     record_ts = F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz")
     return ev.select("event_id", time_source(is_trade, trade_ts).alias("time_source"),
-                     trade_event_time(is_trade, trade_ts, record_ts).alias("event_time"))
+                     trade_event_time(is_trade, trade_ts, record_ts, wall).alias("event_time"))
 
 
 def q_event_time_repair(spark, d):
@@ -226,10 +251,7 @@ def q_cogroup_events(spark, d):
     ev = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type")
     clicks = ev.where(F.col("event_type") == "click")
     buys = ev.where(F.col("event_type") == "purchase")
-    g = cogroup(clicks, buys, "user_id", "ts", "event_id")
-    return g.select("key", "window_start", "chunk", F.col("n_a").alias("n_clicks"),
-                    F.col("n_b").alias("n_purchases"), ids_text("ids_a").alias("click_ids"),
-                    ids_text("ids_b").alias("purchase_ids"))
+    return render(cogroup(clicks, buys, "user_id", "ts", "event_id"))
 
 
 def q_reward_running_total(spark, d):
@@ -267,6 +289,7 @@ BATCH_QUERIES = {
     "topk_rows": q_topk_rows,
     "topk_by_industry": q_topk_by_industry,
     "session_count": q_session_count,
+    "session_by_industry": q_session_by_industry,
     "session_enriched": q_session_enriched,
     "event_time": q_event_time,
     "event_time_repair": q_event_time_repair,

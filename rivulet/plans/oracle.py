@@ -119,14 +119,23 @@ union all select 'rewards', n, cast(points as double) from a""",
   currency, total_sale, number_cases, beer_type,
   total_sale / case currency when 'EURO' then 1.09::double when 'POUNDS' then 1.2929::double
                              when 'DOLLARS' then 1.0::double end as dollars from b""",
-    "json_encode": _with(("v", V_PURCHASE)) + f"select customer_id as key, {PURCHASE_COLS} from v",
-    "json_decode": """select event_id, user_id, cast(json_extract_string(props, '$.k') as int) as k,
-  false as malformed from events""",
+    "json_encode": _with(("v", V_PURCHASE)) + f"""select customer_id as key,
+  case when quantity % 7 = 0 then '{PURCHASE_COLS.replace(", department", "").replace(", ", ",")}'
+       else '{PURCHASE_COLS.replace(", ", ",")}' end as fields,
+  last_name, first_name, credit_card_number, case when quantity % 7 <> 0 then department end as department,
+  zip_code, quantity, price from v""",
+    "json_decode": """select event_id, user_id,
+  case when event_id % 11 <> 0 then cast(json_extract_string(props, '$.k') as int) end as k,
+  event_id % 11 = 0 as malformed from events""",
     "record_audit_line": """select event_id as "offset", cast(user_id % 4 as int) as "partition",
   printf('Consumed: key = %s value = %s with offset = %d partition = %d',
          cast(user_id as varchar), event_type, event_id, cast(user_id % 4 as int)) as line from events""",
-    "partition_by_customer": _with(("v", V_PURCHASE)) + """select customer_id,
-  cast(1 as bigint) as n_partitions, count(*) as n_records from v group by customer_id""",
+    "partition_by_customer": _with(("v", V_PURCHASE)) + """select cast(partition as int) as "partition",
+  count(*) as n_records, count(distinct customer_id) as n_customers
+from (select case when cast(store_id as bigint) % 10 = 0 then cast(store_id as bigint) % 16
+                  else cast(customer_id as bigint) % 16 end as partition,
+             case when cast(store_id as bigint) % 10 <> 0 then customer_id end as customer_id from v)
+group by partition""",
     "key_by_function": _with(("v", V_TRADE)) + """select symbol as key, count(*) as n,
   cast(sum(shares) as bigint) as shares from v group by symbol""",
     "composite_key_count": _with(("v", V_PURCHASE)) + """select customer_id,
@@ -151,6 +160,8 @@ select industry, string_agg(cast(rank as varchar) || ')' || symbol || ':' || for
   order by rank) as ranking from k group by industry""",
     "topk_stream": TOPK_ROWS,
     "session_count": _sessions(SESSION_GAP),
+    "session_by_industry": "select industry as key, customer_id, symbol, n, session_start, session_end from ("
+        + _sessions(SESSION_GAP) + ")",
     "session_stream": _sessions(SESSION_GAP),
     "session_enriched": "with sc as (" + _sessions(SESSION_GAP) + "), " + f"""
 co as ({V_COMPANY}), cl as ({V_CLIENT})
@@ -158,8 +169,8 @@ select sc.*, co.name as company_name, cl.name as customer_name
 from sc left join co on sc.symbol = co.symbol left join cl on sc.customer_id = cl.customer_id""",
     "event_time": """select event_id,
   case when k is null then 'wall_clock' when trade_ts is not null then 'trade' else 'record' end as time_source,
-  case when k is null then null else coalesce(trade_ts, record_ts) end as event_time
-from (select event_id, cast(json_extract_string(props,'$.k') as int) k,
+  case when k is null then timestamp '2030-01-01' else coalesce(trade_ts, record_ts) end as event_time
+from (select event_id, case when event_id % 5 <> 0 then cast(json_extract_string(props,'$.k') as int) end k,
   case when event_id % 7 = 0 then null else ts end trade_ts, date_trunc('minute', ts) record_ts from events)""",
     "event_time_repair": """select event_id, "partition", "offset", ts_ms, case when ts_ms >= 0 then ts_ms
   else max(case when ts_ms >= 0 then ts_ms end) over (partition by "partition" order by "offset"
@@ -181,13 +192,6 @@ select key, window_start, chunk, count(*) filter (where side = 'a') as n_clicks,
   coalesce(string_agg(cast(rid as varchar), ',' order by rid) filter (where side = 'a'), '') as click_ids,
   coalesce(string_agg(cast(rid as varchar), ',' order by rid) filter (where side = 'b'), '') as purchase_ids
 from c group by key, window_start, chunk""",
-    "cogroup_stream": """select user_id as key, date_trunc('day', ts) as window_start,
-  cast(event_id % 8 as int) as salt,
-  count(*) filter (where event_type = 'click') as n_clicks,
-  count(*) filter (where event_type = 'purchase') as n_purchases,
-  coalesce(string_agg(cast(event_id as varchar), ',' order by event_id) filter (where event_type = 'click'), '') as click_ids,
-  coalesce(string_agg(cast(event_id as varchar), ',' order by event_id) filter (where event_type = 'purchase'), '') as purchase_ids
-from events where event_type in ('click', 'purchase') group by user_id, date_trunc('day', ts), event_id % 8""",
     "reward_running_total": _with(("v", V_PURCHASE)) + f""",
 d as (select customer_id, purchase_date, count(*) n_purchases,
       cast(sum({JAVA_INT.format(x=AMOUNT)}) as bigint) day_points from v group by customer_id, purchase_date)
@@ -205,10 +209,13 @@ from v group by customer_id""",
 r as (select *, cast(sum(batch_completed) over (partition by "partition" order by batch
   rows between unbounded preceding and current row) as bigint) restored_so_far,
   cast(sum(batch_completed) over (partition by "partition") as bigint) total_to_restore from p)
-select *, cast(floor((restored_so_far * 20000 + total_to_restore) / (total_to_restore * 2)) as double) / 100.0
-  as percent_complete from r""",
+select *, round_even(100.0::double * restored_so_far / total_to_restore, 2) as percent_complete from r""",
 }
 
+SQL["cogroup_stream"] = SQL["cogroup_events"]
+SQL["employee_alerts_stream"] = SQL["employee_watch"]
+SQL["purchase_days_stream"] = _with(("v", V_PURCHASE)) + """select date_trunc('day', purchase_date)::timestamp
+  as window_start, count(*) as n, sum(quantity)::bigint as quantity from v group by 1"""
 SQL["event_time_repair_stream"] = SQL["event_time_repair"]
 SQL["purchase_fanout_stream"] = SQL["purchase_fanout"]
 SQL["session_enriched_stream"] = SQL["session_enriched"]

@@ -88,12 +88,14 @@ def v_share_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     one row per part per task) and only the per-part totals are joined to
     ``part`` for the industry.  The join never sees the trade rows.
     """
+    from rivulet.operators.aggregates import reduce_then_look_up
+
     li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_quantity")
-    per_part = li.groupBy("l_partkey").agg(F.sum(F.col("l_quantity").cast("int").cast("long")).alias("shares"))
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_type")
-    return (per_part.join(p, per_part.l_partkey == p.p_partkey)
-                    .select(F.concat(F.lit("P"), _s("l_partkey")).alias("symbol"),
-                            F.col("p_type").alias("industry"), "shares"))
+    shares = F.sum(F.col("l_quantity").cast("int").cast("long")).alias("shares")
+    return (reduce_then_look_up(li, "l_partkey", [shares, F.count(F.lit(1)).alias("n")], p, "p_partkey")
+            .select(F.concat(F.lit("P"), _s("l_partkey")).alias("symbol"), F.col("p_type").alias("industry"), "shares",
+                    "n"))
 
 
 def v_traded_industries(spark: SparkSession, sf_dir: str) -> DataFrame:

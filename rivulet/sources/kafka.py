@@ -1,22 +1,23 @@
-"""Kafka adapters.  They only build option maps (the Kafka connector is a
-deployment dependency); the same plans run on parquet file streams in tests."""
+"""Kafka adapters: option maps, and reads and writes of a topic in one call.  The connector is a deployment
+dependency (``--packages``); the same plans run on parquet file streams in tests."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 def kafka_source_options(bootstrap: str, topic: str, starting: str = "earliest",
-                         max_offsets_per_trigger: int | None = None) -> dict:
+                         max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict:
     """Options for ``spark.readStream.format("kafka")``.
 
     ``starting`` is the reset policy (earliest / latest); it applies only when
     the query has no checkpoint yet, as with a consumer group's reset policy.
+    Offsets that are gone stop the query unless the caller says otherwise.
     """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting, "failOnDataLoss": "false"}
+            "startingOffsets": starting, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
@@ -43,3 +44,19 @@ def encode_records(df: DataFrame, key: Column | str) -> DataFrame:
     value_cols = [c for c in df.columns]
     return df.select(key_col.cast("string").alias("key"),
                      F.to_json(F.struct(*value_cols)).alias("value"))
+
+
+def read_topic(spark: SparkSession, bootstrap: str, topic: str, schema: StructType, stream: bool = True,
+               **options) -> DataFrame:
+    """A topic as typed records; keywords as for ``kafka_source_options``."""
+    reader = (spark.readStream if stream else spark.read).format("kafka")
+    return decode_records(reader.options(**kafka_source_options(bootstrap, topic, **options)).load(), schema)
+
+
+def write_topic(df: DataFrame, key: Column | str, bootstrap: str, topic: str, checkpoint: str | None = None, **options):
+    """Records to a topic: a stream's writer (to be started) if ``df`` is a stream, else the rows are sent now."""
+    sink = kafka_sink_options(bootstrap, topic, **options)
+    out = encode_records(df, key)
+    if df.isStreaming:
+        return out.writeStream.format("kafka").options(**sink).option("checkpointLocation", checkpoint)
+    out.write.format("kafka").options(**sink).save()

@@ -1,10 +1,11 @@
 """Streaming query catalog: each key runs a real file stream over data
-derived from the driver tables (ordered chunks, one file per trigger,
+derived from the driver tables (ordered chunks, one per trigger,
 ``availableNow``) and returns the sink read back as a DataFrame.
 
-Inputs with event-time state get an end-of-input marker row, far in the
-future, as their last chunk: it moves the watermark past every open
-session/window so they are emitted; it is removed from the result.
+Inputs with event-time state get end-of-input rows, far in the future, as
+their last chunk: they move the watermark past every open session or window
+so it is emitted; they are marked in a column of their own and left out of
+the result by it.
 """
 
 from __future__ import annotations
@@ -14,38 +15,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions import purchase as P
-from rivulet.operators.joins import join_dimension
+from rivulet.functions.timecols import epoch_millis
+from rivulet.operators import cogroup as G
+from rivulet.operators import records as R
+from rivulet.operators.joins import interval_join, interval_join_full_union, join_dimension, pair_purchases
 from rivulet.operators.tables import latest_per_key
 from rivulet.operators.topk import top_k_by_volume
-from rivulet.operators.cogroup import ids_text
-from rivulet.session import ensure_state_store, ship_package
+from rivulet.plans.apps import purchase_flow
+from rivulet.plans.catalog import fan_out_summary
+from rivulet.session import ensure_state_store, scratch_dir, ship_package
 from rivulet.sources import fixtures as V
+from rivulet.sources.sinks import fan_out_writer
 from rivulet.sources.tables import read_table
-from rivulet.session import scratch_dir
-from rivulet.streaming.harness import (file_stream, read_batches, run_append, run_to_end, run_update,
-                                       stage_chunks, start_with_partitions, to_event_time)
-from rivulet.functions.timecols import epoch_millis
-from rivulet.operators.joins import interval_join, interval_join_full_union, pair_purchases
-from rivulet.streaming.state import (REPAIR_OUT, REWARD_OUT, TOP_OUT, PartitionTime, RewardAccumulator,
-                                     ShardTopK)
+from rivulet.streaming import operators as O
+from rivulet.streaming.harness import (END, file_stream, read_batches, run_append, run_to_end, run_update,
+                                       stage_chunks, start_with_partitions, to_event_time, with_end)
+from rivulet.streaming.state import REPAIR_OUT, PartitionTime
 
-N_CHUNKS = 4
 WATERMARK_DELAY = "24 hours"
 SESSION_GAP = "2 days"
-MIN_STATE_BUCKETS = 16
-COGROUP_SALTS = 8
-
-
-def state_buckets(spark: SparkSession, setting: str) -> int:
-    """Number of state buckets (top-k shards per industry, customer buckets).
-    Set ``spark.rivulet.<setting>`` to size it to the key cardinality (about
-    ten thousand members per bucket); by default four per cluster core.
-    Fixed for the life of a checkpoint."""
-    conf = spark.conf.get(f"spark.rivulet.{setting}", None)
-    if conf:
-        return int(conf)
-    return max(MIN_STATE_BUCKETS, 4 * spark.sparkContext.defaultParallelism)
-END_MARKER = "~end"
+SESSION_KEYS = ["customer_id", "symbol", "industry"]
 
 
 def _utc(spark: SparkSession) -> None:
@@ -57,135 +46,93 @@ def _ntz(col: str):
     return F.col(col).cast("timestamp_ntz").alias(col)
 
 
+def end_rows(df: DataFrame, ts: str, **values) -> DataFrame:
+    """One end-of-input row ten years after the last ``ts`` of df; other columns are null unless given."""
+    far = F.timestamp_add("DAY", F.lit(3650), F.max(ts))
+    cols = [far.alias(f.name) if f.name == ts else F.lit(values.get(f.name)).cast(f.dataType).alias(f.name)
+            for f in df.schema.fields]
+    return df.agg(*cols)
+
+
+def without_end(df: DataFrame, *flags: str) -> DataFrame:
+    flags = flags or (END,)
+    return df.where(~F.coalesce(*flags, F.lit(False))).drop(*flags)
+
+
 def q_source_append(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
-    path = stage_chunks(spark, ev, F.col("event_id"), N_CHUNKS, "events")
+    path = stage_chunks(spark, ev, F.col("event_id"), "events")
     out = run_append(spark, file_stream(spark, path, ev.schema), "source_append")
     return spark.read.parquet(out)
 
 
 def q_changelog_stream(spark, d):
-    """Table -> change stream: per batch, the new latest value of each key it
-    touched (a null price is a delete, kept as a tombstone).  The final
-    change per key is read back."""
+    """Table -> change stream; the final change per key is read back."""
     tick = V.v_ticker(spark, d)
-    path = stage_chunks(spark, tick, F.col("seq"), N_CHUNKS, "ticker")
-    s = file_stream(spark, path, tick.schema)
-    changes = (s.groupBy("symbol")
-                .agg(F.max_by(F.struct("price", "seq"), F.col("seq")).alias("_l"))
-                .select("symbol", "_l.price", "_l.seq"))
+    path = stage_chunks(spark, tick, F.col("seq"), "ticker")
+    changes = O.latest_change(file_stream(spark, path, tick.schema), "symbol", "seq", ["price"])
     out = run_update(spark, changes, "changelog")
     back = read_batches(spark, out, T.StructType(tick.schema.fields))
     return latest_per_key(back, "symbol", "seq", ["price"], keep_deletes=True)
 
 
-def txn_end_marker(txn: DataFrame) -> DataFrame:
-    """One transaction ten years after the last one (derived from the data),
-    keyed so it is easy to drop from results."""
-    return txn.agg(F.max("event_id").alias("m"), F.max("ts").alias("t")).select(
-        (F.col("m") + 1).alias("event_id"), F.lit(END_MARKER).alias("customer_id"),
-        F.lit(END_MARKER).alias("symbol"), F.lit(END_MARKER).alias("industry"),
-        F.timestamp_add("DAY", F.lit(3650), F.col("t")).alias("ts"))
+def session_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
+    txn = V.v_txn(spark, d)
+    path = stage_chunks(spark, txn, F.col("event_id"), name, tail=end_rows(txn, "ts"))
+    return O.session_counts(file_stream(spark, path, with_end(txn.schema)), SESSION_KEYS, SESSION_GAP, WATERMARK_DELAY)
 
 
 def q_session_stream(spark, d):
     _utc(spark)
-    txn = V.v_txn(spark, d)
-    end = txn_end_marker(txn)
-    path = stage_chunks(spark, txn, F.col("event_id"), N_CHUNKS, "txn", tail=end)
-    sessions = session_counts(file_stream(spark, path, txn.schema))
-    out = run_append(spark, sessions, "sessions")
-    return read_sessions(spark, out)
+    return read_sessions(spark, run_append(spark, session_stream(spark, d, "txn"), "sessions"))
 
 
-def session_counts(stream: DataFrame, keys=("customer_id", "symbol", "industry"),
-                   gap: str = SESSION_GAP, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Streaming session count per key: event time ``ts``, watermark
-    ``delay``, append mode (each session emitted once, when closed)."""
-    s = to_event_time(stream, "ts").withWatermark("ts", delay)
-    return (s.groupBy(*keys, F.session_window("ts", gap))
-             .agg(F.min("ts").alias("session_start"), F.max("ts").alias("session_end"),
-                  F.count(F.lit(1)).alias("n"))
-             .drop("session_window"))
-
-
-def read_sessions(spark: SparkSession, out: str, keys=("customer_id", "symbol", "industry")) -> DataFrame:
-    back = spark.read.parquet(out).where(F.col(keys[0]) != END_MARKER)
-    return back.select(*keys, _ntz("session_start"), _ntz("session_end"), "n")
+def read_sessions(spark: SparkSession, out: str, keys=SESSION_KEYS) -> DataFrame:
+    return without_end(spark.read.parquet(out)).select(*keys, _ntz("session_start"), _ntz("session_end"), "n")
 
 
 def q_topk_stream(spark, d):
-    """Share volume per symbol and top 5 per industry, maintained in keyed
-    state.  State is keyed by (industry, shard of symbol) so one industry's
-    symbols spread over ``state_buckets`` state keys; each shard emits its own
-    top 5 and the read-back merges the latest shard lists."""
-    ensure_state_store(spark)
-    ship_package(spark)
-    li = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
-    path = stage_chunks(spark, li, F.col("l_orderkey"), N_CHUNKS, "lineitem")
-    s = file_stream(spark, path, li.schema)
+    """Share volume per part kept by the stream; the latest totals are looked
+    up in the part table and ranked per industry."""
+    li = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    path = stage_chunks(spark, li, F.col("l_orderkey"), "lineitem")
+    totals = O.running_totals(file_stream(spark, path, li.schema), ["l_partkey"],
+                              [F.sum(F.col("l_quantity").cast("int").cast("long")).alias("shares")])
+    back = read_batches(spark, run_update(spark, totals, "topk"), totals.schema)
+    volume = latest_per_key(back, "l_partkey", "batch_id", ["shares"])
     part = read_table(spark, d, "part", "p_partkey", "p_type")
-    trades = join_dimension(s, part.withColumnRenamed("p_partkey", "l_partkey"), "l_partkey", how="inner")
-    keyed = trades.select(
-        F.col("p_type").alias("industry"),
-        F.pmod(F.xxhash64(F.col("l_partkey")), F.lit(state_buckets(spark, "topk.shards"))).cast("int").alias("shard"),
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
-        F.col("l_quantity").cast("int").cast("long").alias("shares"))
-    tops = keyed.groupBy("industry", "shard").transformWithStateInPandas(
-        statefulProcessor=ShardTopK(5), outputStructType=TOP_OUT, outputMode="Update", timeMode="None")
-    out = run_update(spark, tops, "topk")
-    back = read_batches(spark, out, T.StructType(TOP_OUT.fields))
-    last = back.groupBy("industry", "shard").agg(F.max("batch_id").alias("batch_id"))
-    current = back.join(last, ["industry", "shard", "batch_id"]).select("industry", "symbol", "shares")
-    return top_k_by_volume(current).select("industry", "rank", "symbol", "shares")
+    named = volume.join(part, volume.l_partkey == part.p_partkey).select(
+        F.col("p_type").alias("industry"), F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
+        "shares")
+    return top_k_by_volume(named).select("industry", "rank", "symbol", "shares")
 
 
 def q_reward_stream(spark, d):
-    ensure_state_store(spark)
-    ship_package(spark)
+    """Reward points and purchases per customer, kept by the stream."""
     pur = V.v_purchase(spark, d).select(
         "customer_id", P.java_int(P.amount()).cast("long").alias("points"),
-        F.datediff(F.to_date("purchase_date"), F.lit("1970-01-01").cast("date")).alias("day"))
-    path = stage_chunks(spark, pur, F.col("day"), N_CHUNKS, "purchases")
-    s = file_stream(spark, path, pur.schema)
-    buckets = state_buckets(spark, "reward.buckets")
-    s = s.withColumn("bucket", F.pmod(F.xxhash64("customer_id"), F.lit(buckets)).cast("int"))
-    acc = s.groupBy("bucket").transformWithStateInPandas(
-        statefulProcessor=RewardAccumulator(), outputStructType=REWARD_OUT, outputMode="Update",
-        timeMode="None")
-    out = run_update(spark, acc, "rewards")
-    back = read_batches(spark, out, T.StructType(REWARD_OUT.fields))
-    last = (back.groupBy("customer_id")
-                .agg(F.max_by(F.struct("total_reward_points", "n_purchases"), F.col("batch_id")).alias("_a")))
-    return last.select("customer_id", "_a.total_reward_points", "_a.n_purchases")
+        F.unix_date(F.to_date("purchase_date")).alias("day"))
+    path = stage_chunks(spark, pur, F.col("day"), "purchases")
+    totals = O.running_totals(file_stream(spark, path, pur.schema), ["customer_id"],
+                              [F.sum("points").alias("total_reward_points"), F.count(F.lit(1)).alias("n_purchases")])
+    back = read_batches(spark, run_update(spark, totals, "rewards"), totals.schema)
+    last = latest_per_key(back, "customer_id", "batch_id", ["total_reward_points", "n_purchases"], keep_deletes=True)
+    return last.select("customer_id", "total_reward_points", "n_purchases")
 
 
 def q_cogroup_stream(spark, d):
-    """Clicks and purchases co-grouped per user and day as a windowed
-    streaming aggregation, salted by event id so one hot user-day is spread
-    over ``COGROUP_SALTS`` groups (and lists); each group is emitted once,
-    when the watermark passes the day."""
+    """Clicks and purchases, each a stream of its own, co-grouped per user and
+    day; the emitted groups are read back in the batch co-group's form."""
     _utc(spark)
     ev = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type")
-    end = ev.agg(F.max("event_id").alias("m"), F.max("ts").alias("t")).select(
-        (F.col("m") + 1).alias("event_id"), F.timestamp_add("DAY", F.lit(3650), F.col("t")).alias("ts"),
-        F.lit(-1).cast("long").alias("user_id"), F.lit("click").alias("event_type"))
-    path = stage_chunks(spark, ev, F.col("event_id"), N_CHUNKS, "cogroup", tail=end)
-    s = to_event_time(file_stream(spark, path, ev.schema), "ts").withWatermark("ts", WATERMARK_DELAY)
-    s = s.where(F.col("event_type").isin("click", "purchase"))
-    click, buy = F.col("event_type") == "click", F.col("event_type") == "purchase"
-    # salt: a hot (user, day) is split over COGROUP_SALTS state keys and lists
-    salt = F.pmod(F.col("event_id"), F.lit(COGROUP_SALTS)).cast("int").alias("salt")
-    g = (s.groupBy(F.col("user_id").alias("key"), F.window("ts", "1 day"), salt)
-          .agg(F.count_if(click).alias("n_clicks"), F.count_if(buy).alias("n_purchases"),
-               F.array_sort(F.collect_list(F.when(click, F.col("event_id")))).alias("ids_a"),
-               F.array_sort(F.collect_list(F.when(buy, F.col("event_id")))).alias("ids_b"))
-          .select("key", F.col("window.start").alias("window_start"), "salt", "n_clicks", "n_purchases",
-                  "ids_a", "ids_b"))
-    out = run_append(spark, g, "cogroup")
-    back = spark.read.parquet(out).where(F.col("key") != -1)
-    return back.select("key", _ntz("window_start"), "salt", "n_clicks", "n_purchases",
-                       ids_text("ids_a").alias("click_ids"), ids_text("ids_b").alias("purchase_ids"))
+    sides = []
+    for kind in ("click", "purchase"):
+        one = ev.where(F.col("event_type") == kind)
+        path = stage_chunks(spark, one, F.col("event_id"), f"cogroup-{kind}", tail=end_rows(ev, "ts", event_id=0))
+        sides.append(file_stream(spark, path, with_end(one.schema)))
+    groups = O.cogroup(*sides, "user_id", "ts", "event_id", retention=WATERMARK_DELAY)
+    back = without_end(spark.read.parquet(run_append(spark, groups, "cogroup")))
+    return G.render(G.cogroup(*O.cogrouped(back), "key", "ts", "rid"))
 
 
 def q_correlate_purchases_stream(spark, d, how: str = "left"):
@@ -197,29 +144,25 @@ def q_correlate_purchases_stream(spark, d, how: str = "left"):
     ensure_state_store(spark)
     ev = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
     ev = ev.where(F.col("event_type").isin("view", "purchase"))
-    last = ev.agg(F.max("event_id").alias("m"), F.max("ts").alias("t"))
-    end = last.select(F.inline(F.array(*[
-        F.struct((F.col("m") + i + 1).alias("event_id"),
-                 F.timestamp_add("DAY", F.lit(3650), F.col("t")).alias("ts"),
-                 F.lit(-1).cast("long").alias("user_id"), F.lit(kind).alias("event_type"),
-                 F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
-        for i, kind in enumerate(["view", "purchase"])])))
-    path = stage_chunks(spark, ev, F.col("event_id"), N_CHUNKS, "pairs", tail=end)
-    s = to_event_time(file_stream(spark, path, ev.schema), "ts")
+    # the join drops rows without a user before the watermark sees them, so end rows have one; only END marks them
+    end = end_rows(ev, "ts", event_type="view", user_id=-1).unionByName(
+        end_rows(ev, "ts", event_type="purchase", user_id=-1))
+    path = stage_chunks(spark, ev, F.col("event_id"), "pairs", tail=end)
+    s = to_event_time(file_stream(spark, path, with_end(ev.schema)), "ts")
     left = (s.where(F.col("event_type") == "view")
              .select(F.col("event_id").alias("l_id"), F.col("ts").alias("l_ts"), F.col("user_id").alias("l_user"),
-                     F.col("value").alias("l_value"), F.col("props").alias("l_item"))
+                     F.col("value").alias("l_value"), F.col("props").alias("l_item"), F.col(END).alias("l_end"))
              .withWatermark("l_ts", WATERMARK_DELAY))
     right = (s.where(F.col("event_type") == "purchase")
               .select(F.col("event_id").alias("r_id"), F.col("ts").alias("r_ts"), F.col("user_id").alias("r_user"),
-                      F.col("value").alias("r_value"), F.col("props").alias("r_item"))
+                      F.col("value").alias("r_value"), F.col("props").alias("r_item"), F.col(END).alias("r_end"))
               .withWatermark("r_ts", WATERMARK_DELAY))
     if how == "full":
         j = interval_join_full_union(left, right, ("l_user", "r_user"), ("l_ts", "r_ts"), 0, 6 * 3600)
     else:
         j = interval_join(left, right, ("l_user", "r_user"), ("l_ts", "r_ts"), 0, 6 * 3600, how="left")
     out = run_append(spark, j.drop("_lb", "_rb"), f"pairs-{how}")
-    back = spark.read.parquet(out).where(F.coalesce(F.col("l_user"), F.col("r_user")) != -1)
+    back = without_end(spark.read.parquet(out), "l_end", "r_end")
     back = (back.withColumn("l_ts", F.col("l_ts").cast("timestamp_ntz"))
                 .withColumn("r_ts", F.col("r_ts").cast("timestamp_ntz"))
                 .withColumn("l_user", F.col("l_user").cast("string"))
@@ -239,7 +182,7 @@ def q_event_time_repair_stream(spark, d):
                     F.col("event_id").alias("offset"),
                     F.when(F.col("event_id") % 7 == 0, F.lit(-1).cast("long"))
                      .otherwise(epoch_millis("ts")).alias("ts_ms"))
-    path = stage_chunks(spark, rec, F.col("offset"), N_CHUNKS, "repair")
+    path = stage_chunks(spark, rec, F.col("offset"), "repair")
     s = file_stream(spark, path, rec.schema)
     fixed = s.groupBy("partition").transformWithStateInPandas(
         statefulProcessor=PartitionTime(), outputStructType=REPAIR_OUT, outputMode="Append", timeMode="None")
@@ -251,40 +194,51 @@ def q_purchase_fanout_stream(spark, d):
     """The purchase flow as one stream with three outputs (masked purchases,
     patterns, rewards) written exactly-once per batch by a ``foreachBatch``
     fan-out; the outputs are read back and summarised per sink."""
-    from rivulet.plans.apps import purchase_flow
-    from rivulet.sources.sinks import fan_out_writer
-
     pur = V.v_purchase(spark, d)
-    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), N_CHUNKS, "fanout")
+    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), "fanout")
     base, ckpt = scratch_dir(spark, "sink-fanout"), scratch_dir(spark, "ckpt-fanout")
     w = (file_stream(spark, path, pur.schema).writeStream
          .foreachBatch(fan_out_writer(purchase_flow, base)).queryName(f"fanout_{ckpt[-6:]}")
          .option("checkpointLocation", ckpt).trigger(availableNow=True))
     run_to_end(start_with_partitions(spark, w))
-    purchases = spark.read.parquet(f"{base}/purchases/batch=*")
-    patterns = spark.read.parquet(f"{base}/patterns/batch=*")
-    rewards = spark.read.parquet(f"{base}/rewards/batch=*")
-    one = lambda df, name, metric: df.agg(F.lit(name).alias("sink"), F.count(F.lit(1)).alias("n_records"),
-                                          metric.alias("checksum"))
-    return (one(purchases, "purchases",
-                F.sum(F.when(F.col("credit_card_number") == P.CARD_MASK_SHORT, 1).otherwise(0)).cast("double"))
-            .unionByName(one(patterns, "patterns", F.sum(F.col("amount").cast("decimal(38,4)")).cast("double")))
-            .unionByName(one(rewards, "rewards", F.sum(F.col("current_reward_points").cast("long")).cast("double"))))
+    return fan_out_summary(*(spark.read.parquet(f"{base}/{n}/batch=*") for n in ("purchases", "patterns", "rewards")))
+
+
+def q_employee_alerts_stream(spark, d):
+    """The watched employee's purchases appended to an alert table, batch by
+    batch, as the stream's side effect."""
+    pur = V.v_purchase(spark, d)
+    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), "alerts")
+    base, ckpt = scratch_dir(spark, "sink-alerts"), scratch_dir(spark, "ckpt-alerts")
+    w = (file_stream(spark, path, pur.schema).writeStream
+         .foreachBatch(fan_out_writer(lambda batch: {"alerts": R.watch_employee(batch)}, base))
+         .queryName(f"alerts_{ckpt[-6:]}").option("checkpointLocation", ckpt).trigger(availableNow=True))
+    run_to_end(start_with_partitions(spark, w))
+    return spark.read.parquet(f"{base}/alerts/batch=*").select(
+        "employee_id", "customer_id", "item_purchased", "price", "quantity", "purchase_date", "store_id")
+
+
+def q_purchase_days_stream(spark, d):
+    """Purchases per day of the purchase date, which is the event time."""
+    _utc(spark)
+    pur = V.v_purchase(spark, d).select("quantity", F.col("purchase_date").cast("timestamp_ntz").alias("purchase_date"))
+    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), "days",
+                        tail=end_rows(pur, "purchase_date"))
+    days = O.daily_counts(file_stream(spark, path, with_end(pur.schema)), "purchase_date", WATERMARK_DELAY,
+                          [F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity")])
+    back = without_end(spark.read.parquet(run_append(spark, days, "days")))
+    return back.select(_ntz("window_start"), "n", "quantity")
 
 
 def q_session_enriched_stream(spark, d):
     """Session counts enriched inside the stream: each closed session is
-    joined with the company and client tables (stream-static left joins,
-    dimensions broadcast after their size check)."""
+    joined with the company and client tables (stream-static left joins)."""
     _utc(spark)
-    txn = V.v_txn(spark, d)
-    end = txn_end_marker(txn)
-    path = stage_chunks(spark, txn, F.col("event_id"), N_CHUNKS, "txn-enriched", tail=end)
-    sessions = session_counts(file_stream(spark, path, txn.schema))
+    sessions = session_stream(spark, d, "txn-enriched")
     s = join_dimension(sessions, V.v_company(spark, d).withColumnRenamed("name", "company_name"), "symbol")
     s = join_dimension(s, V.v_client(spark, d).withColumnRenamed("name", "customer_name"), "customer_id")
     out = run_append(spark, s, "sessions-enriched")
-    back = spark.read.parquet(out).where(F.col("customer_id") != END_MARKER)
+    back = without_end(spark.read.parquet(out))
     return back.select("customer_id", "symbol", "industry", _ntz("session_start"), _ntz("session_end"), "n",
                        "company_name", "customer_name")
 
@@ -300,5 +254,7 @@ STREAM_QUERIES = {
     "correlate_purchases_full_stream": lambda spark, d: q_correlate_purchases_stream(spark, d, "full"),
     "event_time_repair_stream": q_event_time_repair_stream,
     "purchase_fanout_stream": q_purchase_fanout_stream,
+    "employee_alerts_stream": q_employee_alerts_stream,
+    "purchase_days_stream": q_purchase_days_stream,
     "session_enriched_stream": q_session_enriched_stream,
 }

@@ -2,11 +2,12 @@
 
 ``stage_chunks`` writes a DataFrame as an ordered sequence of parquet chunks
 (one append per range of an ordering column) under the shared scratch
-folder; ``file_stream`` reads them back as a stream, one file per trigger,
-so the query sees several micro-batches in arrival order.  Sinks are
-exactly-once: the parquet file sink for append mode, and a ``foreachBatch``
-writer that overwrites ``batch_id=<n>`` (a replayed batch rewrites the same
-folder) for update mode.
+folder; ``file_stream`` reads them back as a stream, one chunk per trigger,
+so the query sees several micro-batches in arrival order.  Chunks and their
+files are sized by bytes.  Sinks: the parquet file sink for append mode
+(exactly-once through its commit log), and a ``foreachBatch`` writer that
+overwrites ``batch=<n>`` for update mode (a replayed batch rewrites its own
+folder; a reader that comes in between can see a folder half written).
 """
 
 from __future__ import annotations
@@ -16,34 +17,63 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from rivulet.session import scratch_dir
 
-RUN_TIMEOUT_SECONDS = 1800
+FILE_BYTES = 128 << 20
+BATCH_BYTES = 256 << 30
+#: micro-batches of a small input
+LEAST_BATCHES = 4
+#: marks the end-of-input rows of a staged stream
+END = "_end"
 
 
-FILES_PER_CHUNK = 2
+class Staged(str):
+    """Folder of a staged stream; knows how many files make one chunk."""
 
+    files = 1
 
-def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, n_chunks: int, name: str,
-                 tail: DataFrame | None = None, files_per_chunk: int = FILES_PER_CHUNK,
-                 sequence: list[int] | None = None, path: str | None = None) -> str:
-    """Write ``df`` as ``n_chunks`` ordered appends (ranges of ``order``),
-    then ``tail`` (e.g. an end-of-input marker) as the last one.
 
-    Each chunk is spread round-robin over exactly ``files_per_chunk`` files
-    (no empty files), so ``file_stream(max_files=files_per_chunk)`` turns one
-    chunk into one micro-batch.  Cut points come from ``approxQuantile``
-    (n_chunks - 1 numbers reach the driver).  ``sequence`` gives the order
-    in which chunks are appended (default: ascending; tests use it to make
-    late data); ``path`` appends to an existing staging folder."""
+def with_end(schema: StructType) -> StructType:
+    """``schema`` and the end marker's column."""
+    return StructType([*schema.fields, StructField(END, BooleanType())])
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a folder, from its file system's listing."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that this module wrote."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, name: str, n_chunks: int | None = None,
+                 tail: DataFrame | None = None, sequence: list[int] | None = None, path: str | None = None) -> Staged:
+    """Write ``df`` as ordered appends (ranges of ``order``), then ``tail``
+    (end-of-input rows, marked in the column END) as the last one.
+
+    The number of chunks grows with the input (``n_chunks`` fixes it), and
+    each chunk is spread over files of about FILE_BYTES, which
+    ``file_stream`` reads as one micro-batch.  Cut points come from
+    ``approxQuantile`` (one number per chunk reaches the driver).
+    ``sequence`` gives the order in which chunks are appended (default:
+    ascending; tests use it to make late data); ``path`` appends to an
+    existing staging folder."""
     path = path or scratch_dir(spark, f"stream-in-{name}")
     # Compute the input once into a table in the shared folder (a lineage
     # cut); quantiles and the chunk writes read it with the range filter
     # pushed into the scan.
     source = scratch_dir(spark, f"stage-src-{name}")
-    staged = df.withColumn("_o", order)
+    staged = df.withColumns({"_o": order, END: F.lit(False)})
     _spread(staged, max(spark.sparkContext.defaultParallelism, 1)).write.mode("overwrite").parquet(source)
+    size = stored_bytes(spark, source)
+    n_chunks = n_chunks or max(LEAST_BATCHES, -(-size // BATCH_BYTES))
+    files = max(1, -(-size // (n_chunks * FILE_BYTES)))
     keyed = spark.read.parquet(source)
     probs = [i / n_chunks for i in range(1, n_chunks)]
     cuts = sorted(set(keyed.approxQuantile("_o", probs, 0.001))) if n_chunks > 1 else []
@@ -57,10 +87,13 @@ def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, n_chunks: in
             cond = cond & (F.col("_o") <= F.lit(hi))
         if lo is None:
             cond = cond | F.col("_o").isNull()  # rows without an order value go first
-        _spread(keyed.where(cond).drop("_o"), files_per_chunk).write.mode("append").parquet(path)
+        _spread(keyed.where(cond).drop("_o"), files).write.mode("append").parquet(path)
     if tail is not None:
-        _spread(tail.select(*df.columns), files_per_chunk).write.mode("append").parquet(path)
-    return path
+        _spread(tail.select(*df.columns).withColumn(END, F.lit(True)), 1).write.mode("append").parquet(path)
+    remove(spark, source)
+    out = Staged(path)
+    out.files = files
+    return out
 
 
 def _spread(df: DataFrame, files: int) -> DataFrame:
@@ -69,9 +102,9 @@ def _spread(df: DataFrame, files: int) -> DataFrame:
     return df.repartition(files, F.xxhash64(*df.columns))
 
 
-def file_stream(spark: SparkSession, path: str, schema, max_files: int = FILES_PER_CHUNK) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .parquet(path))
+def file_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    files = max_files or getattr(path, "files", 1)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def to_event_time(df: DataFrame, col: str) -> DataFrame:
@@ -86,9 +119,11 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_to_end(query: StreamingQuery, timeout: int = RUN_TIMEOUT_SECONDS) -> None:
-    finished = query.awaitTermination(timeout)
-    if not finished:
+def run_to_end(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait for a stream that ends by itself; ``timeout`` in seconds, none by default."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream {query.name} did not finish in {timeout}s")
     if query.exception() is not None:

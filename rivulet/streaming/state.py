@@ -1,17 +1,10 @@
-"""Keyed state operators (transformWithStateInPandas) with bucketed state.
+"""Keyed state (transformWithStateInPandas).
 
-A state key is a bucket of members (symbols of one industry shard, or
-customers of one hash bucket) and its ValueState holds the members' values
-as parallel arrays.  Each micro-batch costs one state read and one write per
-touched bucket, and the merge is vectorised pandas; per-member round trips
-to the state store would dominate otherwise.  The bucket count is a
-parameter: choose it so a bucket holds at most some thousands of members
-(it is fixed for the life of a checkpoint).  ``PartitionTime`` is the
-exception: it is keyed by input partition, whose records are ordered by
-offset and hold one number of state.
-
-Rows reach the handlers already reduced to the JVM-computed columns they
-need.
+``PartitionTime`` is keyed by input partition, whose records are ordered by
+offset and hold one number of state.  Rows reach the handler already reduced
+to the JVM-computed columns it needs.  Totals per key do not need a
+processor: ``rivulet.streaming.operators`` keeps them as native update-mode
+aggregates.
 """
 
 from __future__ import annotations
@@ -22,110 +15,6 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-TOP_OUT = T.StructType([
-    T.StructField("industry", T.StringType()),
-    T.StructField("shard", T.IntegerType()),
-    T.StructField("rank", T.IntegerType()),
-    T.StructField("symbol", T.StringType()),
-    T.StructField("shares", T.LongType()),
-])
-
-
-class ShardTopK(StatefulProcessor):
-    """Per (industry, shard): running share volume of every symbol of the
-    shard, and its top k (shares descending, symbol ascending) emitted
-    whenever the shard is touched.  All symbols are kept, so the result stays
-    exact when a volume falls (no evicted entry is lost)."""
-
-    def __init__(self, k: int = 5):
-        self.k = k
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.volumes = handle.getValueState("volumes", "symbols array<string>, shares array<bigint>")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        industry, shard = key
-        batch = pd.concat(list(rows), ignore_index=True)
-        deltas = batch.groupby("symbol", sort=False)["shares"].sum().astype("int64")
-        if self.volumes.exists():
-            symbols, shares = self.volumes.get()
-            merged = pd.Series(list(shares), index=list(symbols), dtype="int64").add(deltas, fill_value=0)
-        else:
-            merged = deltas
-        merged = merged.astype("int64")
-        self.volumes.update((merged.index.tolist(), merged.tolist()))
-        top = (merged.rename("shares").rename_axis("symbol").reset_index()
-                     .sort_values(["shares", "symbol"], ascending=[False, True]).head(self.k))
-        yield pd.DataFrame({"industry": industry, "shard": int(shard),
-                            "rank": range(1, len(top) + 1), "symbol": top["symbol"].tolist(),
-                            "shares": top["shares"].tolist()},
-                           columns=["industry", "shard", "rank", "symbol", "shares"])
-
-    def close(self) -> None:
-        pass
-
-
-REWARD_OUT = T.StructType([
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("total_reward_points", T.LongType()),
-    T.StructField("n_purchases", T.LongType()),
-    T.StructField("last_purchase_day", T.IntegerType()),
-    T.StructField("days_from_last_purchase", T.IntegerType()),
-])
-
-NO_DAY = -(2 ** 31)
-_ACC_COLS = ["customer_id", "total", "n", "last", "prev"]
-
-
-class RewardAccumulator(StatefulProcessor):
-    """Per customer (state bucketed by customer hash): accumulated reward
-    points (``total += points``), number of purchases, latest purchase day
-    and the distinct day before it.  Emits the accumulator of each customer
-    seen in a batch.  Arrival order does not matter: totals add up and the
-    two latest distinct days are kept."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState(
-            "acc", "customers array<string>, total array<bigint>, n array<bigint>, "
-                   "last array<int>, prev array<int>")
-
-    def _state(self) -> pd.DataFrame:
-        if not self.acc.exists():
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in _ACC_COLS}).astype({"customer_id": object})
-        return pd.DataFrame(dict(zip(_ACC_COLS, (list(x) for x in self.acc.get()))))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        state = self._state().set_index("customer_id")
-        got = batch.groupby("customer_id").agg(points=("points", "sum"), cnt=("points", "size"))
-        old = state.reindex(got.index)
-        total = old["total"].fillna(0).astype("int64") + got["points"].astype("int64")
-        n = old["n"].fillna(0).astype("int64") + got["cnt"].astype("int64")
-        days = pd.concat([
-            batch[["customer_id", "day"]],
-            old["last"].dropna().rename("day").reset_index(),
-            old["prev"].dropna().rename("day").reset_index()], ignore_index=True)
-        days = days[days["day"] != NO_DAY].astype({"day": "int64"}).drop_duplicates()
-        days = days.sort_values(["customer_id", "day"], ascending=[True, False])
-        days["r"] = days.groupby("customer_id").cumcount()
-        last = days[days["r"] == 0].set_index("customer_id")["day"].reindex(got.index)
-        prev = days[days["r"] == 1].set_index("customer_id")["day"].reindex(got.index).fillna(NO_DAY)
-        upd = pd.DataFrame({"total": total, "n": n, "last": last.astype("int64"),
-                            "prev": prev.astype("int64")})
-        state = pd.concat([state.drop(index=got.index, errors="ignore"), upd])
-        self.acc.update((state.index.tolist(), state["total"].astype("int64").tolist(),
-                         state["n"].astype("int64").tolist(), state["last"].astype("int64").tolist(),
-                         state["prev"].astype("int64").tolist()))
-        gap = (upd["last"] - upd["prev"]).where(upd["prev"] != NO_DAY, 0)
-        yield pd.DataFrame({"customer_id": upd.index.tolist(), "total_reward_points": upd["total"].tolist(),
-                            "n_purchases": upd["n"].tolist(), "last_purchase_day": upd["last"].tolist(),
-                            "days_from_last_purchase": gap.astype("int64").tolist()},
-                           columns=[f.name for f in REWARD_OUT.fields])
-
-    def close(self) -> None:
-        pass
-
-
 REPAIR_OUT = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("partition", T.IntegerType()),

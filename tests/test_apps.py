@@ -28,7 +28,7 @@ def test_purchase_flow_batch_fan_out(spark):
 
 def test_advanced_flow_as_one_stream_with_many_sinks(spark):
     pur = V.v_purchase(spark, SF_SMALL)
-    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), 3, "app-adv")
+    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), "app-adv", 3)
     base, ckpt = scratch_dir(spark, "app-adv-out"), scratch_dir(spark, "app-adv-ckpt")
     q = (file_stream(spark, path, PURCHASE).writeStream
          .foreachBatch(fan_out_writer(apps.purchase_flow_advanced, base))
@@ -86,7 +86,7 @@ def test_fan_out_on_a_processing_time_trigger(spark):
     from rivulet.sources.sinks import start_fan_out
 
     pur = V.v_purchase(spark, SF_SMALL)
-    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), 2, "app-cadence")
+    path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), "app-cadence", 2)
     base, ckpt = scratch_dir(spark, "app-cadence-out"), scratch_dir(spark, "app-cadence-ckpt")
     q = start_fan_out(file_stream(spark, path, PURCHASE), apps.purchase_flow, base, ckpt, every="1 second")
     try:

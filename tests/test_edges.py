@@ -156,3 +156,47 @@ def test_name_parts_match_split_part(spark):
                      name_part("c_name", 2).alias("b"), F.split_part("c_name", F.lit("#"), F.lit(2)).alias("b2")
                      ).collect()
     assert all(r.a == r.a2 and r.b == r.b2 for r in rows)
+
+
+def test_progress_percent_rounds_half_to_even(spark):
+    from rivulet.operators.monitoring import progress_percent
+
+    rows = [(0, 0)] + [(0, 1)] * 2 + [(0, 2)] * 797
+    df = spark.createDataFrame(rows, "p int, b int")
+    got = [r.percent_complete for r in progress_percent(df, F.col("p"), F.col("b")).orderBy("batch").collect()]
+    assert got == [0.12, 0.38, 100.0]  # 1 of 800 is 0.125 %, 3 of 800 is 0.375 %
+
+
+def test_running_sum_of_a_null_key(spark):
+    df = spark.createDataFrame([(None, i, 1) for i in range(6)], "k string, id long, v long")
+    out = running_aggregate(df, ["k"], F.floor(F.col("id") / 2), [F.col("id")], F.col("v"), "rs")
+    assert [r.rs for r in out.orderBy("id").collect()] == [1, 2, 3, 4, 5, 6]
+
+
+def test_dimension_with_two_rows_for_a_key(spark):
+    from rivulet.operators.joins import join_dimension
+
+    facts = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    dim = spark.createDataFrame([("a", "old", 1), ("a", "new", 2), ("c", "x", 1)], "k string, name string, at int")
+    got = sorted((r.v, r.name) for r in join_dimension(facts, dim, "k", order="at").collect())
+    assert got == [(1, "new"), (2, None), (3, None)]
+    assert join_dimension(facts, dim.select("k"), "k", how="inner").count() == 1
+
+
+def test_records_without_key_are_spread(spark):
+    from rivulet.operators.records import partition_by_key
+
+    df = spark.range(1000).select(F.lit(None).cast("string").alias("k"), "id")
+    used = partition_by_key(df, "k", 16, F.col("id")).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used == 16
+
+
+def test_keys_beyond_the_items_keep_a_row(spark):
+    from rivulet.operators.aggregates import pair_by_rank, reduce_share_volume
+
+    keys = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    items = spark.createDataFrame([(1, "one")], "id long, text string")
+    got = sorted((r.k, r.text) for r in pair_by_rank(keys, "k", items, "id", ["id", "text"]).collect())
+    assert got == [("a", "one"), ("b", None), ("c", None)]
+    trades = spark.createDataFrame([("S", "x", 2, 1), ("S", "y", 3, 2)], "symbol string, industry string, shares int, ts int")
+    assert [tuple(r) for r in reduce_share_volume(trades).collect()] == [("S", "y", 5)]

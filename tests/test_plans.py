@@ -28,9 +28,19 @@ def test_latest_per_key_reduces_map_side(spark):
     assert "partial_max_by" in p
 
 
-def test_dimension_lookups_broadcast_after_size_check(spark):
-    p = plan(C.q_session_enriched(spark, SF_SMALL))
-    assert p.count("BroadcastHashJoin LeftOuter") == 2
+def test_no_job_runs_while_a_dimension_join_is_planned(spark):
+    from rivulet.operators.joins import join_dimension
+
+    facts, dim = spark.range(100), spark.range(10).selectExpr("id", "id * 2 as twice")
+    spark.sparkContext.setJobGroup("dimension-plan", "")
+    p = plan(join_dimension(facts, dim, "id"))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("dimension-plan")) == []
+    assert "Join" in p
+
+
+def test_sessions_reduce_to_slots_before_the_first_shuffle(spark):
+    p = plan(C.q_session_count(spark, SF_SMALL))
+    assert p.index("HashAggregate (") < p.index("Exchange (") and "partial_count" in p
 
 
 def test_interval_join_equi_joins_on_key_and_time_bucket(spark):

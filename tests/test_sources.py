@@ -33,7 +33,8 @@ def test_decode_and_encode_kafka_envelope(spark):
 def test_option_maps():
     src = kafka_source_options("b:9092", "purchases", starting="latest", max_offsets_per_trigger=1000)
     assert src["subscribe"] == "purchases" and src["startingOffsets"] == "latest"
-    assert src["maxOffsetsPerTrigger"] == "1000"
+    assert src["maxOffsetsPerTrigger"] == "1000" and src["failOnDataLoss"] == "true"
+    assert kafka_source_options("b:9092", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
     sink = kafka_sink_options("b:9092", "patterns")
     assert sink["topic"] == "patterns" and sink["kafka.acks"] == "all"
     assert sink["kafka.compression.type"] == "snappy"

@@ -1,67 +1,58 @@
-"""Keyed state processors: restart from the checkpoint, falling values."""
+"""Totals kept by a stream: restart from the checkpoint, falling values, null keys, exact integers."""
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from rivulet.functions import purchase as P
-from rivulet.session import ensure_state_store, scratch_dir, ship_package
+from rivulet.operators.tables import latest_per_key
+from rivulet.operators.topk import top_k_by_volume
+from rivulet.session import scratch_dir
 from rivulet.sources import fixtures as V
-from rivulet.streaming.harness import file_stream, read_batches, run_to_end, stage_chunks
-from rivulet.streaming.state import REWARD_OUT, TOP_OUT, RewardAccumulator, ShardTopK
-from pyspark.sql import types as T
+from rivulet.streaming.harness import batch_writer, file_stream, read_batches, run_to_end, stage_chunks
+from rivulet.streaming.operators import running_totals
 
 
-def _run(spark, df, out, ckpt):
-    q = (df.writeStream.foreachBatch(lambda b, i: b.withColumn("batch_id", F.lit(i).cast("long"))
-                                     .write.mode("overwrite").parquet(f"{out}/batch={i}"))
-         .option("checkpointLocation", ckpt).outputMode("update").trigger(availableNow=True).start())
-    run_to_end(q)
+def _run(spark, df, out, ckpt, partitions="8"):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        run_to_end(df.writeStream.foreachBatch(batch_writer(out)).option("checkpointLocation", ckpt)
+                   .outputMode("update").trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_reward_state_survives_restart(spark):
-    ensure_state_store(spark)
-    ship_package(spark)
+def test_totals_survive_a_restart_on_a_cluster_of_another_size(spark):
     pur = V.v_purchase(spark, SF_SMALL).select(
         "customer_id", P.java_int(P.amount()).cast("long").alias("points"),
         F.unix_date(F.to_date("purchase_date")).alias("day"))
-    order = F.col("day")
-    path = stage_chunks(spark, pur, order, 4, "state-restart", sequence=[0, 1])
+    order, totals = F.col("day"), [F.sum("points").alias("points"), F.count(F.lit(1)).alias("n")]
+    path = stage_chunks(spark, pur, order, "state-restart", 4, sequence=[0, 1])
     out, ckpt = scratch_dir(spark, "state-out"), scratch_dir(spark, "state-ckpt")
-
-    def plan():
-        s = file_stream(spark, path, pur.schema).withColumn(
-            "bucket", F.pmod(F.xxhash64("customer_id"), F.lit(8)).cast("int"))
-        return s.groupBy("bucket").transformWithStateInPandas(
-            statefulProcessor=RewardAccumulator(), outputStructType=REWARD_OUT, outputMode="Update",
-            timeMode="None")
-
-    _run(spark, plan(), out, ckpt)
-    stage_chunks(spark, pur, order, 4, "state-restart", sequence=[2, 3], path=path)
+    plan = lambda: running_totals(file_stream(spark, path, pur.schema), ["customer_id"], totals)
     _run(spark, plan(), out, ckpt)
-    back = read_batches(spark, out, T.StructType(REWARD_OUT.fields))
-    final = back.groupBy("customer_id").agg(
-        F.max_by(F.struct("total_reward_points", "n_purchases"), "batch_id").alias("a"))
-    got = {r.customer_id: (r.a.total_reward_points, r.a.n_purchases) for r in final.collect()}
-    want = {r.customer_id: (r.t, r.n) for r in pur.groupBy("customer_id").agg(
-        F.sum("points").alias("t"), F.count(F.lit(1)).alias("n")).collect()}
+    stage_chunks(spark, pur, order, "state-restart", 4, sequence=[2, 3], path=path)
+    _run(spark, plan(), out, ckpt, partitions="3")
+    final = latest_per_key(read_batches(spark, out, plan().schema), "customer_id", "batch_id", ["points", "n"])
+    got = {r.customer_id: (r.points, r.n) for r in final.collect()}
+    want = {r.customer_id: (r.points, r.n) for r in pur.groupBy("customer_id").agg(*totals).collect()}
     assert got == want
 
 
-def test_topk_state_exact_when_a_volume_falls(spark):
-    ensure_state_store(spark)
-    ship_package(spark)
-    first = [("X", 0, f"S{i}", 100 - i) for i in range(7)]       # S0..S6; S5, S6 ranked out
-    second = [("X", 0, "S0", -95), ("X", 0, "S1", -90)]          # S0, S1 fall below S5
-    schema = "industry string, shard int, symbol string, shares long"
-    path = scratch_dir(spark, "topk-fall-in")
-    spark.createDataFrame(first, schema).coalesce(1).write.mode("append").parquet(path)
-    spark.createDataFrame(second, schema).coalesce(1).write.mode("append").parquet(path)
-    s = file_stream(spark, path, T._parse_datatype_string(schema), max_files=1)
-    tops = s.groupBy("industry", "shard").transformWithStateInPandas(
-        statefulProcessor=ShardTopK(5), outputStructType=TOP_OUT, outputMode="Update", timeMode="None")
-    out, ckpt = scratch_dir(spark, "topk-fall-out"), scratch_dir(spark, "topk-fall-ckpt")
-    _run(spark, tops, out, ckpt)
-    back = read_batches(spark, out, T.StructType(TOP_OUT.fields))
-    last = back.where(F.col("batch_id") == back.agg(F.max("batch_id")).first()[0])
-    got = [(r.symbol, r.shares) for r in last.orderBy("rank").collect()]
-    assert got == [("S2", 98), ("S3", 97), ("S4", 96), ("S5", 95), ("S6", 94)]
+def test_null_keys_falling_totals_and_large_integers(spark):
+    schema = "industry string, symbol string, shares long"
+    first = [("X", f"S{i}", 100 - i) for i in range(7)] + [("X", None, 1), (None, "N", 2**53), ("Y", "B", -5)]
+    second = [("X", "S0", -95), ("X", "S1", -90), ("X", None, 1), (None, "N", 1)]
+    path = scratch_dir(spark, "totals-in")
+    for rows in (first, second):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    s = file_stream(spark, path, spark.createDataFrame([], schema).schema, max_files=1)
+    totals = running_totals(s, ["industry", "symbol"], [F.sum("shares").alias("shares")])
+    out, ckpt = scratch_dir(spark, "totals-out"), scratch_dir(spark, "totals-ckpt")
+    _run(spark, totals, out, ckpt)
+    back = read_batches(spark, out, totals.schema)
+    last = (back.groupBy("industry", "symbol").agg(F.max_by("shares", "batch_id").alias("shares")))
+    got = {(r.industry, r.symbol): r.shares for r in last.collect()}
+    assert got[("X", None)] == 2 and got[(None, "N")] == 2**53 + 1 and got[("Y", "B")] == -5
+    top = [(r.symbol, r.shares) for r in top_k_by_volume(last).where("industry = 'X'").orderBy("rank").collect()]
+    assert top == [("S2", 98), ("S3", 97), ("S4", 96), ("S5", 95), ("S6", 94)]
