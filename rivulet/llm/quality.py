@@ -9,8 +9,8 @@ p / (n + 16) that the difference is to be read against, and of their product.
 
 Bounds of the sample: of two thirds of the labelled rows (by a hash of the id), ``PER_CLASS`` per class for the
 dictionaries; of the other third, ``CALIBRATE`` rows as they come for the curve; in either, the rows with the least hash
-of their id. A dictionary row gives one block of its text, chosen by
-that hash; calibration rows count with their whole text. Inputs of a score are the text alone.
+of their id. The dictionary rows' texts give ``BLOCKS`` blocks per class, those with the least hash; calibration rows
+count with their whole text. Inputs of a score are the text alone.
 
 Defined results: a null text is the empty text, and has a score like any other (that of differences and ratio 0).
 Null labels teach nothing; a row that is labelled twice counts twice. Without labels of both classes every score is
@@ -34,6 +34,7 @@ BLOCK_BYTES = 4096
 DICTIONARY_BYTES = 112 << 10
 LEVEL = 3
 PER_CLASS = 3000
+BLOCKS = 3000
 CALIBRATE = 4000
 THRESHOLD = 0.3
 
@@ -76,10 +77,11 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of the logistic curve over columns ``x`` (Newton steps, lightly ridged; columns are scaled first)."""
+    """Weights of the logistic curve over columns ``x`` (Newton steps; columns are scaled first). The difference leads:
+    the columns after it are held back more, so that a few calibration rows do not let them decide."""
     scale = np.maximum(np.abs(x).max(axis=0), 1e-12)
     z, w = x / scale, np.zeros(x.shape[1])
-    ridge = 1e-3 * np.eye(len(w))
+    ridge = np.diag([1e-3, 0.1, 0.1, 1e-3])
     for _ in range(100):
         p = sigmoid(z @ w)
         step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, z.T @ (y - p) - ridge @ w)
@@ -100,13 +102,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
            .unionByName(least(known.where(~for_curve & ~F.col("good")), per_class, 0))
            .unionByName(least(known.where(for_curve), calibrate, 1)))
     sample = docs.join(F.broadcast(ids), "key")
-    size = F.greatest(F.length("text"), F.lit(1))
-    block = F.floor(F.pmod("order", F.ceil(size / BLOCK_BYTES))) * BLOCK_BYTES
-    blocks = (sample.where("use = 0")
-              .select("good", F.substr("text", (block + 1).cast("int"), F.lit(BLOCK_BYTES)).alias("block"))
-              .where("block <> ''").orderBy(F.xxhash64("block"), "block").toArrow())
-    rows = list(zip(blocks["good"].to_pylist(), blocks["block"].to_pylist(), strict=True))
-    good, bad = ([b.encode() for g, b in rows if g is kind] for kind in (True, False))
+    start = F.explode(F.sequence(F.lit(1), F.length("text"), F.lit(BLOCK_BYTES)))
+    blocks = (sample.where("use = 0").where("text <> ''").select("good", "key", "text", start.alias("start"))
+              .select("good", F.substr("text", F.col("start"), F.lit(BLOCK_BYTES)).alias("block"),
+                      F.xxhash64("key", "start").alias("order")))
+    good, bad = ([b.encode() for b in blocks.where(F.col("good") == kind).orderBy("order", "block").limit(BLOCKS)
+                  .toArrow()["block"].to_pylist()] for kind in (True, False))
     if not good or not bad:
         return None
     model = QualityModel(train_dictionary(good), train_dictionary(bad))
