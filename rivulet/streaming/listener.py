@@ -3,17 +3,21 @@ query registers through ``observe`` (records written per sink, etc.)."""
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects one small dict per batch on the driver (bounded by the number
-    of batches, not by data volume)."""
+    """Collects one small dict per batch on the driver: the last ``keep`` of
+    them.  ``write`` appends what has come since the last call to a folder, so
+    a long stream keeps its whole log there."""
 
-    def __init__(self):
-        self.rows: list[dict] = []
-        self.states: list[tuple[str, str]] = []
+    def __init__(self, keep: int = 10_000):
+        self.rows: deque[dict] = deque(maxlen=keep)
+        self.states: deque[tuple[str, str]] = deque(maxlen=keep)
+        self.failed = 0
 
     def onQueryStarted(self, event) -> None:
         self.states.append((str(event.id), "started"))
@@ -31,8 +35,17 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
+        self.failed += bool(event.exception)
         self.states.append((str(event.id), "failed" if event.exception else "terminated"))
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows) if self.rows else spark.createDataFrame(
+        rows = list(self.rows)
+        return spark.createDataFrame(rows) if rows else spark.createDataFrame(
             [], "query string, batch_id long, input_rows long, duration_ms long")
+
+    def write(self, spark: SparkSession, folder: str) -> int:
+        """Append the rows so far to ``folder`` as JSON and forget them; returns their number."""
+        rows = [self.rows.popleft() for _ in range(len(self.rows))]
+        if rows:
+            spark.createDataFrame(rows).coalesce(1).write.mode("append").json(folder)
+        return len(rows)

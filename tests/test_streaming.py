@@ -104,7 +104,9 @@ def test_progress_log_records_observed_metrics(spark):
         spark.streams.removeListener(log)
     rows = [r for r in log.rows if r.get("sink.rows") is not None]
     assert sum(r["sink.rows"] for r in rows) == ev.count()
-    assert len(rows) >= 3
+    assert len(rows) >= 3 and log.failed == 0
+    folder, n = scratch_dir(spark, "progress-log"), len(log.rows)
+    assert log.write(spark, folder) == n and not log.rows and spark.read.json(folder).count() == n
 
 
 def test_staging_keeps_every_row(spark):
