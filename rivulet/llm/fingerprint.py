@@ -172,10 +172,14 @@ def in_order(docs: DataFrame) -> DataFrame:
         known = np.asarray(ids.fill_null(0))
         return pa.array(np.searchsorted(bounds, known, "right").astype(np.int32), mask=np.asarray(ids.is_null()))
 
+    @F.arrow_udf("boolean")
+    def opens(ids: pa.Array) -> pa.Array:
+        known = np.asarray(ids.fill_null(0))
+        return pa.array(np.isin(known, bounds), mask=np.asarray(ids.is_null()))
+
     last = len(bounds)
     own = F.coalesce(part_of("doc_id"), F.pmod(F.xxhash64("text"), F.lit(last + 1)).cast("int"))
-    starts = F.col("doc_id").isin([int(b) for b in bounds]) if last < 50 else F.exists(
-        F.lit([int(b) for b in bounds]), lambda b: b == F.col("doc_id"))
+    starts = opens("doc_id")
     rows = docs.withColumn("own", own)
     ahead = (F.when(F.col("doc_id") == least, F.lit(last)).when(starts, F.col("own") - 1))
     dealt = rows.select("doc_id", "text", F.explode(F.array(
