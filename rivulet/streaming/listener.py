@@ -3,6 +3,7 @@ query registers through ``observe`` (records written per sink, etc.)."""
 
 from __future__ import annotations
 
+import json
 from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,5 +48,6 @@ class ProgressLog(StreamingQueryListener):
         """Append the rows so far to ``folder`` as JSON and forget them; returns their number."""
         rows = [self.rows.popleft() for _ in range(len(self.rows))]
         if rows:
-            spark.createDataFrame(rows).coalesce(1).write.mode("append").json(folder)
+            lines = [(json.dumps(r, default=str),) for r in rows]
+            spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(folder)
         return len(rows)
