@@ -18,7 +18,7 @@ shares at least the smaller l of the two.
    and place of the shared shingles allow, are verified. No pair is left out, and pairs within a component need no
    check.
 
-Verification intersects the whole sets. Components come from ``connected_components``.
+Verification intersects the whole sets, which are made again from the texts of a round's pairs alone. Components come from ``connected_components``.
 
 Defined results: a null text is empty; an empty text, or one without words, has no shingles and links with nothing (its
 component is its own id). Rows with equal ids count as one node. Rows whose id is null belong to the component of their
@@ -46,11 +46,15 @@ PERCENT = 80
 MOST = 16
 #: cost of one candidate, in prefix shingles
 CANDIDATE_COST = 4.0
-CELLS = 1 << 20
-CHUNK = 1 << 12
-BITS = 1 << 23
+CELLS = 1 << 22
+CHUNK = 1 << 14
+#: bits of the bitmaps that rule out shingles (8 MB) and documents (1 MB)
+TOKEN_BITS = 1 << 26
+ID_BITS = 1 << 23
+#: parity bits that a set is summed up in, as PARITY columns of 64 bits
+PARITY = 4
 #: star rounds at most; the last step does the rest in any case
-STARS = 3
+STARS = 2
 
 
 def sketch(docs: DataFrame, words: int) -> np.ndarray:
@@ -63,8 +67,11 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
             cells += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
         yield from rows(dict(enumerate(cells.reshape(-1, CHUNK))))
 
+    def numbers(v: bytes) -> np.ndarray:
+        return np.frombuffer(v, "<i4" if len(v) == 4 * CHUNK else "<i8").astype(np.int64)
+
     def rows(chunks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        used = [(k, v.astype("<i8").tobytes()) for k, v in chunks.items() if v.any()]
+        used = [(k, v.astype("<i4" if v.max() < 1 << 31 else "<i8").tobytes()) for k, v in chunks.items() if v.any()]
         if used:
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in used], pa.int32()),
                                               pa.array([v for _, v in used], pa.binary())], names=["chunk", "cells"])
@@ -73,7 +80,7 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[k] = total.get(k, 0) + np.frombuffer(v, "<i8")
+                total[k] = total.get(k, 0) + numbers(v)
         yield from rows(total)
 
     schema = "chunk int, cells binary"
@@ -81,8 +88,8 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
     parts = docs.select("text").mapInArrow(count, schema).repartition(n, "chunk").mapInArrow(add, schema).collect()
     cells = np.zeros((CELLS // CHUNK, CHUNK), np.int64)
     for r in parts:
-        cells[r["chunk"]] = np.frombuffer(r["cells"], "<i8")
-    return cells.ravel()
+        cells[r["chunk"]] = numbers(r["cells"])
+    return cells.ravel().astype(np.int32) if cells.max() < 1 << 31 else cells.ravel()
 
 
 def choose_matches(excess: np.ndarray, bounds: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -100,7 +107,8 @@ def choose_matches(excess: np.ndarray, bounds: np.ndarray, least: np.ndarray) ->
 
 
 def prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), s1 and s2 (128 bits that stand for the set), matches, prefix (shingles in global order)."""
+    """doc_id, n (set size), s1 and s2 (128 bits that stand for the set), matches, prefix (shingles in global order),
+    p0.. (PARITY columns: each bit says whether the set has an odd number of the shingles that hash to it)."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
     load = cells.mean()
     noise = load + 3 * np.sqrt(load)
@@ -122,28 +130,38 @@ def prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> Da
             inside = np.arange(len(h)) - np.repeat(bounds[:-1], size)
             taken = h[order][inside < np.repeat(length, size)].astype(np.int64)
             ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+            width = 64 * PARITY
+            bit = ((h >> np.uint64(24)) % np.uint64(width)).astype(np.int64)
+            odd = np.bincount(owner * width + bit, minlength=len(texts) * width).reshape(-1, width) & 1
+            parity = np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(s[:, 0]), pa.array(s[:, 1]),
-                 pa.array(matches, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(taken))],
-                names=["doc_id", "n", "s1", "s2", "matches", "prefix"])
+                 pa.array(matches, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(taken)),
+                 *(pa.array(np.ascontiguousarray(parity[:, k])) for k in range(PARITY))],
+                names=["doc_id", "n", "s1", "s2", "matches", "prefix", *parities()])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n long, s1 long, s2 long, matches int, prefix array<long>")
+        run, f"doc_id {kind}, n long, s1 long, s2 long, matches int, prefix array<long>, "
+             + ", ".join(f"{p} long" for p in parities()))
+
 
+def parities() -> list[str]:
+    return [f"p{k}" for k in range(PARITY)]
 
-def bitmap(values: DataFrame) -> np.ndarray:
-    """BITS bits as 64-bit words; those of the rows' one column (long, a hash) are set."""
-    bit = F.pmod(F.col(values.columns[0]), F.lit(BITS))
+
+def bitmap(values: DataFrame, bits: int) -> np.ndarray:
+    """``bits`` bits as 64-bit words; those of the rows' one column (long, a hash) are set."""
+    bit = F.pmod(F.col(values.columns[0]), F.lit(bits))
     words = (values.select(F.floor(bit / 64).alias("word"), F.call_function(
         "shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
-    out = np.zeros(BITS // 64, np.int64)
+    out = np.zeros(bits // 64, np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out.view(np.uint64)
 
 
 def bit_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = np.mod(hashes.astype(np.int64), BITS)
+    at = np.mod(hashes.astype(np.int64), 64 * len(bits))
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
@@ -153,7 +171,7 @@ def postings(rows: DataFrame) -> DataFrame:
     tokens = (rows.select(F.explode("prefix").alias("token"), "s1").groupBy("token")
               .agg(F.min("s1").alias("low"), F.max("s1").alias("high")).where("low <> high").select("token"))
     tokens = cut(tokens, "join-tokens")
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap(tokens))
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(tokens, TOKEN_BITS))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,22 +202,24 @@ def classes(rows: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles array<long>) of the documents named in ids (doc_id). Only their sets are moved, and those few
-    that a bitmap of fixed size cannot rule out."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select(F.xxhash64("doc_id"))))
+    """(doc_id, shingles array<long>) of the documents named in ids (doc_id). Only their texts go to the shingling, and
+    only their sets are moved, but for the few that a bitmap of fixed size cannot rule out."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select(F.xxhash64("doc_id")), ID_BITS))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @F.arrow_udf("boolean")
+    def wanted(marks: pa.Array) -> pa.Array:
+        return pa.array(bit_set(shared.value, marks.to_numpy()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wanted = pa.array(bit_set(shared.value, batch.column("mark").to_numpy()))
-            for part, texts in groups([batch.filter(wanted)]):
-                h, bounds = shingle_sets(texts, words)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)),
-                                                                     pa.array(h.astype(np.int64)))],
-                    names=["doc_id", "shingles"])
-
-    found = (docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("mark"))
+        for part, texts in groups(batches):
+            h, bounds = shingle_sets(texts, words)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)),
+                                                                 pa.array(h.astype(np.int64)))],
+                names=["doc_id", "shingles"])
+
+    found = (docs.where("doc_id is not null").where(wanted(F.xxhash64("doc_id"))).select("doc_id", "text")
              .mapInArrow(run, f"doc_id {kind}, shingles array<long>"))
     return found.join(ids, "doc_id", "left_semi")
 
@@ -210,37 +230,40 @@ def alike(size: Column, other: Column, shared: Column, percent: int) -> Column:
 
 
 def possible(percent: int) -> Column:
-    """Of a pair of postings x and y with one token: whether sizes and places leave room for enough shared shingles.
-    Two texts share at most what both have open before the token and what both have from it on; and at most the open
-    shingles of either one's prefix and all that follow the prefix."""
+    """Of a pair of postings x and y with one token: whether sizes, places and parity bits leave room for enough shared
+    shingles. What two texts share before a token of both prefixes is in both prefixes, so open; from the token on they
+    share at most what either still has; and they differ in one shingle at least for each parity bit that differs."""
     need = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
     here = F.least("x.before", "y.before") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    return (here >= need) & (F.least("x.room", "y.room") >= need) & (F.least("x.n", "y.n") >= need)
+    differ = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in parities()), F.lit(0))
+    return (here >= need) & (F.least("x.n", "y.n") >= need) & (differ <= F.col("x.n") + F.col("y.n") - 2 * need)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
+    pairs = cut(pairs, "join-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = cut(sets_of(docs, cut(ids, "join-ids"), words), "join-sets")
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(x, "a").join(y, "b")
-    return both.where(alike(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")), percent)).select("a", "b")
+    return cut(both.where(alike(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")), percent))
+               .select("a", "b").distinct(), "join-links")
 
 
-def opened(posts: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+def opened(posts: DataFrame, component: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """posts of the tokens whose texts are in two or more components so far (part), with main (whether the text is in
-    the component that has most of the token's texts), before (open shingles of the text before this one), room (open
-    shingles of its prefix and all shingles after the prefix) and index (the prefix length that is enough for the
-    smaller set of a pair)."""
+    the component that has most of the token's texts), before (open shingles of the text before this one), index (the
+    prefix length that is enough for the smaller set of a pair) and the parity columns."""
     now = cut(posts.join(component, F.col("doc_id") == F.col("id"), "left").select(
         *posts.columns, F.coalesce("component", "doc_id").alias("part")), "join-parts")
     by_part = now.groupBy("token", "part").agg(F.count("*").alias("texts"))
     tokens = cut(by_part.groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("texts", "part")).alias("most"))
                  .where("parts > 1").select("token", F.col("most.part").alias("most")), "join-open")
     in_text = W.partitionBy("doc_id", "n")
-    after = F.ceil(percent * F.col("n") / 100) - F.col("matches")
-    return (now.join(tokens, "token").withColumn("main", F.col("part") == F.col("most")).drop("most")
+    left = now.join(tokens, "token").join(marks, "doc_id")
+    return (left.withColumn("main", F.col("part") == F.col("most")).drop("most")
             .withColumns({"before": F.row_number().over(in_text.orderBy("pos")) - 1,
-                          "room": F.count("*").over(in_text) + after,
                           "index": F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + F.col("matches")}))
 
 
@@ -252,7 +275,7 @@ def star_pairs(left: DataFrame, turn: int, percent: int) -> DataFrame:
     """Per token, one text as the middle with each text of another component."""
     order = F.lit(0) if turn == 0 else F.xxhash64("token", "doc_id", F.lit(turn))
     middle = left.groupBy("token").agg(F.min(F.struct(order.alias("order"), "doc_id", "part", "pos", "n", "before",
-                                                      "room")).alias("y")).select("token", "y.*")
+                                                      *parities())).alias("y")).select("token", "y.*")
     return (left.alias("x").join(cut(middle, "join-middles").alias("y"), "token")
             .where((F.col("x.part") != F.col("y.part")) & possible(percent))
             .select(*pair_of("x.doc_id", "y.doc_id")).distinct())
@@ -274,18 +297,20 @@ def open_pairs(left: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """(id, component) of the classes that link with another one."""
     posts = cut(postings(rows), "join-postings")
-    sets = cut(sets_of(docs, posts.select("doc_id").distinct(), words), "join-sets")
+    marks = rows.join(cut(posts.select("doc_id").distinct(), "join-ids"), "doc_id", "left_semi").select(
+        "doc_id", *parities()).distinct()
+    marks = cut(marks, "join-marks")
     kind = posts.schema["doc_id"].dataType.simpleString()
     component = docs.sparkSession.createDataFrame([], f"id {kind}, component {kind}")
     found, turn, last = None, 0, False
     while True:
-        left = cut(opened(posts, component, percent), "join-open-postings")
+        left = cut(opened(posts, component, marks, percent), "join-open-postings")
         new = None
         if turn < STARS:
-            new = cut(verified(star_pairs(left, turn, percent), sets, percent), "join-links")
+            new = verified(star_pairs(left, turn, percent), docs, words, percent)
             turn = STARS if new.isEmpty() else turn + 1
         if new is None or new.isEmpty():
-            last, new = True, cut(verified(open_pairs(left, percent), sets, percent), "join-links")
+            last, new = True, verified(open_pairs(left, percent), docs, words, percent)
         if not new.isEmpty():
             found = new if found is None else found.unionByName(new)
             component = connected_components(found)
