@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import extended, table, texts, widened
+from rivulet.llm.common import bound_batches, extended, table, widened
 
 FILE = "byte_bpe_multi_50k.tiktoken"
 #: words kept per task; the table is emptied when it is full
@@ -175,6 +175,7 @@ def tokenizer(file: str = FILE) -> tuple[str, str]:
 
 def encode_texts(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``df`` without ``text``, with ids (binary: little-endian unsigned 32-bit integers)."""
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((load_ranks(path), pattern))
     kept = [c for c in df.columns if c != text]
 

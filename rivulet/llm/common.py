@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from rivulet.session import scratch_dir
 from rivulet.sources.tables import read_table
 
+#: rows of an Arrow batch that goes to a task's Python side; texts may be long
+BATCH_ROWS = 1000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -27,6 +29,14 @@ def cut(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of texts small: the session's batch size is lowered to BATCH_ROWS if it is larger. Results do
+    not depend on it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -37,11 +47,6 @@ def ascii_lower(column):
     return F.translate(column, UPPER, LOWER)
 
 
-def texts(column: pa.Array) -> list[str]:
-    """Strings of an Arrow column; null counts as the empty text."""
-    return ["" if t is None else t for t in column.to_pylist()]
-
-
 def extended(batch: pa.RecordBatch, **arrays: pa.Array) -> pa.RecordBatch:
     """``batch`` with further columns."""
     return pa.RecordBatch.from_arrays([*batch.columns, *arrays.values()], names=[*batch.schema.names, *arrays])

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import extended, table, widened
+from rivulet.llm.common import bound_batches, extended, table, widened
 
 BLOCK_BYTES = 4096
 DICTIONARY_BYTES = 112 << 10
@@ -122,6 +122,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
 
 def with_features(df: DataFrame, model: QualityModel, text: str) -> DataFrame:
     """``df`` and the columns difference, ratio, product."""
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.llm.bpe import KEPT_WORDS, fold, load_ranks, splitter, tokenizer
-from rivulet.llm.common import extended, table, widened
+from rivulet.llm.common import bound_batches, extended, table, widened
 
 #: pre-tokens under one leaf of the tree
 LEAF = 32
@@ -135,6 +135,7 @@ def state_arrays(done: list[Counted]) -> dict[str, pa.Array]:
 
 def build_counts(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """``df`` (with column text) and its STATE columns."""
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((load_ranks(path), pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
