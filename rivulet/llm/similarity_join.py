@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rivulet.llm.common import cut, partitions, table
+from rivulet.llm.common import bound_batches, cut, partitions, table
 from rivulet.llm.components import connected_components
 from rivulet.llm.shingles import groups, shingle_sets
 
@@ -64,7 +64,7 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
         cells = np.zeros(CELLS, np.int64)
         for _, texts in groups(batches):
             h, _ = shingle_sets(texts, words)
-            cells += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+            np.add.at(cells, (h & np.uint64(CELLS - 1)).astype(np.int64), 1)
         yield from rows(dict(enumerate(cells.reshape(-1, CHUNK))))
 
     def numbers(v: bytes) -> np.ndarray:
@@ -320,6 +320,7 @@ def links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFra
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """docs (doc_id, text) to doc_id, n_shingles, component_id: one row per input row."""
+    bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rows = cut(prefixes(docs, sketch(docs, words), words, percent), "join-prefixes")
     component = links(docs, rows, words, percent)
