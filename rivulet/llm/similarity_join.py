@@ -336,6 +336,19 @@ def op9_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the least id."""
-    kept = cut(near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct(), "join-kept")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group stays: the one with the least id, nulls last, then the least row number.
+
+    Rows are numbered as they are written, and groups are made of rows, not of ids: a row without id is in the group of
+    its text like any other, rows with one id and unlike texts are groups of their own. Rows whose texts have no words
+    link with nothing, but rows with one id and one such text are copies (a null text is empty)."""
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "join-rows")
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_row"), "n_shingles", "component_id")
+    mark = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    wordless = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    group = [F.when(wordless, F.col("doc_id")).alias("id"), F.when(wordless, F.col("mark")).alias("mark"),
+             F.when(~wordless, F.col("component_id")).alias("component")]
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_row")).alias("least")
+    kept = (rows.select("_row", "doc_id", mark.alias("mark")).join(found, "_row").groupBy(*group).agg(least)
+            .select("least._row"))
+    return rows.join(cut(kept, "join-kept"), "_row", "left_semi").select(*docs.columns)

@@ -53,3 +53,15 @@ def test_each_stage_takes_empty_and_awkward_rows(spark, k):
         assert k == 3 or out.columns == df.columns
         assert len(got) <= len(rows)
     assert out.collect() == []
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(None, a, "null id, unique"), (7, b, "x"), (7, b, "x"), (None, b, "x"), (3, b + " more", "least id"),
+            (None, c, "x"), (None, c + " more", "x"), (9, "d " * 30, "one id"), (9, " ".join(map(str, range(30))), "other text"),
+            (5, "", "x"), (5, None, "x"), (6, "", "no words"), (None, "", "no words, no id"), (None, "", "no words, no id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, SF_SMALL).collect()
+    named = sorted(r.source for r in got if r.source != "x")
+    assert named == sorted(r[2] for r in rows if r[2] != "x")
+    assert sorted((r.doc_id or 0, (r.text or "")[:2]) for r in got if r.source == "x") == [(0, "c0"), (5, "")]
