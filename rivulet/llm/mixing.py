@@ -2,7 +2,9 @@
 
 Documents fall into cells by source, language and topic; a cell's weight starts as its number of tokens. Raking scales
 the cells so that the sums over each source meet the sources' target, then the languages', then the topics', and again,
-``ROUNDS`` times. A document is kept with its cell's probability (fitted weight per token, divided by the largest such
+``ROUNDS`` times at least and until no sum was more than ``TOLERANCE`` off its target in a whole round. Targets that no
+weights meet together stop the rounds when these change nothing any more (or after ``MOST_ROUNDS``); the sums that then
+miss their targets are logged as a warning. A document is kept with its cell's probability (fitted weight per token, divided by the largest such
 ratio, so that no probability passes 1), by a uniform number made from a hash of its id: the expected tokens then have
 the target marginals.
 
@@ -13,7 +15,7 @@ finds it small enough to broadcast.
 
 Targets are given per dimension as the power of the observed share (``TEMPER``: 1 keeps the shares, 0 makes them even),
 or as a table (value, target). Values with no tokens, or that the target leaves out or gives nothing, have weight 0 and
-are not sampled.
+are not sampled; the other values share the total by their targets.
 
 Defined results: a null source, language or topic is a value like any other. A null or empty text has no tokens; it
 counts for no weight and is kept with its cell's probability (0 for a cell without tokens). Rows with equal ids get the
@@ -22,6 +24,8 @@ same uniform number; a null id counts as the empty text in the hash. An empty ta
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +33,17 @@ from rivulet.llm.common import cut, table
 
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 12
+#: largest relative error of a marginal that counts as met
+TOLERANCE = 0.01
+MOST_ROUNDS = 1000
+#: misses named in a warning, per fit
+NAMED = 20
 TEMPER = 0.5
 #: white space between words
 GAP = r"[\x20\x09-\x0D]+"
 
+log = logging.getLogger(__name__)
+
 
 def n_words(text: Column) -> Column:
     """Tokens that weights count: words [^\\x20\\x09-\\x0D]+."""
@@ -64,24 +75,80 @@ def targets_of(cells: DataFrame, dimension: str, temper: float) -> DataFrame:
             .select("value", F.pow(F.col("sum").cast("double"), F.lit(temper)).alias("target")))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """cells (the dimensions, tokens) with weight: fitted to all targets, each scaled to the total of all tokens."""
+def sums_of(cells: DataFrame, dimension: str) -> DataFrame:
+    return cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("weight").alias("sum"))
+
+
+def reachable(cells: DataFrame, targets: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """cells with weight: their tokens, 0 where a value has no target; and the targets of values that have weight, each
+    dimension's scaled to the total of all tokens."""
     total = cells.agg(F.sum("tokens").alias("all")).first()["all"] or 0
-    scaled = {}
+    parts, now = {}, cells.withColumn("weight", F.col("tokens").cast("double"))
     for name, rows in targets.items():
-        part = cut(rows, "mix-target")
+        parts[name] = cut(rows.where("target > 0"), "mix-target")
+        wanted = parts[name].select(F.col("value").alias("value"), F.lit(True).alias("wanted"))
+        now = now.join(wanted, same(F.col(name), F.col("value")), "left").withColumn(
+            "weight", F.when(F.col("wanted"), F.col("weight")).otherwise(0.0)).drop("value", "wanted")
+    now, scaled = cut(now, "mix-cells"), {}
+    for name, part in parts.items():
+        there = sums_of(now, name).where("sum > 0").select(F.col("value").alias("there"))
+        part = part.join(there, same(F.col("value"), F.col("there")), "left_semi")
         of_all = part.agg(F.sum("target").alias("all")).first()["all"] or 1.0
-        scaled[name] = part.withColumn("target", F.col("target") * (float(total) / of_all))
-    now = cut(cells.withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
-    for _ in range(rounds):
+        scaled[name] = cut(part.withColumn("target", F.col("target") * (float(total) / of_all)), "mix-target")
+    return now, scaled
+
+
+def misses(cells: DataFrame, scaled: dict[str, DataFrame]) -> DataFrame:
+    """(dimension, value, target, sum) of the targets that the cells' weights miss by more than TOLERANCE."""
+    out = None
+    for name, rows in scaled.items():
+        sums = sums_of(cells, name)
+        off = (rows.alias("t").join(sums.alias("s"), same(F.col("t.value"), F.col("s.value")), "left")
+               .select(F.lit(name).alias("dimension"), F.col("t.value").cast("string").alias("value"), "target",
+                       F.coalesce("sum", F.lit(0.0)).alias("sum"))
+               .where(F.abs(F.col("sum") - F.col("target")) > TOLERANCE * F.col("target")))
+        out = off if out is None else out.unionByName(off)
+    return out
+
+
+def warn_of_misses(cells: DataFrame, scaled: dict[str, DataFrame]) -> None:
+    worst = misses(cells, scaled).orderBy(F.desc(F.abs(F.col("sum") - F.col("target")))).limit(NAMED + 1).collect()
+    if worst:
+        log.warning("mixing: targets are not met: %s%s", "; ".join(
+            f"{r['dimension']} {r['value']}: {r['sum']:.6g} of {r['target']:.6g}" for r in worst[:NAMED]),
+            " and others" if len(worst) > NAMED else "")
+
+
+def fit(cells: DataFrame, scaled: dict[str, DataFrame], rounds: int) -> DataFrame:
+    """cells (the dimensions, tokens, weight) scaled to the targets in turn, as often as the docstring above says."""
+    now, before = cells.withColumn("off", F.lit(0.0)), None
+    for done in range(1, max(rounds, MOST_ROUNDS) + 1):
+        now = now.withColumn("off", F.lit(0.0))
         for name, rows in scaled.items():
-            sums = now.groupBy(F.col(name).alias("value")).agg(F.sum("weight").alias("sum"))
+            sums = sums_of(now, name)
             factor = (sums.alias("s").join(rows.alias("t"), same(F.col("s.value"), F.col("t.value")), "left")
                       .select(F.col("s.value").alias("value"), F.when(F.col("sum") > 0, F.coalesce(
                           "target", F.lit(0.0)) / F.col("sum")).otherwise(0.0).alias("factor")))
-            now = (now.join(factor, same(F.col(name), F.col("value"))).withColumn(
-                "weight", F.col("weight") * F.col("factor")).drop("value", "factor"))
+            error = F.when(F.col("factor") > 0, F.abs(1 / F.col("factor") - 1)).otherwise(0.0)
+            now = (now.join(factor, same(F.col(name), F.col("value"))).withColumn("off", F.greatest("off", error))
+                   .withColumn("weight", F.col("weight") * F.col("factor")).drop("value", "factor"))
         now = cut(now, "mix-cells")
+        if done >= rounds:
+            off = now.agg(F.max("off").alias("off")).first()["off"] or 0.0
+            if off <= TOLERANCE:
+                break
+            if (done - rounds) % ROUNDS == 0:
+                if before is not None and off > 0.999 * before:
+                    break
+                before = off
+    return now.drop("off")
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+    """cells (the dimensions, tokens) with weight: fitted to all targets, each scaled to the total of all tokens."""
+    now, scaled = reachable(cells, targets)
+    now = fit(now, scaled, rounds)
+    warn_of_misses(now, scaled)
     return now
 
 

@@ -80,3 +80,25 @@ def test_nulls_repeats_empty_and_expected_tokens(spark):
     assert M.mixing_stage(spark, docs.limit(0), "").collect() == []
     blank = docs.where("text = ''")
     assert M.mixing_stage(spark, blank, "").collect() == []
+
+
+def test_rounds_go_on_until_the_targets_are_met(spark, caplog):
+    cells = spark.createDataFrame([(f"s{i}", f"l{j}", "t", (10_000 if i % 4 == j else 1) * (50 if i == 0 else 1))
+                                   for i in range(6) for j in range(4)],
+                                  "source string, lang string, topic string, tokens long")
+    rows = M.rake(cells, {n: M.targets_of(cells, n, 0.0) for n in M.DIMENSIONS}).collect()
+    total = sum(r.tokens for r in rows)
+    for name, n in (("source", 6), ("lang", 4)):
+        sums = {}
+        for r in rows:
+            sums[r[name]] = sums.get(r[name], 0.0) + r.weight
+        assert len(sums) == n and all(v == pytest.approx(total / n, rel=M.TOLERANCE) for v in sums.values())
+    assert "not met" not in caplog.text
+
+
+def test_targets_that_cannot_be_met_are_named(spark, caplog):
+    cells = spark.createDataFrame([("a", "x", "t", 10), ("b", "x", "t", 10), ("b", "y", "t", 10)],
+                                  "source string, lang string, topic string, tokens long")
+    want = {"source": {"a": 0.6, "b": 0.4}, "lang": {"x": 0.5, "y": 0.5}, "topic": {"t": 1.0}}
+    M.rake(cells, {n: spark.createDataFrame(list(v.items()), "value string, target double") for n, v in want.items()})
+    assert "source a" in caplog.text
