@@ -8,6 +8,12 @@ miss their targets are logged as a warning. A document is kept with its cell's p
 ratio, so that no probability passes 1), by a uniform number made from a hash of its id: the expected tokens then have
 the target marginals.
 
+Where one rare cell would set the scale so low that fewer than ``BUDGET`` of all tokens are expected, the scale is set by
+that budget instead: a cell's probability ends at 1, values that have too few tokens for their target give all they
+have, the others share the rest by their targets, and the cells are raked again within these bounds. The expected tokens
+are then ``BUDGET`` of all (or all that have targets, if these are fewer), and the targets missed are logged. The stage
+of the pipeline does so; ``op7_mixing`` has no budget, as its SQL divides by the largest ratio in any case.
+
 Only DataFrame operations are used. Documents are reduced to cells by a partial aggregate, so a source with a third of
 the rows costs one row per task and cell; all rounds work on the cells, and every round is written to shared storage.
 Documents meet the cells' probabilities in one join with that small table, which moves no document when the planner
@@ -36,6 +42,8 @@ ROUNDS = 12
 #: largest relative error of a marginal that counts as met
 TOLERANCE = 0.01
 MOST_ROUNDS = 1000
+#: share of all tokens that the sample is expected to have at least
+BUDGET = 0.25
 #: misses named in a warning, per fit
 NAMED = 20
 TEMPER = 0.5
@@ -75,8 +83,10 @@ def targets_of(cells: DataFrame, dimension: str, temper: float) -> DataFrame:
             .select("value", F.pow(F.col("sum").cast("double"), F.lit(temper)).alias("target")))
 
 
-def sums_of(cells: DataFrame, dimension: str) -> DataFrame:
-    return cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("weight").alias("sum"))
+def sums_of(cells: DataFrame, dimension: str, bound: bool = False) -> DataFrame:
+    """(value, sum) of the weights; if ``bound``, a cell counts with no more than its tokens."""
+    weight = F.least("weight", F.col("tokens").cast("double")) if bound else F.col("weight")
+    return cells.groupBy(F.col(dimension).alias("value")).agg(F.sum(weight).alias("sum"))
 
 
 def reachable(cells: DataFrame, targets: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -119,19 +129,21 @@ def warn_of_misses(cells: DataFrame, scaled: dict[str, DataFrame]) -> None:
             " and others" if len(worst) > NAMED else "")
 
 
-def fit(cells: DataFrame, scaled: dict[str, DataFrame], rounds: int) -> DataFrame:
-    """cells (the dimensions, tokens, weight) scaled to the targets in turn, as often as the docstring above says."""
+def fit(cells: DataFrame, scaled: dict[str, DataFrame], rounds: int, bound: bool = False) -> DataFrame:
+    """cells (the dimensions, tokens, weight) scaled to the targets in turn, as often as the docstring above says. If
+    ``bound``, the part of a weight above the cell's tokens counts for nothing, but stays for the next rounds."""
+    most = F.col("tokens") * 1e9 if bound else F.lit(float("inf"))
     now, before = cells.withColumn("off", F.lit(0.0)), None
     for done in range(1, max(rounds, MOST_ROUNDS) + 1):
         now = now.withColumn("off", F.lit(0.0))
         for name, rows in scaled.items():
-            sums = sums_of(now, name)
+            sums = sums_of(now, name, bound)
             factor = (sums.alias("s").join(rows.alias("t"), same(F.col("s.value"), F.col("t.value")), "left")
                       .select(F.col("s.value").alias("value"), F.when(F.col("sum") > 0, F.coalesce(
                           "target", F.lit(0.0)) / F.col("sum")).otherwise(0.0).alias("factor")))
             error = F.when(F.col("factor") > 0, F.abs(1 / F.col("factor") - 1)).otherwise(0.0)
             now = (now.join(factor, same(F.col(name), F.col("value"))).withColumn("off", F.greatest("off", error))
-                   .withColumn("weight", F.col("weight") * F.col("factor")).drop("value", "factor"))
+                   .withColumn("weight", F.least(F.col("weight") * F.col("factor"), most)).drop("value", "factor"))
         now = cut(now, "mix-cells")
         if done >= rounds:
             off = now.agg(F.max("off").alias("off")).first()["off"] or 0.0
@@ -152,14 +164,56 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return now
 
 
+def level(rows: DataFrame, amount: float) -> float:
+    """The factor by which the targets of rows (target, room), each ended at its room, add up to ``amount``."""
+    found = 0.0
+    while True:
+        full = F.col("target") * found >= F.col("room")
+        r = rows.agg(F.sum(F.when(full, F.col("room")).otherwise(0.0)).alias("full"),
+                     F.sum(F.when(full, 0.0).otherwise(F.col("target"))).alias("rest")).first()
+        if not r["rest"] or (amount - r["full"]) / r["rest"] <= found * (1 + 1e-12):
+            return found
+        found = (amount - r["full"]) / r["rest"]
+
+
+def saturated(cells: DataFrame, scaled: dict[str, DataFrame], amount: float, rounds: int) -> DataFrame:
+    """Fitted cells with weights of at most their tokens that add up to ``amount`` and come as near to the targets as
+    that allows."""
+    bounds, shares = {}, {}
+    all_weight = cells.agg(F.sum("weight").alias("all")).first()["all"]
+    for name, rows in scaled.items():
+        room = cells.where("weight > 0").groupBy(F.col(name).alias("of")).agg(
+            F.sum("tokens").cast("double").alias("room"))
+        part = cut(rows.join(room, same(F.col("value"), F.col("of"))).select("value", "target", "room"), "mix-target")
+        all_targets = part.agg(F.sum("target").alias("all")).first()["all"]
+        shares[name] = part.withColumn("target", F.col("target") * (amount / all_targets))
+        bounds[name] = cut(part.withColumn("target", F.least(F.col("target") * level(part, amount), "room")),
+                           "mix-target")
+    now = fit(cells.withColumn("weight", F.col("weight") * (amount / all_weight)), bounds, rounds, bound=True)
+    room = F.col("tokens").cast("double")
+    scale = level(now.where("weight > 0").select(F.col("weight").alias("target"), room.alias("room")), amount)
+    now = cut(now.withColumn("weight", F.least(F.col("weight") * scale, room)), "mix-cells")
+    warn_of_misses(now, shares)
+    return now
+
+
 def cell_chances(rows: DataFrame, dimensions: list[str], temper: float = TEMPER,
-                 targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS) -> DataFrame:
+                 targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS,
+                 budget: float = BUDGET) -> DataFrame:
     """(of_<dimension>..., probability) per cell of rows (the dimensions, tokens)."""
     cells = cut(rows.groupBy(*dimensions).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     given = targets or {}
-    fitted = rake(cells, {n: given.get(n) or targets_of(cells, n, temper) for n in dimensions}, rounds)
+    fitted, scaled = reachable(cells, {n: given.get(n) or targets_of(cells, n, temper) for n in dimensions})
+    fitted = fit(fitted, scaled, rounds)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    most = fitted.agg(F.max(ratio).alias("most")).first()["most"] or 1.0
+    of_all = fitted.agg(F.max(ratio).alias("most"), F.sum("weight").alias("weight"), F.sum("tokens").alias("tokens"),
+                        F.sum(F.when(F.col("weight") > 0, F.col("tokens"))).alias("there")).first()
+    most = of_all["most"] or 1.0
+    amount = min(budget * float(of_all["tokens"] or 0), float(of_all["there"] or 0))
+    if (of_all["weight"] or 0.0) / most < amount * (1 - 1e-9):
+        fitted, most = saturated(fitted, scaled, amount, rounds), 1.0
+    else:
+        warn_of_misses(fitted, scaled)
     return cut(fitted.select(*[F.col(n).alias(f"of_{n}") for n in dimensions],
                              (ratio / F.lit(most)).alias("probability")), "mix-chances")
 
@@ -173,11 +227,11 @@ def in_cell(dimensions: dict[str, Column]) -> Column:
 
 
 def mix(docs: DataFrame, key: str, tokens: Column, dimensions: dict[str, Column], temper: float = TEMPER,
-        targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS) -> DataFrame:
+        targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, budget: float = BUDGET) -> DataFrame:
     """One row per row of docs: key, the dimensions, tokens, probability, kept."""
     rows = docs.select(F.col(key).alias("_key"), *[c.alias(n) for n, c in dimensions.items()],
                        tokens.cast("long").alias("tokens"))
-    chance = cell_chances(rows, list(dimensions), temper, targets, rounds)
+    chance = cell_chances(rows, list(dimensions), temper, targets, rounds, budget)
     return (rows.join(chance, in_cell({n: F.col(n) for n in dimensions}), "left")
             .select(F.col("_key").alias(key), *dimensions, "tokens",
                     F.coalesce("probability", F.lit(0.0)).alias("probability"))
@@ -190,7 +244,7 @@ def document_dimensions() -> dict[str, Column]:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
-    return (mix(docs, "doc_id", n_words(F.col("text")), document_dimensions())
+    return (mix(docs, "doc_id", n_words(F.col("text")), document_dimensions(), budget=0.0)
             .withColumn("probability", F.round("probability", 6)))
 
 

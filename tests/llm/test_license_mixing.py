@@ -102,3 +102,21 @@ def test_targets_that_cannot_be_met_are_named(spark, caplog):
     want = {"source": {"a": 0.6, "b": 0.4}, "lang": {"x": 0.5, "y": 0.5}, "topic": {"t": 1.0}}
     M.rake(cells, {n: spark.createDataFrame(list(v.items()), "value string, target double") for n, v in want.items()})
     assert "source a" in caplog.text
+
+
+@pytest.mark.parametrize("odd", [("one", "en"), (None, "en"), (None, None)])
+def test_one_odd_document_does_not_set_the_scale(spark, caplog, odd):
+    rows = [(i, "w " * 20, ("en", "en", "de")[i % 3], "s" if i % 2 else f"s{i % 8}", 0, "", "", "") for i in range(600)]
+    docs = spark.createDataFrame([*rows, (1000, "w", odd[1], odd[0], 0, "", "", "")], DOCS)
+    dimensions = {n: F.col(n) for n in ("source", "lang")}
+    got = M.mix(docs, "doc_id", M.n_words(F.col("text")), dimensions).collect()
+    total = sum(r.tokens for r in got)
+    assert sum(r.tokens * r.probability for r in got) == pytest.approx(M.BUDGET * total, rel=1e-6)
+    assert max(r.probability for r in got) == 1 and [r.probability for r in got if r.doc_id == 1000] == [1]
+    sums = {}
+    for r in got:
+        if r.doc_id != 1000:
+            sums[r.source] = sums.get(r.source, 0.0) + r.tokens * r.probability
+    assert sums["s"] / sums["s0"] == pytest.approx((300 / 75) ** 0.5, rel=0.03)
+    assert f"source {odd[0]}" in caplog.text
+    assert sum(r.kept for r in got) > 0.2 * len(got)
