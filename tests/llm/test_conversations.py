@@ -1,0 +1,163 @@
+import hashlib
+import random
+import re
+import sys
+from functools import cache
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from conftest import SF_SMALL
+from rivulet.llm import conversations as C
+
+SCHEMA = "conv_id long, turn long, role string, text string, n string, symbol string, cost string"
+SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def cheapest(rows):
+    """(cost, audit) of rows (initial, truncated, must go), over all edits."""
+    @cache
+    def best(i, made, inserts):
+        """``made``: what has been made so far, as far as it matters: '', s, u or a."""
+        out = [(0, "")] if i == len(rows) and made in ("", "a") else []
+        want = "a" if made == "u" else "u"
+        if inserts < 3:
+            c, a = best(i, want, inserts + 1)
+            out.append((5 + c, "I" + a))
+        if i < len(rows):
+            first, cut, gone = rows[i]
+            c, a = best(i + 1, made, 0)
+            out.append((2 + c, "D" + a))
+            if not gone:
+                c, a = best(i + 1, want, 0)
+                out.append((1 + 5 * cut + c, "R" + a))
+                if first == want:
+                    out.append((5 * cut + c, "K" + a))
+                if first == "s" and made == "":
+                    c, a = best(i + 1, "s", 0)
+                    out.append((5 * cut + c, "K" + a))
+        return min(out, default=(10 ** 9, ""))
+
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(20_000)
+    try:
+        return best(0, "", 0)
+    finally:
+        sys.setrecursionlimit(limit)
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        role, text = " " if role is None else role, " " if text is None else text
+        h = crc32(key.encode()) % 20
+        if h == 0:
+            continue
+        text = "" if h == 1 else re.sub("[.!?]", "", text) if h == 2 else text
+        out += [(conv, turn, "user" if h == 4 else role, text)] * (2 if h == 3 else 1)
+    return out
+
+
+def expected(rows):
+    """Results by conversation of rows (conv, turn, role, text), damaged first."""
+    left = damage(rows)
+    out = []
+    for conv in {r[0] for r in rows}:
+        own = sorted((r[1:] for r in left if r[0] == conv),
+                     key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        counts, seen, parts = [0, 0, 0], set(), []
+        for _, role, text in own:
+            bare = text.strip(SPACE)
+            fault = 0 if not bare else 1 if (role, text) in seen else 2 if bare[-1] not in ".!?" else None
+            seen.add((role, text))
+            if fault is not None:
+                counts[fault] += 1
+            parts.append((role[:1], fault == 2, fault in (0, 1)))
+        illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(parts, parts[1:], strict=False))
+        turns = {r[0] for r in own if r[0] is not None}
+        cost, audit = cheapest(tuple(parts))
+        lines, i, made = [], 0, ""
+        for letter in audit:
+            want = "a" if made == "u" else "u"
+            if letter == "K":
+                lines.append(f"{own[i][1]}:{own[i][2]}")
+                made = "s" if own[i][1][:1] == "s" else want
+            elif letter in "IR":
+                made = want
+                lines.append({"u": "user", "a": "assistant"}[want] + ":" + (own[i][2] if letter == "R" else ""))
+            i += letter != "I"
+        out.append((conv, max(turns) - min(turns) + 1 - len(turns) if turns else 0, *counts, illegal, cost, audit,
+                    hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def made_up(seed, conversations, longest):
+    rng = random.Random(seed)
+    texts = ["Hm.", "So!", "Cut off", "Why? ", "", " \n", "Next.\t", "a.b", "é…", "Hm.", "x" * 300 + "."]
+    roles = ["system", "user", "assistant", "user", "assistant", "tool", "", None, "sage"]
+    rows = []
+    for conv in [*range(conversations), None]:
+        for t in range(rng.randrange(0, longest)):
+            turn = rng.choice([t, t, t, t + rng.randrange(3), None])
+            text = rng.choice([*texts, None, f"No {rng.randrange(99)}."])
+            rows += [(conv, turn, rng.choice(roles), text)] * rng.choice([1, 1, 1, 1, 2])
+    return rows
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame([(*r, "mine", "mine", "mine") for r in rows], SCHEMA)
+    return sorted((tuple(r) for r in C.summed_up(C.repair(C.damaged(df), **kw)).collect()), key=str)
+
+
+def test_tables_against_all_edits():
+    t, rng = C.tables(), random.Random(2)
+    for _ in range(1500):
+        symbols = [rng.choice([0, 1, 2, 1, 2, 3, 4, 5, 6, 7, 8]) for _ in range(rng.randrange(0, 14))]
+        row = C.traced_row(np.array(symbols, np.uint8), ["r"] * 14, ["t"] * 14, t.number[C.normal(C.END)[0]], 0, True)
+        assert (row["cost"], row["audit"]) == cheapest(tuple(("suao"[s % 4] if s < 8 else "o", 4 <= s < 8, s == 8) for s in symbols))
+
+
+def test_pieces_cost_what_the_whole_costs():
+    t, rng = C.tables(), random.Random(4)
+    for _ in range(300):
+        symbols = np.array([rng.randrange(9) for _ in range(rng.randrange(1, 30))], np.uint8)
+        costs = np.array(C.unit_costs(symbols)).reshape(4, 4)
+        _, at, cost = t.backward(symbols, t.number[C.normal(C.END)[0]])
+        assert (costs + np.array(C.END)).min(axis=1).tolist() == [c + cost for c in t.vectors[at]]
+
+
+@pytest.mark.parametrize("most", [1, 3, C.PIECE])
+def test_against_brute_force_in_pieces(spark, most):
+    rows = made_up(13, 60, 12)
+    assert run(spark, rows, most=most) == expected(rows)
+
+
+def test_one_conversation_over_many_tasks(spark):
+    """A conversation with most of the rows is cut into pieces of many ranges, and gives what it gives in one."""
+    rows = [r for r in made_up(5, 30, 6) if r[0] != 3] + [(3, t, r, x) for t, (_, _, r, x) in enumerate(made_up(6, 40, 25))]
+    got = run(spark, rows, most=7)
+    assert [r for r in got if r[0] != 3] == [r for r in expected(rows) if r[0] != 3]
+    hot = [r for r in rows if r[0] == 3]
+    assert len(hot) > 300
+    assert [r for r in got if r[0] == 3] == run(spark, hot)
+    df = spark.createDataFrame([(*r, "", "", "") for r in rows], SCHEMA)
+    parts = C.pieces_of(C.marked(C.damaged(df)), 7).where("conv_id = 3").select("part").distinct().count()
+    assert parts > 3
+
+
+def test_copies_of_one_row(spark):
+    rows = [(1, 0, "user", "Same.")] * 500 + [(1, 1, "assistant", "Yes.")] + [(2, 0, "user", "Same.")]
+    got = {r[0]: r for r in run(spark, rows)}
+    assert got[1][3] >= 499 and got[1][7].count("D") >= 499
+    assert sorted(got.values(), key=str)[0][0] == 1
+
+
+def test_query_and_empty_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+            .select("conv_id", "turn", "role", "text").collect()]
+    got = C.op13_conversations(spark, SF_SMALL)
+    assert got.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected(rows)
+    assert run(spark, []) == []
