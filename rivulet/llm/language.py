@@ -6,8 +6,10 @@ and a linear softmax over the learned languages reads it. Embeddings and softmax
 gradient descent in numpy, on the driver, from a bounded sample; every text is then scored whole, in the tasks, which
 get the model (BUCKETS x DIMENSIONS numbers) as a broadcast.
 
-Sample: PER_LANGUAGE labelled rows of each language at most, and SAMPLE in all, by a hash of the id (rows of rare
-languages first, so that none is missed as long as there are at most SAMPLE languages). A row sends at most BUCKETS
+Sample: PER_LANGUAGE labelled rows of each language at most, and SAMPLE in all, by a hash of the id (every language's
+first row comes before any second one, so that none is missed as long as there are at most SAMPLE languages; rows that
+repeat a sampled id and language come along). Ids are ranked without texts, and only those whose hash can be among the
+least of their language; the sampled ones, at most SAMPLE, then meet the texts. A row sends at most BUCKETS
 counts to the driver, of the whole text and of its first EXCERPT letters; so short texts are learned too. One row of
 CALIBRATE is kept from training: on these, the softmax's temperature is fitted by likelihood, and the rejection
 threshold is set to the least score from which on at least PRECISION of the calibration texts are right. A text whose
@@ -40,6 +42,8 @@ GRAMS = (2, 3, 4)
 #: labelled rows of one language, and of all, that go into the sample
 PER_LANGUAGE = 400
 SAMPLE = 2000
+#: times as many rows of a language are ranked as are taken
+WIDER = 4
 #: letters of the short form of a sampled text
 EXCERPT = 40
 #: one sampled row of so many calibrates
@@ -176,11 +180,18 @@ def calibrate(m: Model, rows: list[tuple[int, np.ndarray, np.ndarray]], precisio
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> Model | None:
     """The model from ``docs`` (key, text, lang), all of which may be learned from."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = F.struct(F.xxhash64("key", F.lit("language")).alias("hash"), "key")
-    nth = Window.partitionBy("lang").orderBy(order.asc())
-    chosen = (known.withColumn("_n", F.row_number().over(nth)).where(F.col("_n") <= per_language)
-              .orderBy("_n", "lang").limit(sample)
-              .select("lang", "text", (F.pmod("_n", F.lit(CALIBRATE)) == 0).alias("held")))
+    rows = known.select("lang", "key", F.xxhash64("key", F.lit("language")).alias("hash"))
+    # a share of about WIDER * per_language rows of each language is enough to rank
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
+    likely = F.pmod("hash", F.lit(1 << 30)).cast("double") * F.col("size") <= float(WIDER * per_language * (1 << 30))
+    nth = Window.partitionBy("lang").orderBy("place", "key")
+    ids = (rows.join(sizes, "lang").where(likely).withColumn("place", F.pmod("hash", F.lit(1 << 30)))
+           .withColumn("_n", F.row_number().over(nth)).where(F.col("_n") <= per_language)
+           .orderBy("_n", "lang").limit(sample)
+           .select(F.col("key").alias("_key"), F.col("lang").alias("_lang"),
+                   (F.pmod("_n", F.lit(CALIBRATE)) == 0).alias("held")).distinct())
+    chosen = (known.join(F.broadcast(ids), F.col("key").eqNullSafe(F.col("_key")) & (F.col("lang") == F.col("_lang")))
+              .select("lang", "text", "held"))
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,8 @@ are then ``BUDGET`` of all (or all that have targets, if these are fewer), and t
 of the pipeline does so; ``op7_mixing`` has no budget, as its SQL divides by the largest ratio in any case.
 
 Only DataFrame operations are used. Documents are reduced to cells by a partial aggregate, so a source with a third of
-the rows costs one row per task and cell; all rounds work on the cells, and every round is written to shared storage.
+the rows costs one row per task and cell. A cell carries its values' targets, and a round is one window sum over the
+cells per dimension, without a join; every few rounds are written to shared storage.
 Documents meet the cells' probabilities in one join with that small table, which moves no document when the planner
 finds it small enough to broadcast.
 
@@ -31,9 +32,11 @@ same uniform number; a null id counts as the empty text in the hash. An empty ta
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from rivulet.llm.common import cut, table
 
@@ -42,6 +45,8 @@ ROUNDS = 12
 #: largest relative error of a marginal that counts as met
 TOLERANCE = 0.01
 MOST_ROUNDS = 1000
+#: rounds that make one plan
+CUT_ROUNDS = 3
 #: share of all tokens that the sample is expected to have at least
 BUDGET = 0.25
 #: misses named in a warning, per fit
@@ -77,73 +82,86 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def over(name: str) -> WindowSpec:
+    """All cells with the same value of a dimension."""
+    return Window.partitionBy(name)
+
+
+def target(name: str) -> str:
+    """The column that holds the target of a cell's value."""
+    return f"target_{name}"
+
+
 def targets_of(cells: DataFrame, dimension: str, temper: float) -> DataFrame:
     """(value, target): each value's share of the tokens, to the power of ``temper``; only ratios matter."""
     return (cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").alias("sum")).where("sum > 0")
             .select("value", F.pow(F.col("sum").cast("double"), F.lit(temper)).alias("target")))
 
 
-def sums_of(cells: DataFrame, dimension: str, bound: bool = False) -> DataFrame:
-    """(value, sum) of the weights; if ``bound``, a cell counts with no more than its tokens."""
-    weight = F.least("weight", F.col("tokens").cast("double")) if bound else F.col("weight")
-    return cells.groupBy(F.col(dimension).alias("value")).agg(F.sum(weight).alias("sum"))
-
-
-def reachable(cells: DataFrame, targets: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """cells with weight: their tokens, 0 where a value has no target; and the targets of values that have weight, each
-    dimension's scaled to the total of all tokens."""
-    total = cells.agg(F.sum("tokens").alias("all")).first()["all"] or 0
-    parts, now = {}, cells.withColumn("weight", F.col("tokens").cast("double"))
+def reachable(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """cells with weight (their tokens, 0 where a value has no target) and each value's target, 0 for values without
+    weight; each dimension's targets add up to the total of all tokens."""
+    now = cells
     for name, rows in targets.items():
-        parts[name] = cut(rows.where("target > 0"), "mix-target")
-        wanted = parts[name].select(F.col("value").alias("value"), F.lit(True).alias("wanted"))
-        now = now.join(wanted, same(F.col(name), F.col("value")), "left").withColumn(
-            "weight", F.when(F.col("wanted"), F.col("weight")).otherwise(0.0)).drop("value", "wanted")
-    now, scaled = cut(now, "mix-cells"), {}
-    for name, part in parts.items():
-        there = sums_of(now, name).where("sum > 0").select(F.col("value").alias("there"))
-        part = part.join(there, same(F.col("value"), F.col("there")), "left_semi")
-        of_all = part.agg(F.sum("target").alias("all")).first()["all"] or 1.0
-        scaled[name] = cut(part.withColumn("target", F.col("target") * (float(total) / of_all)), "mix-target")
-    return now, scaled
-
-
-def misses(cells: DataFrame, scaled: dict[str, DataFrame]) -> DataFrame:
-    """(dimension, value, target, sum) of the targets that the cells' weights miss by more than TOLERANCE."""
-    out = None
-    for name, rows in scaled.items():
-        sums = sums_of(cells, name)
-        off = (rows.alias("t").join(sums.alias("s"), same(F.col("t.value"), F.col("s.value")), "left")
-               .select(F.lit(name).alias("dimension"), F.col("t.value").cast("string").alias("value"), "target",
-                       F.coalesce("sum", F.lit(0.0)).alias("sum"))
-               .where(F.abs(F.col("sum") - F.col("target")) > TOLERANCE * F.col("target")))
-        out = off if out is None else out.unionByName(off)
-    return out
-
-
-def warn_of_misses(cells: DataFrame, scaled: dict[str, DataFrame]) -> None:
-    worst = misses(cells, scaled).orderBy(F.desc(F.abs(F.col("sum") - F.col("target")))).limit(NAMED + 1).collect()
+        rows = rows.where("target > 0").select(F.col("value").alias("_value"), F.col("target").alias(target(name)))
+        now = (now.join(rows, same(F.col(name), F.col("_value")), "left").drop("_value")
+               .withColumn(target(name), F.coalesce(target(name), F.lit(0.0))))
+    meant = F.least(*[F.col(target(n)) for n in targets], F.lit(1.0)) > 0
+    now = now.withColumn("weight", F.when(meant, F.col("tokens").cast("double")).otherwise(0.0))
+    for name in targets:
+        there = F.sum("weight").over(over(name)) > 0
+        now = now.withColumn(target(name), F.when(there, F.col(target(name))).otherwise(0.0))
+    now = cut(now, "mix-cells")
+    total = now.agg(F.sum("tokens").alias("all")).first()["all"] or 0
+    return now.withColumns({target(n): F.col(target(n)) * (float(total) / (sum_of(values_of(now, n), "target") or 1.0))
+                            for n in targets})
+
+
+def values_of(cells: DataFrame, name: str) -> DataFrame:
+    """(value, target, sum, room): the values of a dimension, their weights and the tokens that have weight."""
+    return (cells.groupBy(F.col(name).alias("value")).agg(
+        F.max(target(name)).alias("target"), F.sum("weight").alias("sum"),
+        F.sum(F.when(F.col("weight") > 0, F.col("tokens")).otherwise(0)).cast("double").alias("room")))
+
+
+def sum_of(rows: DataFrame, column: str) -> float:
+    return rows.agg(F.sum(column).alias("all")).first()["all"] or 0.0
+
+
+def warn_of_misses(cells: DataFrame, dimensions: list[str]) -> None:
+    """Log the targets that the cells' weights miss by more than TOLERANCE."""
+    far = F.abs(F.col("sum") - F.col("target"))
+    rows = [values_of(cells, n).where(far > TOLERANCE * F.col("target")).select(
+        F.lit(n).alias("dimension"), F.col("value").cast("string").alias("value"), "target", "sum") for n in dimensions]
+    worst = reduce(DataFrame.unionByName, rows).orderBy(F.desc(far)).limit(NAMED + 1).collect()
     if worst:
         log.warning("mixing: targets are not met: %s%s", "; ".join(
             f"{r['dimension']} {r['value']}: {r['sum']:.6g} of {r['target']:.6g}" for r in worst[:NAMED]),
             " and others" if len(worst) > NAMED else "")
 
 
-def fit(cells: DataFrame, scaled: dict[str, DataFrame], rounds: int, bound: bool = False) -> DataFrame:
-    """cells (the dimensions, tokens, weight) scaled to the targets in turn, as often as the docstring above says. If
-    ``bound``, the part of a weight above the cell's tokens counts for nothing, but stays for the next rounds."""
-    most = F.col("tokens") * 1e9 if bound else F.lit(float("inf"))
-    now, before = cells.withColumn("off", F.lit(0.0)), None
-    for done in range(1, max(rounds, MOST_ROUNDS) + 1):
-        now = now.withColumn("off", F.lit(0.0))
-        for name, rows in scaled.items():
-            sums = sums_of(now, name, bound)
-            factor = (sums.alias("s").join(rows.alias("t"), same(F.col("s.value"), F.col("t.value")), "left")
-                      .select(F.col("s.value").alias("value"), F.when(F.col("sum") > 0, F.coalesce(
-                          "target", F.lit(0.0)) / F.col("sum")).otherwise(0.0).alias("factor")))
-            error = F.when(F.col("factor") > 0, F.abs(1 / F.col("factor") - 1)).otherwise(0.0)
-            now = (now.join(factor, same(F.col(name), F.col("value"))).withColumn("off", F.greatest("off", error))
-                   .withColumn("weight", F.least(F.col("weight") * F.col("factor"), most)).drop("value", "factor"))
+def one_round(cells: DataFrame, dimensions: list[str], bound: bool) -> DataFrame:
+    """Scaled to each dimension's targets in turn; off: the largest relative error that was met on the way."""
+    now = cells.withColumn("off", F.lit(0.0))
+    for name in dimensions:
+        # if bound, a cell counts with no more than its tokens, but keeps its weight for the next rounds
+        counted = F.least("weight", F.col("tokens").cast("double")) if bound else F.col("weight")
+        now = now.withColumn("_sum", F.sum(counted).over(over(name)))
+        factor = F.when(F.col("_sum") > 0, F.col(target(name)) / F.col("_sum")).otherwise(0.0)
+        grown = F.col("weight") * factor
+        now = now.withColumns({
+            "weight": F.least(grown, F.col("tokens") * 1e9) if bound else grown,
+            "off": F.greatest("off", F.when(factor > 0, F.abs(1 / factor - 1)).otherwise(0.0))})
+    return now.drop("_sum")
+
+
+def fit(cells: DataFrame, dimensions: list[str], rounds: int, bound: bool = False) -> DataFrame:
+    """cells (``reachable``) scaled to their targets, as often as the docstring above says. CUT_ROUNDS rounds are one
+    plan of windows over the cells, without joins, and end in shared storage."""
+    now, before, done = cells, None, 0
+    while done < max(rounds, MOST_ROUNDS):
+        for _ in range(min(CUT_ROUNDS, max(rounds - done, 1)) if done < rounds else CUT_ROUNDS):
+            now, done = one_round(now, dimensions, bound), done + 1
         now = cut(now, "mix-cells")
         if done >= rounds:
             off = now.agg(F.max("off").alias("off")).first()["off"] or 0.0
@@ -158,9 +176,8 @@ def fit(cells: DataFrame, scaled: dict[str, DataFrame], rounds: int, bound: bool
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """cells (the dimensions, tokens) with weight: fitted to all targets, each scaled to the total of all tokens."""
-    now, scaled = reachable(cells, targets)
-    now = fit(now, scaled, rounds)
-    warn_of_misses(now, scaled)
+    now = fit(reachable(cells, targets), list(targets), rounds)
+    warn_of_misses(now, list(targets))
     return now
 
 
@@ -176,24 +193,25 @@ def level(rows: DataFrame, amount: float) -> float:
         found = (amount - r["full"]) / r["rest"]
 
 
-def saturated(cells: DataFrame, scaled: dict[str, DataFrame], amount: float, rounds: int) -> DataFrame:
+def saturated(cells: DataFrame, dimensions: list[str], amount: float, rounds: int) -> DataFrame:
     """Fitted cells with weights of at most their tokens that add up to ``amount`` and come as near to the targets as
     that allows."""
-    bounds, shares = {}, {}
-    all_weight = cells.agg(F.sum("weight").alias("all")).first()["all"]
-    for name, rows in scaled.items():
-        room = cells.where("weight > 0").groupBy(F.col(name).alias("of")).agg(
-            F.sum("tokens").cast("double").alias("room"))
-        part = cut(rows.join(room, same(F.col("value"), F.col("of"))).select("value", "target", "room"), "mix-target")
-        all_targets = part.agg(F.sum("target").alias("all")).first()["all"]
-        shares[name] = part.withColumn("target", F.col("target") * (amount / all_targets))
-        bounds[name] = cut(part.withColumn("target", F.least(F.col("target") * level(part, amount), "room")),
-                           "mix-target")
-    now = fit(cells.withColumn("weight", F.col("weight") * (amount / all_weight)), bounds, rounds, bound=True)
+    now = cells.withColumn("weight", F.col("weight") * (amount / sum_of(cells, "weight")))
+    wanted = {}
+    for name in dimensions:
+        rows = cut(values_of(cells, name).where("room > 0"), "mix-target")
+        scale = amount / sum_of(rows, "target")
+        wanted[f"wanted_{name}"] = F.col(target(name)) * scale
+        room = F.sum(F.when(F.col("weight") > 0, F.col("tokens")).otherwise(0)).over(over(name)).cast("double")
+        now = now.withColumn(f"wanted_{name}", wanted[f"wanted_{name}"]).withColumn(
+            target(name), F.least(F.col(f"wanted_{name}") * level(rows.withColumn("target", F.col("target") * scale), amount),
+                                  room))
+    now = fit(cut(now, "mix-cells"), dimensions, rounds, bound=True)
     room = F.col("tokens").cast("double")
     scale = level(now.where("weight > 0").select(F.col("weight").alias("target"), room.alias("room")), amount)
-    now = cut(now.withColumn("weight", F.least(F.col("weight") * scale, room)), "mix-cells")
-    warn_of_misses(now, shares)
+    now = cut(now.withColumns({"weight": F.least(F.col("weight") * scale, room),
+                               **{target(n): F.col(f"wanted_{n}") for n in dimensions}}), "mix-cells")
+    warn_of_misses(now, dimensions)
     return now
 
 
@@ -203,17 +221,17 @@ def cell_chances(rows: DataFrame, dimensions: list[str], temper: float = TEMPER,
     """(of_<dimension>..., probability) per cell of rows (the dimensions, tokens)."""
     cells = cut(rows.groupBy(*dimensions).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     given = targets or {}
-    fitted, scaled = reachable(cells, {n: given.get(n) or targets_of(cells, n, temper) for n in dimensions})
-    fitted = fit(fitted, scaled, rounds)
+    fitted = fit(reachable(cells, {n: given.get(n) or targets_of(cells, n, temper) for n in dimensions}), dimensions,
+                 rounds)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     of_all = fitted.agg(F.max(ratio).alias("most"), F.sum("weight").alias("weight"), F.sum("tokens").alias("tokens"),
                         F.sum(F.when(F.col("weight") > 0, F.col("tokens"))).alias("there")).first()
     most = of_all["most"] or 1.0
     amount = min(budget * float(of_all["tokens"] or 0), float(of_all["there"] or 0))
     if (of_all["weight"] or 0.0) / most < amount * (1 - 1e-9):
-        fitted, most = saturated(fitted, scaled, amount, rounds), 1.0
+        fitted, most = saturated(fitted, dimensions, amount, rounds), 1.0
     else:
-        warn_of_misses(fitted, scaled)
+        warn_of_misses(fitted, dimensions)
     return cut(fitted.select(*[F.col(n).alias(f"of_{n}") for n in dimensions],
                              (ratio / F.lit(most)).alias("probability")), "mix-chances")
 
@@ -229,8 +247,8 @@ def in_cell(dimensions: dict[str, Column]) -> Column:
 def mix(docs: DataFrame, key: str, tokens: Column, dimensions: dict[str, Column], temper: float = TEMPER,
         targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, budget: float = BUDGET) -> DataFrame:
     """One row per row of docs: key, the dimensions, tokens, probability, kept."""
-    rows = docs.select(F.col(key).alias("_key"), *[c.alias(n) for n, c in dimensions.items()],
-                       tokens.cast("long").alias("tokens"))
+    rows = cut(docs.select(F.col(key).alias("_key"), *[c.alias(n) for n, c in dimensions.items()],
+                           tokens.cast("long").alias("tokens")), "mix-documents")  # texts are read once
     chance = cell_chances(rows, list(dimensions), temper, targets, rounds, budget)
     return (rows.join(chance, in_cell({n: F.col(n) for n in dimensions}), "left")
             .select(F.col("_key").alias(key), *dimensions, "tokens",
