@@ -3,7 +3,7 @@ compares all pairs of a key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.timecols import epoch_micros
@@ -34,8 +34,9 @@ def interval_join(left: DataFrame, right: DataFrame, key: tuple[str, str],
     before, and the equi-join runs on (key, bucket).  Each pair is met exactly
     once and a key's rows are only compared within neighbouring buckets.
 
-    ``how``: inner, left, or full.  Full adds the right rows that matched no
-    left row (found by an anti-join on ``right_id``).  On streams (inner or
+    ``how``: inner, left, or full.  Full is one outer join: a right row is
+    unmatched when both of its bucket copies are, which a count of the
+    unmatched copies per ``right_id`` (unique) tells.  On streams (inner or
     left) both sides need watermarks on their time columns; the range in the
     condition bounds the join state.
     """
@@ -50,16 +51,20 @@ def interval_join(left: DataFrame, right: DataFrame, key: tuple[str, str],
             & (F.col(rt) >= _shift(lt, lo)) & (F.col(rt) <= _shift(lt, hi)))
     if how == "inner":
         return lb.join(rb, cond, "inner").drop("_lb", "_rb")
-    left_res = lb.join(rb, cond, "left").drop("_lb", "_rb")
     if how == "left":
-        return left_res
+        return lb.join(rb, cond, "left").drop("_lb", "_rb")
     if how != "full":
         raise ValueError("how must be inner, left or full")
     if right_id is None:
         raise ValueError("full interval join needs right_id")
-    matched = left_res.where(F.col(right_id).isNotNull()).select(right_id).distinct()
-    unmatched = right.join(matched, right_id, "left_anti")
-    return left_res.unionByName(unmatched, allowMissingColumns=True)
+    copies = right.select("*", F.posexplode(F.array(rb0, rb0 - 1)).alias("_copy", "_rb"))
+    met = lb.withColumn("_left", F.lit(True)).join(copies, cond, "full")
+    lone = F.col("_left").isNull()
+    # other rows are spread by what they hold; only the copies of a right row have to meet
+    spread = F.when(~lone, F.xxhash64(*left.columns))
+    n = F.count(F.lit(1)).over(Window.partitionBy(F.when(lone, F.col(right_id)), spread))
+    return (met.withColumn("_n", n).where(~lone | ((F.col("_n") == 2) & (F.col("_copy") == 0)))
+            .drop("_lb", "_rb", "_left", "_copy", "_n"))
 
 
 def interval_join_full_union(left: DataFrame, right: DataFrame, key: tuple[str, str],
@@ -67,8 +72,9 @@ def interval_join_full_union(left: DataFrame, right: DataFrame, key: tuple[str,
     """Full outer interval join without an anti-join, so it also runs on
     streams: (a) left outer join with the right side copied to two buckets
     gives every pair and the unmatched left rows; (b) right outer join with
-    the left side copied to two buckets gives each right row once, and its
-    unmatched rows are added."""
+    the left side's keys and times (nothing else is kept in its state) copied
+    to two buckets gives each right row once, and its unmatched rows are
+    added."""
     lk, rk = key
     lt, rt = ts
     lo, hi = int(lower_seconds * 1_000_000), int(upper_seconds * 1_000_000)
@@ -76,12 +82,11 @@ def interval_join_full_union(left: DataFrame, right: DataFrame, key: tuple[str,
     range_cond = (F.col(rt) >= _shift(lt, lo)) & (F.col(rt) <= _shift(lt, hi))
     pairs_and_left = interval_join(left, right, key, ts, lower_seconds, upper_seconds, how="left")
     lb0 = F.floor((_micros(left, lt) + F.lit(lo)) / F.lit(width))
-    l2 = left.withColumn("_lb", F.explode(F.array(lb0, lb0 + 1)))
+    l2 = left.select(lk, lt, F.explode(F.array(lb0, lb0 + 1)).alias("_lb"))
     r1 = right.withColumn("_rb", F.floor(_micros(right, rt) / F.lit(width)))
     cond = (F.col(lk) == F.col(rk)) & (F.col("_lb") == F.col("_rb")) & range_cond
-    right_only = (l2.join(r1, cond, "right").where(F.col(lk).isNull())
-                    .drop("_lb", "_rb"))
-    return pairs_and_left.unionByName(right_only.select(*pairs_and_left.columns))
+    right_only = l2.join(r1, cond, "right").where(F.col(lk).isNull()).select(*right.columns)
+    return pairs_and_left.unionByName(right_only, allowMissingColumns=True).select(*pairs_and_left.columns)
 
 
 def _shift(col: str, micros: int) -> Column:

@@ -151,7 +151,7 @@ group by partition""",
     "headline_per_industry": _with(("v", V_TRADE)) + """,
 i as (select industry, row_number() over (order by industry) n from (select distinct industry from v)),
 d as (select doc_id, text, row_number() over (order by doc_id) n from documents)
-select industry, doc_id, text as headline from i join d using (n)""",
+select industry, doc_id, text as headline from i left join d using (n)""",
     "reduce_share_volume": _with(("v", V_TRADE)) + """select symbol, industry,
   cast(sum(shares) as bigint) as shares from v group by symbol, industry""",
     "topk_rows": TOPK_ROWS,
@@ -220,3 +220,36 @@ SQL["event_time_repair_stream"] = SQL["event_time_repair"]
 SQL["purchase_fanout_stream"] = SQL["purchase_fanout"]
 SQL["session_enriched_stream"] = SQL["session_enriched"]
 SQL["correlate_purchases_full_stream"] = SQL["correlate_purchases_full"]
+
+V_TRADE_CHANGES = """select concat('P',cast(l_partkey as varchar)) symbol, p_type industry, x.shares, x.n, x.year - x.year % 2 period
+from lineitem join part on l_partkey = p_partkey, lateral (
+  select cast(l_quantity as bigint) shares, 1 n, year(l_shipdate) as year
+  union all select -cast(l_quantity as bigint), -1, year(l_shipdate) + 1 where l_returnflag = 'R') x"""
+
+SQL["topk_changes_stream"] = _with(("c", V_TRADE_CHANGES)) + """,
+y as (select industry, symbol, period, sum(shares) shares, sum(n) n from c group by all),
+touched as (select distinct industry, period from c),
+t as (select touched.industry, touched.period, symbol, sum(shares) shares from touched join y
+      on y.industry = touched.industry and y.period <= touched.period group by all having sum(n) > 0),
+k as (select *, row_number() over (partition by industry, period order by shares desc, symbol) as rank from t)
+select cast(touched.period as bigint) as period, touched.industry, coalesce(string_agg(cast(rank as varchar) || ')' || symbol || ':'
+  || format('{:,}', cast(shares as bigint)) || ' ', '' order by rank), '') as ranking
+from touched left join k on k.industry = touched.industry and k.period = touched.period and rank <= 5
+group by touched.period, touched.industry"""
+
+SQL["retained_pairs_stream"] = """select cast(a.user_id as varchar) as key, a.event_id as click_id,
+  b.event_id as purchase_id, epoch_us(b.ts) // 1000 - epoch_us(a.ts) // 1000 as after_ms
+from events a join events b on a.user_id = b.user_id and abs(epoch_us(b.ts) // 1000 - epoch_us(a.ts) // 1000) <= 7200000
+where a.event_type = 'click' and b.event_type = 'purchase'"""
+
+
+def _name_at(name: str, number: str) -> str:
+    return (f"case when {number} % 5 = 1 and step >= 1 then {name} || ' I' when {number} % 5 = 2 and step >= 2 "
+            f"then {name} || ' II' when {number} % 5 = 3 and step >= 1 then null else {name} end")
+
+
+SQL["moving_lookup_stream"] = _with(("t", V_TXN), ("co", V_COMPANY), ("cl", V_CLIENT)) + f""",
+s as (select *, least((day(ts) - 1) // 10, 2) step from t)
+select event_id, s.symbol, s.customer_id, {_name_at("co.name", "cast(substr(s.symbol, 2) as bigint)")} as company_name,
+  {_name_at("cl.name", "cast(s.customer_id as bigint)")} as client_name
+from s left join co on s.symbol = co.symbol left join cl on s.customer_id = cl.customer_id"""

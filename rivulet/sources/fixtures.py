@@ -80,6 +80,33 @@ def v_trade(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("l_shipdate").alias("ts")))
 
 
+def v_trade_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades as changes of the share volume: each line adds its shares in its year (n 1); a returned line takes them
+    back the year after (n -1).  ``period`` is the first of the two years that the change falls in."""
+    li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_quantity", "l_shipdate", "l_returnflag")
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_type")
+    shares, year = F.col("l_quantity").cast("long"), F.year("l_shipdate")
+    one = lambda sign, when: F.struct((shares * sign).alias("shares"), F.lit(sign).alias("n"), when.alias("year"))
+    steps = F.when(F.col("l_returnflag") == "R", F.array(one(1, year), one(-1, year + 1))).otherwise(
+        F.array(one(1, year)))
+    return (li.join(p, li.l_partkey == p.p_partkey)
+              .select(F.concat(F.lit("P"), _s("l_partkey")).alias("symbol"), F.col("p_type").alias("industry"),
+                      F.explode(steps).alias("c"))
+              .select("symbol", "industry", "c.shares", "c.n", (F.col("c.year") - F.col("c.year") % 2).alias("period")))
+
+
+def name_changes(names: DataFrame, key: str, number: Column) -> DataFrame:
+    """A change log (key, name, seq) of a table of names: all names (seq 0); by the key's number, some get a new name at
+    steps 1 and 2, and some are deleted at step 1."""
+    steps = (F.when(number % 5 == 1, F.array(F.struct(F.lit(1).alias("seq"), F.concat("name", F.lit(" I")).alias("name"))))
+             .when(number % 5 == 2, F.array(F.struct(F.lit(2).alias("seq"), F.concat("name", F.lit(" II")).alias("name"))))
+             .when(number % 5 == 3, F.array(F.struct(F.lit(1).alias("seq"), F.lit(None).cast("string").alias("name"))))
+             .otherwise(F.array().cast("array<struct<seq:int,name:string>>")))
+    first = F.array(F.struct(F.lit(0).alias("seq"), F.col("name").alias("name")))
+    return (names.select(key, F.explode(F.concat(first, steps)).alias("c"))
+                 .select(key, "c.name", F.col("c.seq").cast("long").alias("seq")))
+
+
 def v_share_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share volume per symbol, reduced before the dimension join.
 

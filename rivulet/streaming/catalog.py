@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions import purchase as P
+from rivulet.functions.text import ranked_list
 from rivulet.functions.timecols import epoch_millis
 from rivulet.operators import cogroup as G
 from rivulet.operators import records as R
@@ -28,9 +29,10 @@ from rivulet.sources import fixtures as V
 from rivulet.sources.sinks import fan_out_writer
 from rivulet.sources.tables import read_table
 from rivulet.streaming import operators as O
-from rivulet.streaming.harness import (END, file_stream, read_batches, run_append, run_to_end, run_update,
-                                       stage_chunks, start_with_partitions, to_event_time, with_end)
-from rivulet.streaming.state import REPAIR_OUT, PartitionTime
+from rivulet.streaming.harness import (END, file_stream, read_batches, run_append, run_batches, run_update,
+                                       stage_chunks, to_event_time, with_end)
+from rivulet.streaming.ranking import bucket_lists, rank_writer
+from rivulet.streaming.versions import read_committed
 
 WATERMARK_DELAY = "24 hours"
 SESSION_GAP = "2 days"
@@ -173,35 +175,87 @@ def q_correlate_purchases_stream(spark, d, how: str = "left"):
 
 
 def q_event_time_repair_stream(spark, d):
-    """Invalid record times replaced by the partition time kept in state,
-    one state key per input partition, in offset order across batches."""
-    ensure_state_store(spark)
-    ship_package(spark)
+    """Invalid record times replaced by the partition time so far: prefix
+    maxima within each micro-batch, a carry per partition between them."""
     ev = read_table(spark, d, "events", "event_id", "user_id", "ts")
     rec = ev.select("event_id", (F.col("user_id") % 4).cast("int").alias("partition"),
                     F.col("event_id").alias("offset"),
                     F.when(F.col("event_id") % 7 == 0, F.lit(-1).cast("long"))
                      .otherwise(epoch_millis("ts")).alias("ts_ms"))
     path = stage_chunks(spark, rec, F.col("offset"), "repair")
-    s = file_stream(spark, path, rec.schema)
-    fixed = s.groupBy("partition").transformWithStateInPandas(
-        statefulProcessor=PartitionTime(), outputStructType=REPAIR_OUT, outputMode="Append", timeMode="None")
-    out = run_append(spark, fixed, "repair")
-    return spark.read.parquet(out).select(*[f.name for f in REPAIR_OUT.fields])
+    base = scratch_dir(spark, "sink-repair")
+    run_batches(spark, file_stream(spark, path, rec.schema), "repair", O.repair_writer(base, rec.schema))
+    return read_committed(spark, base, "fixed").select("event_id", "partition", "offset", "ts_ms", "event_ms",
+                                                       "repaired")
+
+
+def q_topk_changes_stream(spark, d):
+    """Top 5 of each industry as a change stream: trades and returns of trades
+    arrive two years at a time, and each batch emits one list per touched industry."""
+    ensure_state_store(spark)
+    ship_package(spark)
+    changes = V.v_trade_changes(spark, d)
+    periods = [r["period"] for r in changes.select("period").distinct().orderBy("period").collect()]
+    path = stage_chunks(spark, changes, F.col("period"), "trade-changes", cuts=periods[:-1])
+    base = scratch_dir(spark, "sink-topk-changes")
+    lists = bucket_lists(file_stream(spark, path, changes.schema), F.col("industry"), F.col("symbol"), F.col("shares"),
+                         F.col("n"), mark=F.col("period"))
+    run_batches(spark, lists, "topk-changes", rank_writer(base), mode="update")
+    entries = F.array_sort(F.collect_list(F.when(F.col("rank") > 0, F.struct("rank", "member", "amount"))))
+    return (read_committed(spark, base, "changes").groupBy("batch_id", "mark", "group").agg(entries.alias("_e"))
+            .select(F.col("mark").alias("period"), F.col("group").alias("industry"),
+                    ranked_list(F.col("_e"), "member", "amount").alias("ranking")))
+
+
+def q_retained_pairs_stream(spark, d):
+    """Clicks and purchases of a user at most two hours apart, paired from
+    keyed state whose records live that long."""
+    ev = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type")
+    sides = []
+    for kind in ("click", "purchase"):
+        one = ev.where(F.col("event_type") == kind).drop("event_type")
+        path = stage_chunks(spark, one, epoch_millis("ts"), f"retained-{kind}")
+        sides.append(file_stream(spark, path, one.schema))
+    pairs = O.retained_pairs(*sides, "user_id", "ts", "event_id", retention_seconds=2 * 3600, delay=WATERMARK_DELAY)
+    back = spark.read.schema(pairs.schema).parquet(run_append(spark, pairs, "retained"))
+    return back.select("key", F.col("a_id").alias("click_id"), F.col("b_id").alias("purchase_id"),
+                       (F.col("b_ms") - F.col("a_ms")).alias("after_ms"))
+
+
+def q_moving_lookup_stream(spark, d):
+    """Transactions resolved by company and client tables that change while
+    the stream runs: before each part of the month, the tables' logs get their
+    next changes, and only transactions after them see these."""
+    txn = V.v_txn(spark, d).withColumn("step", F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).cast("int"))
+    logs = {"company": (V.name_changes(V.v_company(spark, d), "symbol", F.substring("symbol", 2, 20).cast("long")), "symbol"),
+            "client": (V.name_changes(V.v_client(spark, d), "customer_id", F.col("customer_id").cast("long")),
+                       "customer_id")}
+    base = scratch_dir(spark, "sink-lookup")
+    tables, ckpt = [], {n: scratch_dir(spark, f"ckpt-lookup-{n}") for n in [*logs, "facts"]}
+    for name, (log, key) in logs.items():
+        log = log.withColumnRenamed("name", f"{name}_name")
+        logs[name] = log
+        tables.append((O.MovingTable(f"{base}/{name}-log", f"{base}/{name}", log.schema, key, "seq"), key))
+    for step in range(3):
+        for name, log in logs.items():
+            log.where(F.col("seq") == step).write.mode("append").parquet(f"{base}/{name}-in")
+            run_batches(spark, file_stream(spark, f"{base}/{name}-in", log.schema, max_files=1000), name,
+                        O.log_writer(f"{base}/{name}-log"), ckpt[name])
+        txn.where(F.col("step") == step).write.mode("append").parquet(f"{base}/facts-in")
+        run_batches(spark, file_stream(spark, f"{base}/facts-in", txn.schema, max_files=1000), "lookup",
+                    O.look_up_writer(base, tables), ckpt["facts"])
+    return read_committed(spark, base, "joined").select("event_id", "symbol", "customer_id", "company_name", "client_name")
 
 
 def q_purchase_fanout_stream(spark, d):
     """The purchase flow as one stream with three outputs (masked purchases,
     patterns, rewards) written exactly-once per batch by a ``foreachBatch``
-    fan-out; the outputs are read back and summarised per sink."""
+    fan-out; the whole batches are read back and summarised per sink."""
     pur = V.v_purchase(spark, d)
     path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), "fanout")
-    base, ckpt = scratch_dir(spark, "sink-fanout"), scratch_dir(spark, "ckpt-fanout")
-    w = (file_stream(spark, path, pur.schema).writeStream
-         .foreachBatch(fan_out_writer(purchase_flow, base)).queryName(f"fanout_{ckpt[-6:]}")
-         .option("checkpointLocation", ckpt).trigger(availableNow=True))
-    run_to_end(start_with_partitions(spark, w))
-    return fan_out_summary(*(spark.read.parquet(f"{base}/{n}/batch=*") for n in ("purchases", "patterns", "rewards")))
+    base = scratch_dir(spark, "sink-fanout")
+    run_batches(spark, file_stream(spark, path, pur.schema), "fanout", fan_out_writer(purchase_flow, base))
+    return fan_out_summary(*(read_committed(spark, base, n) for n in ("purchases", "patterns", "rewards")))
 
 
 def q_employee_alerts_stream(spark, d):
@@ -209,12 +263,10 @@ def q_employee_alerts_stream(spark, d):
     batch, as the stream's side effect."""
     pur = V.v_purchase(spark, d)
     path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), "alerts")
-    base, ckpt = scratch_dir(spark, "sink-alerts"), scratch_dir(spark, "ckpt-alerts")
-    w = (file_stream(spark, path, pur.schema).writeStream
-         .foreachBatch(fan_out_writer(lambda batch: {"alerts": R.watch_employee(batch)}, base))
-         .queryName(f"alerts_{ckpt[-6:]}").option("checkpointLocation", ckpt).trigger(availableNow=True))
-    run_to_end(start_with_partitions(spark, w))
-    return spark.read.parquet(f"{base}/alerts/batch=*").select(
+    base = scratch_dir(spark, "sink-alerts")
+    run_batches(spark, file_stream(spark, path, pur.schema), "alerts",
+                fan_out_writer(lambda batch: {"alerts": R.watch_employee(batch)}, base))
+    return read_committed(spark, base, "alerts").select(
         "employee_id", "customer_id", "item_purchased", "price", "quantity", "purchase_date", "store_id")
 
 
@@ -253,6 +305,9 @@ STREAM_QUERIES = {
     "correlate_purchases_stream": q_correlate_purchases_stream,
     "correlate_purchases_full_stream": lambda spark, d: q_correlate_purchases_stream(spark, d, "full"),
     "event_time_repair_stream": q_event_time_repair_stream,
+    "topk_changes_stream": q_topk_changes_stream,
+    "retained_pairs_stream": q_retained_pairs_stream,
+    "moving_lookup_stream": q_moving_lookup_stream,
     "purchase_fanout_stream": q_purchase_fanout_stream,
     "employee_alerts_stream": q_employee_alerts_stream,
     "purchase_days_stream": q_purchase_days_stream,

@@ -53,14 +53,16 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, name: str, n_chunks: int | None = None,
-                 tail: DataFrame | None = None, sequence: list[int] | None = None, path: str | None = None) -> Staged:
+                 tail: DataFrame | None = None, sequence: list[int] | None = None, path: str | None = None,
+                 cuts: list | None = None) -> Staged:
     """Write ``df`` as ordered appends (ranges of ``order``), then ``tail``
     (end-of-input rows, marked in the column END) as the last one.
 
     The number of chunks grows with the input (``n_chunks`` fixes it), and
     each chunk is spread over files of about FILE_BYTES, which
     ``file_stream`` reads as one micro-batch.  Cut points come from
-    ``approxQuantile`` (one number per chunk reaches the driver).
+    ``approxQuantile`` (one number per chunk reaches the driver), unless
+    ``cuts`` gives the last value of every chunk but the last one.
     ``sequence`` gives the order in which chunks are appended (default:
     ascending; tests use it to make late data); ``path`` appends to an
     existing staging folder."""
@@ -72,11 +74,12 @@ def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, name: str, n
     staged = df.withColumns({"_o": order, END: F.lit(False)})
     _spread(staged, max(spark.sparkContext.defaultParallelism, 1)).write.mode("overwrite").parquet(source)
     size = stored_bytes(spark, source)
-    n_chunks = n_chunks or max(LEAST_BATCHES, -(-size // BATCH_BYTES))
+    n_chunks = len(cuts) + 1 if cuts is not None else n_chunks or max(LEAST_BATCHES, -(-size // BATCH_BYTES))
     files = max(1, -(-size // (n_chunks * FILE_BYTES)))
     keyed = spark.read.parquet(source)
     probs = [i / n_chunks for i in range(1, n_chunks)]
-    cuts = sorted(set(keyed.approxQuantile("_o", probs, 0.001))) if n_chunks > 1 else []
+    if cuts is None:
+        cuts = sorted(set(keyed.approxQuantile("_o", probs, 0.001))) if n_chunks > 1 else []
     bounds = [None, *cuts, None]
     ranges = list(zip(bounds[:-1], bounds[1:]))
     for lo, hi in (ranges[i] for i in (sequence if sequence is not None else range(len(ranges)))):
@@ -150,6 +153,15 @@ def start_with_partitions(spark: SparkSession, writer, partitions: int | None =
         spark.conf.set(key, before)
 
 
+def run_batches(spark: SparkSession, df: DataFrame, name: str, write: Callable[[DataFrame, int], None],
+                ckpt: str | None = None, mode: str = "append") -> None:
+    """Run ``df`` to the end of its input through a batch function; ``ckpt`` goes on from an earlier run's checkpoint."""
+    ckpt = ckpt or scratch_dir(spark, f"ckpt-{name}")
+    run_to_end(start_with_partitions(spark, df.writeStream.foreachBatch(write).outputMode(mode)
+                                     .queryName(f"{name}_{ckpt[-6:]}").option("checkpointLocation", ckpt)
+                                     .trigger(availableNow=True)))
+
+
 def run_append(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
     """Append-mode query into the parquet file sink; returns the sink path."""
     out = scratch_dir(spark, f"sink-{name}")

@@ -7,10 +7,19 @@ leave them out by that column alone, and no key value is special.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from rivulet.operators.running import repair_event_time
+from rivulet.operators.tables import latest_per_key
+from rivulet.session import ensure_state_store, ship_package
 from rivulet.streaming.harness import END, to_event_time
+from rivulet.streaming.state import PAIRED, RetainedPairs
+from rivulet.streaming.versions import Versions, commit, committed, read_committed, uncommit
 
 #: event time that co-group state outlives its window, unless the caller says otherwise
 RETENTION = "120 seconds"
@@ -73,3 +82,111 @@ def daily_counts(stream: DataFrame, ts: str, delay: str, totals: list[Column]) -
     s = to_event_time(stream, ts).withWatermark(ts, delay)
     return (s.groupBy(F.window(ts, "1 day"), *_marker(s)).agg(*totals)
              .withColumn("window_start", F.col("window.start")).drop("window"))
+
+
+def retained_pairs(a: DataFrame, b: DataFrame, key: str, ts: str, rid: str, retention_seconds: int = 120,
+                   delay: str = "0 seconds") -> DataFrame:
+    """Append-mode stream of the pairs (key, a_id, b_id, a_ms, b_ms) of two streams whose event times are at most the
+    retention apart. Records wait in keyed state (``state.RetainedPairs``), split by time slots of the retention's length,
+    and are dropped when the watermark (``delay`` behind the latest time of both sides) has passed them; a record that
+    comes later still meets nobody. The clock is the watermark, which the checkpoint keeps over restarts. Records
+    without a key or time pair with none."""
+    ensure_state_store(a.sparkSession)
+    ship_package(a.sparkSession)
+    width = retention_seconds * 1000
+
+    def side(s: DataFrame, name: str) -> DataFrame:
+        s = to_event_time(s, ts).where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+        ms = F.floor(F.unix_micros(F.col(ts)) / 1000)
+        return s.select(F.col(key).cast("string").alias("key"), F.col(ts).alias("ts"), F.col(rid).cast("long").alias("rid"),
+                        ms.cast("long").alias("ms"), F.lit(name).alias("side"))
+
+    both = side(a, "a").unionByName(side(b, "b")).withWatermark("ts", delay)
+    own = F.floor(F.col("ms") / width)
+    slots = F.when(F.col("side") == "a", F.array(own)).otherwise(F.array(own - 1, own, own + 1))
+    return (both.withColumn("slot", F.explode(slots)).groupBy("key", "slot").transformWithStateInPandas(
+        statefulProcessor=RetainedPairs(width), outputStructType=PAIRED, outputMode="Append", timeMode="EventTime"))
+
+
+def repair_writer(base: str, schema: StructType, partition: str = "partition", offset: str = "offset",
+                  ts_ms: str = "ts_ms") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function of the event-time repair: the batch operator (prefix maxima over buckets of offsets)
+    within a micro-batch, and between them a carry, the highest valid time of each partition so far (one row each,
+    one version per batch). Repaired rows go to ``<base>/fixed`` (read them by ``versions.read_committed``). Batches must
+    hold each partition's records in offset order, as a topic delivers them."""
+    carry = Versions(f"{base}/carry", StructType([schema[partition], schema[ts_ms]]))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            high = carry.before(spark, batch_id)
+            of = high.select(F.col(partition).alias("_of"), F.col(ts_ms).alias("_high"))
+            fixed = repair_event_time(rows, partition, offset, ts_ms)
+            fixed = (fixed.join(of, F.col(partition).eqNullSafe(F.col("_of")), "left")
+                     .withColumn("event_ms", F.when(F.col("repaired"), F.greatest("event_ms", "_high"))
+                                 .otherwise(F.col("event_ms"))).drop("_of", "_high"))
+            uncommit(spark, base, batch_id)
+            fixed.write.mode("overwrite").parquet(f"{base}/fixed/batch={batch_id}")
+            carry.write(high.unionByName(rows.where(F.col(ts_ms) >= 0).select(partition, ts_ms))
+                        .groupBy(partition).agg(F.max(ts_ms).alias(ts_ms)), batch_id)
+            commit(spark, base, batch_id)
+        finally:
+            rows.unpersist()
+
+    return write
+
+
+def log_writer(base: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that appends a table's changes to its log under ``base``, batch by batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        uncommit(batch.sparkSession, base, batch_id)
+        batch.write.mode("overwrite").parquet(f"{base}/log/batch={batch_id}")
+        commit(batch.sparkSession, base, batch_id)
+
+    return write
+
+
+class MovingTable:
+    """A lookup table that follows its change log (``log_writer``): each micro-batch of a stream looks up the newest
+    value of each key as of the log's last whole batch when it started. The table is kept as a snapshot with one version
+    per batch of the stream, to which only the log's new batches are added, so a replayed batch sees the table that the
+    first run saw. ``seq`` orders the changes of a key; null values delete it."""
+
+    def __init__(self, log: str, base: str, schema: StructType, key: str, seq: str):
+        self.log, self.schema, self.key, self.seq = log, schema, key, seq
+        self.values = [c for c in schema.names if c not in (key, seq)]
+        self.table = Versions(f"{base}/table", schema)
+        self.seen = Versions(f"{base}/seen", StructType().add("last", "long"))
+
+    def at(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The table (key, values) for a micro-batch."""
+        spark = batch.sparkSession
+        if batch_id in committed(spark, self.seen.base):  # a replay
+            now = read_committed(spark, self.table.base, "table", self.schema, [batch_id])
+        else:
+            last = self.seen.before(spark, batch_id).first()
+            new = [i for i in committed(spark, self.log) if last is None or i > last["last"]]
+            rows = self.table.before(spark, batch_id).unionByName(
+                read_committed(spark, self.log, "log", self.schema, new).select(*self.schema.names))
+            now = latest_per_key(rows, self.key, self.seq, self.values, keep_deletes=True)
+            now = self.table.write(now.select(*self.schema.names), batch_id)
+            most = new[-1] if new else last["last"] if last else -1
+            self.seen.write(spark.createDataFrame([(most,)], self.seen.schema), batch_id)
+        there = F.coalesce(*[F.col(v).cast("string") for v in self.values]).isNotNull()
+        return now.where(there).select(self.key, *self.values)
+
+
+def look_up_writer(base: str, tables: list[tuple[MovingTable, str]]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that joins each micro-batch (left) with moving tables, each on a column of the stream,
+    and writes it to ``<base>/joined``. The planner broadcasts a table if its size allows."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = batch
+        for table, on in tables:
+            rows = table.at(batch, batch_id)
+            out = out.join(rows.withColumnRenamed(table.key, "_key"), F.col(on) == F.col("_key"), "left").drop("_key")
+        uncommit(batch.sparkSession, base, batch_id)
+        out.write.mode("overwrite").parquet(f"{base}/joined/batch={batch_id}")
+        commit(batch.sparkSession, base, batch_id)
+
+    return write

@@ -73,3 +73,19 @@ def test_share_volume_is_reduced_before_the_part_join(spark):
     partial = [number(b) for b in nodes if "partial_sum" in b and "l_partkey" in b]
     joins = [number(b) for b in nodes if re.match(r"\(\d+\) \w*HashJoin|\(\d+\) SortMergeJoin", b)]
     assert partial and joins and max(partial) < min(joins)
+
+
+def test_full_interval_join_reads_each_side_once(spark):
+    p = plan(C.correlate_purchases(spark, SF_SMALL, "full"))
+    assert len([line for line in p.splitlines() if line.startswith("Location")]) == 2
+    assert "FullOuter" in p
+
+
+def test_full_interval_join_of_streams_keeps_keys_and_times_only_in_its_second_join(spark):
+    from rivulet.operators.joins import interval_join_full_union
+
+    sides = [spark.createDataFrame([], f"{s}_user long, {s}_ts timestamp, {s}_text string") for s in "lr"]
+    df = interval_join_full_union(*sides, ("l_user", "r_user"), ("l_ts", "r_ts"), 0, 60)
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    second = p[p.index("Join RightOuter"):]
+    assert "l_user" in second and "l_text" not in second[:second.index("LogicalRDD")]
