@@ -98,11 +98,11 @@ def q_json_encode(spark, d):
     names and some of its fields, read from the text."""
     pur = V.v_purchase(spark, d).withColumn("department", F.when(F.col("quantity") % 7 != 0, F.col("department")))
     text = R.json_encode(pur, "customer_id", PURCHASE_COLUMNS)
+    read = text.select("key", F.from_json("value", "map<string,string>").alias("m"))  # one parse a row
     names = ["last_name", "first_name", "credit_card_number", "department", "zip_code"]
-    return text.select("key", F.array_join(F.json_object_keys("value"), ",").alias("fields"),
-                       *[F.get_json_object("value", f"$.{n}").alias(n) for n in names],
-                       F.get_json_object("value", "$.quantity").cast("int").alias("quantity"),
-                       F.get_json_object("value", "$.price").cast("double").alias("price"))
+    return read.select("key", F.array_join(F.map_keys("m"), ",").alias("fields"),
+                       *[F.col("m")[n].alias(n) for n in names], F.col("m")["quantity"].cast("int").alias("quantity"),
+                       F.col("m")["price"].cast("double").alias("price"))
 
 
 def q_json_decode(spark, d):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -44,6 +44,15 @@ def running_totals(stream: DataFrame, keys: list[str], totals: list[Column]) ->
     return stream.groupBy(*keys).agg(*totals)
 
 
+def materialized(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The aggregate that a stream (``running_totals``, ``latest_change``) keeps in its checkpoint, as a table (keys, then
+    state values as ``state``) as of its last batch, or of ``batch_id``: Spark's state data source, no stream runs."""
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    return reader.load(checkpoint).select("key.*", F.col("value").alias("state"))
+
+
 def latest_change(stream: DataFrame, key: str, seq: str, values: list[str]) -> DataFrame:
     """Table to change stream, for update mode: the newest value of each key that a batch touches (a null value is a
     delete, kept as a tombstone)."""

@@ -9,7 +9,7 @@ from rivulet.operators.topk import top_k_by_volume
 from rivulet.session import scratch_dir
 from rivulet.sources import fixtures as V
 from rivulet.streaming.harness import batch_writer, file_stream, read_batches, run_to_end, stage_chunks
-from rivulet.streaming.operators import running_totals
+from rivulet.streaming.operators import materialized, running_totals
 
 
 def _run(spark, df, out, ckpt, partitions="8"):
@@ -37,6 +37,11 @@ def test_totals_survive_a_restart_on_a_cluster_of_another_size(spark):
     got = {r.customer_id: (r.points, r.n) for r in final.collect()}
     want = {r.customer_id: (r.points, r.n) for r in pur.groupBy("customer_id").agg(*totals).collect()}
     assert got == want
+    table = materialized(spark, ckpt)
+    assert {r.customer_id: tuple(r.state) for r in table.collect()} == want
+    first = materialized(spark, ckpt, 0)
+    assert first.agg(F.sum("state.count")).first()[0] == read_batches(spark, out, plan().schema).where("batch_id = 0").agg(
+        F.sum("n")).first()[0]
 
 
 def test_null_keys_falling_totals_and_large_integers(spark):
@@ -56,3 +61,19 @@ def test_null_keys_falling_totals_and_large_integers(spark):
     assert got[("X", None)] == 2 and got[(None, "N")] == 2**53 + 1 and got[("Y", "B")] == -5
     top = [(r.symbol, r.shares) for r in top_k_by_volume(last).where("industry = 'X'").orderBy("rank").collect()]
     assert top == [("S2", 98), ("S3", 97), ("S4", 96), ("S5", 95), ("S6", 94)]
+
+
+def test_progress_rows_are_kept_without_a_cap_and_once_per_batch(spark):
+    from types import SimpleNamespace
+
+    from rivulet.streaming.listener import ProgressLog, logged
+
+    folder = scratch_dir(spark, "progress-folder")
+    log = ProgressLog(keep=3, spark=spark, folder=folder)
+    for batch in [*range(8), 7, 6]:  # the last two are reported again
+        progress = SimpleNamespace(name="q", id="0-1", batchId=batch, numInputRows=10 * batch, batchDuration=5,
+                                   observedMetrics={"sink": SimpleNamespace(asDict=lambda: {"rows": 1})})
+        log.onQueryProgress(SimpleNamespace(progress=progress))
+    assert len(log.rows) == 3
+    assert sorted((r.query, r.batch_id, r.input_rows) for r in logged(spark, folder).collect()) == [
+        ("q", i, 10 * i) for i in range(8)]
