@@ -13,7 +13,7 @@ characters before an edit stays, and once a new end meets an old one behind the
 
 Defined results: null texts are empty and have no pre-tokens and 0 tokens. Edits are clipped to the text; a null edit
 list changes nothing; edits of one document are applied in order, each to the result of the one before. Rows do not
-meet each other, so repeated rows give equal results. Other columns are dropped.
+meet each other, so repeated rows give equal results. Other columns are kept.
 """
 
 from __future__ import annotations
@@ -179,6 +179,34 @@ def apply_edits(state: DataFrame, path: str, pattern: str) -> DataFrame:
     return state.mapInArrow(run, schema)
 
 
+def edited_counts(df: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``build_counts`` and ``apply_edits`` of rows (text, edits, and others that stay) at one go: n_tokens_before,
+    n_tokens, encoded_chars and n_chars after the edits. The states pass in memory and are not returned."""
+    bound_batches(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast((load_ranks(path), pattern))
+    kept = [c for c in df.columns if c not in ("text", "edits")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, by = shared.value
+        split, counter = splitter(by), Counter(ranks)
+        for batch in batches:
+            found = []
+            for text, edits in zip(batch.column("text"), batch.column("edits"), strict=True):
+                d = Counted.build(text.as_py() or "", split, counter)
+                before = d.total
+                for e in edits.as_py() or ():
+                    if e is not None:
+                        d.edit(e["start"] or 0, e["deleted"] or 0, e["inserted"] or "", split, counter)
+                found.append((before, d.total, d.encoded, len(d.text)))
+            columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * 4
+            yield extended(batch.select(kept), **dict(zip(EDITED, columns, strict=True)))
+
+    return df.mapInArrow(run, widened(df.select(*kept).schema, **dict.fromkeys(EDITED, "long")))
+
+
+EDITED = ("n_tokens_before", "n_tokens", "encoded_chars", "n_chars")
+
+
 def two_edits(text: Column) -> Column:
     """The edits that the query makes in a text of n code points: at n/3, n/50 code points are replaced by the text's
     first n/100; then, at a tenth, one word is put in."""
@@ -193,7 +221,4 @@ def two_edits(text: Column) -> Column:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token count before and after two edits."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    state = build_counts(docs, *tokenizer()).withColumn("edits", two_edits(F.col("text")))
-    return (apply_edits(state, *tokenizer())
-            .select("doc_id", "n_tokens_before", "n_tokens", "encoded_chars",
-                    F.char_length("text").cast("long").alias("n_chars")))
+    return edited_counts(docs.withColumn("edits", two_edits(F.col("text"))), *tokenizer()).select("doc_id", *EDITED)
