@@ -15,7 +15,7 @@ def test_stages_and_entry():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "mixing", "tokens"]
     assert E.queries()["pipeline"] is corpus_pipeline.run
     names = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_run_matches_brute_force(spark):
