@@ -7,8 +7,8 @@ gradient descent in numpy, on the driver, from a bounded sample; every text is t
 get the model (BUCKETS x DIMENSIONS numbers) as a broadcast.
 
 Sample: PER_LANGUAGE labelled rows of each language at most, and SAMPLE in all, by a hash of the id (every language's
-first row comes before any second one, so that none is missed as long as there are at most SAMPLE languages; rows that
-repeat a sampled id and language come along). Ids are ranked without texts, and only those whose hash can be among the
+first row comes before any second one, so that none is missed as long as there are at most SAMPLE languages, else the
+SAMPLE commonest ones count; rows that repeat a sampled id and language come along). Ids are ranked without texts, and only those whose hash can be among the
 least of their language; the sampled ones, at most SAMPLE, then meet the texts. A row sends at most BUCKETS
 counts to the driver, of the whole text and of its first EXCERPT letters; so short texts are learned too. One row of
 CALIBRATE is kept from training: on these, the softmax's temperature is fitted by likelihood, and the rejection
@@ -182,10 +182,10 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPL
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = known.select("lang", "key", F.xxhash64("key", F.lit("language")).alias("hash"))
     # a share of about WIDER * per_language rows of each language is enough to rank
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "lang").limit(sample)
     likely = F.pmod("hash", F.lit(1 << 30)).cast("double") * F.col("size") <= float(WIDER * per_language * (1 << 30))
     nth = Window.partitionBy("lang").orderBy("place", "key")
-    ids = (rows.join(sizes, "lang").where(likely).withColumn("place", F.pmod("hash", F.lit(1 << 30)))
+    ids = (rows.join(F.broadcast(sizes), "lang").where(likely).withColumn("place", F.pmod("hash", F.lit(1 << 30)))
            .withColumn("_n", F.row_number().over(nth)).where(F.col("_n") <= per_language)
            .orderBy("_n", "lang").limit(sample)
            .select(F.col("key").alias("_key"), F.col("lang").alias("_lang"),
