@@ -6,7 +6,7 @@ attempt that died are never read.
 
 Reader (``read_warc``): archives are cut into byte ranges, one task item each. A task looks for the gzip magic from the
 start of its range on, and takes an offset as the start of a record only if the bytes there inflate and begin with a
-WARC version line. It owns the records that start inside its range and reads on past its end to finish the last one;
+WARC version line; a header block may have any length. It owns the records that start inside its range and reads on past its end to finish the last one;
 after a record, the search goes on where its gzip member ends. Ranges of one archive never share state, so any task can
 be lost and run again.
 
@@ -43,8 +43,6 @@ MAGIC = b"\x1f\x8b\x08"
 RANGE_BYTES = 32 << 20
 FILE_BYTES = 1 << 30
 READ_BYTES = 1 << 20
-#: a record's WARC header block ends within so many bytes, else the offset is no record
-HEADER_BYTES = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 
@@ -79,13 +77,21 @@ def gzip_member(data: bytes, level: int = 6) -> bytes:
     return c.compress(data) + c.flush()
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme under which Spark itself would resolve it, so that tasks write where Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file://" + full[len("file:"):] if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def write_warc(df: DataFrame, folder: str, file_bytes: int = FILE_BYTES, level: int = 6) -> DataFrame:
     """Write rows (record_id, record_type, target_uri, refers_to, sha1 hex, payload binary) as .warc.gz files of about
     ``file_bytes`` in ``folder``; returns the manifest (path, bytes, records), already written to shared storage."""
 
+    folder = qualified(df.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (
-            pafs.LocalFileSystem(), folder)
+        fs, root = pafs.FileSystem.from_uri(folder)
         out, path, size, records, done = None, "", 0, 0, []
         for batch in batches:
             for rid, kind, uri, ref, sha1, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -141,25 +147,21 @@ def next_magic(data: _Window, offset: int, end: int) -> int | None:
 
 def inflate(data: _Window, offset: int) -> tuple[bytes, int] | None:
     """The record whose member starts at ``offset`` and the offset after the member; None if there is no record."""
-    z, at, parts, seen, checked = zlib.decompressobj(31), offset, [], 0, False
+    z, at, record, checked = zlib.decompressobj(31), offset, bytearray(), False
     try:
         while not z.eof:
             chunk = data.get(at)
             if not chunk:
                 return None
-            parts.append(z.decompress(chunk))
+            seen = len(record)
+            record += z.decompress(chunk)
             at += len(chunk) - len(z.unused_data)
-            seen += len(parts[-1])
-            if not checked and seen:
-                head = b"".join(parts)
-                if not b"WARC/"[:len(head)] == head[:5]:
-                    return None
-                if b"\r\n\r\n" not in head and len(head) > HEADER_BYTES:
-                    return None
-                checked = b"\r\n\r\n" in head
+            if not b"WARC/"[:len(record)] == record[:5]:
+                return None
+            checked = checked or record.find(b"\r\n\r\n", max(0, seen - 3)) >= 0
     except zlib.error:
         return None
-    return (b"".join(parts), at) if checked else None
+    return (bytes(record), at) if checked else None
 
 
 def parse(record: bytes) -> dict | None:

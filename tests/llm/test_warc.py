@@ -76,6 +76,19 @@ def test_every_range_split_gives_every_record_once(tmp_path, step):
     assert found == [f"urn:{i}" for i in range(n)]
 
 
+@pytest.mark.parametrize("step", [50_000, 10**9])
+def test_header_blocks_have_no_largest_length(tmp_path, step):
+    uri = "http://a/" + os.urandom(1_500_000).hex()
+    data = b"".join(warc.gzip_member(warc.render(f"urn:{i}", "response", u, None, "00" * 20, b"x"))
+                    for i, u in enumerate(["u", uri, "v"]))
+    path = tmp_path / "h.warc.gz"
+    path.write_bytes(data)
+    with pafs.LocalFileSystem().open_input_file(str(path)) as file:
+        found = [r[2]["target_uri"] for s in range(0, len(data), step)
+                 for r in warc.records_in(warc._Window(file, len(data)), s, min(len(data), s + step))]
+    assert found == ["u", uri, "v"]
+
+
 def test_records_cross_read_blocks_and_nested_archives_are_dropped(spark, tmp_path, monkeypatch):
     inner = warc.gzip_member(warc.render("urn:inner", "response", "u", None, "00" * 20, b"hidden"))
     outer = warc.gzip_member(warc.render("urn:outer", "response", "u", None, "00" * 20, b"A" * 500 + inner), level=0)
