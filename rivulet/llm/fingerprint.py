@@ -11,9 +11,11 @@ A text is a sequence of symbols, at first its code points. One level of parsing
 Whether a phrase starts at a place depends on a few symbols around it only, never on its offset: two texts that share a
 passage share all phrases inside it, but for a few at its ends, on every level. Levels go on until one symbol is left.
 
-The fingerprint keeps, of the distinct names from level ``FIRST_LEVEL`` on and the name of the whole text, the
-``KEPT`` with the least hashes (40 bits each, base64). The likeness of two fingerprints is the share, among the
-``KEPT`` least hashes of their union, of those in both: an estimate of the names' Jaccard similarity.
+The fingerprint holds, of the distinct names from level ``FIRST_LEVEL`` on and the name of the whole text, every one
+whose hash (40 bits, base64) is below ``SHARE`` of all hashes, and at least the ``KEPT`` least. A name is in or out by
+its own hash, so a passage brings the same names into the fingerprint of every text that holds it, however long that
+text is, and a fingerprint's size follows the text's. The likeness of two fingerprints is the share of common hashes
+in their union, up to the bound below which both hold all names: an estimate of the names' Jaccard similarity.
 
 Whole batches of texts are parsed in one go with numpy; a batch ends at ``BATCH_CHARS`` code points, so memory is
 bounded by the larger of that and one text (about 60 bytes per code point).
@@ -36,10 +38,14 @@ from pyspark.sql import functions as F
 from rivulet.llm.common import partitions, table
 
 FIRST_LEVEL = 2
+#: share of the names that a fingerprint holds, and how many it holds at least
+SHARE = 0.25
 KEPT = 64
 ROUNDS = 4
 HASH_BYTES = 5
 BATCH_CHARS = 1 << 20
+#: hashes under this bound are in every fingerprint
+BELOW = np.uint64(int(SHARE * (1 << 8 * HASH_BYTES)))
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _POWER = np.uint64(0x9E3779B97F4A7C15)
@@ -131,7 +137,8 @@ def signatures(texts: list[str]) -> list[np.ndarray]:
     new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
     h, of = h[new], of[new]
     ends = np.searchsorted(of, np.arange(len(texts) + 1))
-    return [h[a:min(b, a + KEPT)] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    low = np.bincount(of[h < BELOW], minlength=len(texts))
+    return [h[a:min(b, a + max(KEPT, n))] for a, b, n in zip(ends[:-1], ends[1:], low, strict=True)]
 
 
 def to_string(signature: np.ndarray) -> str:
@@ -144,16 +151,18 @@ def from_string(fingerprint: str) -> np.ndarray:
     return np.pad(raw, ((0, 0), (8 - HASH_BYTES, 0))).copy().view(">u8").astype(np.uint64).ravel()
 
 
+def covered(signature: np.ndarray) -> np.uint64:
+    """The bound up to which a fingerprint holds every name of its text."""
+    return np.uint64(1 << 8 * HASH_BYTES) if len(signature) < KEPT else max(BELOW, signature[-1])
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both = np.sort(np.concatenate([a, b]))
-    twice = np.flatnonzero(both[1:] == both[:-1])
-    distinct = len(both) - len(twice)
-    if distinct <= KEPT:
-        return len(twice) / distinct
-    # place of each common hash among the distinct ones: those past KEPT don't count
-    return int((twice - np.arange(len(twice)) < KEPT).sum()) / KEPT
+    bound = min(covered(a), covered(b))
+    both = np.sort(np.concatenate([a[a <= bound], b[b <= bound]]))
+    twice = int((both[1:] == both[:-1]).sum())
+    return twice / (len(both) - twice)
 
 
 def in_order(docs: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def signature(text):
             found |= {mixed((n + level) & MASK) >> (64 - 8 * P.HASH_BYTES) for n in sym}
         if len(sym) == 1:
             break
-    return sorted(found)[:P.KEPT]
+    return sorted(found)[:max(P.KEPT, sum(h < P.SHARE * 2 ** (8 * P.HASH_BYTES) for h in found))]
 
 
 def texts():
@@ -73,15 +73,15 @@ def test_no_text_depends_on_its_neighbours_in_the_batch():
         assert got.tolist() == P.signatures([text])[0].tolist()
 
 
-def test_equal_passages_share_interior_names_at_any_offset(monkeypatch):
-    monkeypatch.setattr(P, "KEPT", 10**6)
+@pytest.mark.parametrize("before,after", [(1, 200), (2, 200), (3, 200), (50, 200), (1111, 200), (5003, 300_000)])
+def test_equal_passages_share_interior_names_at_any_offset_and_in_any_length(before, after):
     rng = random.Random(4)
     word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
-    passage = word(3000)
-    alone = set(P.signatures([passage])[0].tolist())
-    for before in (1, 2, 3, 50, 1111):
-        inside = set(P.signatures([word(before) + passage + word(200)])[0].tolist())
-        assert len(alone & inside) > 0.9 * len(alone)
+    passage = word(9000)
+    bound = int(P.BELOW)
+    alone = {h for h in P.signatures([passage])[0].tolist() if h < bound}
+    inside = set(P.signatures([word(before) + passage + word(after)])[0].tolist())
+    assert len(alone) > P.KEPT and len(alone & inside) > 0.9 * len(alone)
 
 
 def test_likeness_estimates_shared_names():
@@ -89,11 +89,17 @@ def test_likeness_estimates_shared_names():
     assert P.likeness(a, b) == 0.5 and P.likeness(a, a) == 1
     none = np.zeros(0, np.uint64)
     assert P.likeness(none, none) == 1 and P.likeness(a, none) == 0
-    x, y = np.arange(100, dtype=np.uint64), np.arange(0, 200, 2, dtype=np.uint64)
-    union = sorted(set(x.tolist()) | set(y.tolist()))[:P.KEPT]
-    want = sum(v in set(x.tolist()) and v in set(y.tolist()) for v in union) / P.KEPT
-    assert P.likeness(x, y) == want
-    assert P.from_string(P.to_string(y)).tolist() == y.tolist()
+    assert P.from_string(P.to_string(b)).tolist() == b.tolist()
+    rng = np.random.RandomState(3)
+    names = np.unique(rng.randint(0, 1 << 8 * P.HASH_BYTES, 9000).astype(np.uint64))
+    rng.shuffle(names)
+    held = lambda x: np.sort(x)[:max(P.KEPT, int((x < P.BELOW).sum()))]
+    for x, y in ((names[:4000], names[1000:5000]), (names[:4000], names[3950:4010]), (names[:100], names[50:150])):
+        u, v = held(x), held(y)
+        bound = min(2 ** 40 if len(s) < P.KEPT else max(int(P.BELOW), int(s[-1])) for s in (u, v))
+        low = lambda s: {h for h in s.tolist() if h <= bound}
+        assert P.likeness(u, v) == len(low(x) & low(y)) / len(low(x) | low(y))
+    assert abs(P.likeness(held(names[:4000]), held(names[1000:5000])) - 0.6) < 0.05
 
 
 def expected(rows):
