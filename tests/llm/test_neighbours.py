@@ -62,6 +62,31 @@ def test_rows_that_take_no_part(spark):
     assert N.nearest(df, F.lit(None).cast("boolean")).collect() == []
 
 
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def shapes():
+    rng = np.random.RandomState(5)
+    even = unit(rng.normal(size=(2000, 64)))
+    yield "uneven lengths", even * rng.lognormal(0, 0.5, (2000, 1)), 40
+    yield "one long vector", np.concatenate([even, even[:1] * 10]), 40
+    yield "128 dimensions", unit(rng.normal(size=(1500, 128))), 50
+    yield "384 dimensions", unit(rng.normal(size=(800, 384))), 40
+    yield "21 vectors", even[:21], 1
+    yield "clusters", unit(np.repeat(even[:40], 50, axis=0) + 0.05 * rng.normal(size=(2000, 64))), 40
+
+
+@pytest.mark.parametrize("vectors,each", [s[1:] for s in shapes()], ids=[s[0] for s in shapes()])
+def test_recall_on_other_shapes(spark, vectors, each):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = answers(N.nearest(df, F.col("vec_id") % each == 0))
+    want = brute(list(range(len(vectors))), vectors, lambda q: q % each == 0, 20)
+    assert got.keys() == want.keys() and all(len(got[q]) == 20 for q in want)
+    hits = sum(len({x for x, _ in got[q]} & {x for x, _ in want[q]}) for q in want)
+    assert hits >= 0.93 * 20 * len(want)
+
+
 def test_pseudo_rotation_keeps_products():
     x = np.random.RandomState(0).normal(size=(20, 16))
     for y in N.rotated(x, 3):
