@@ -11,7 +11,8 @@ equal ids (see the tests), but needs a table of all distinct words to be joined
 operator runs the fold inside the tasks; the README has the figures.
 
 Defined results: null is the empty text: no ids, the hash of no bytes. Repeated rows give equal results. Characters that
-UTF-8 cannot hold do not occur in Spark strings. Columns other than the key and the text are dropped.
+UTF-8 cannot hold do not occur in Spark strings. The query drops columns other
+than the key and the text; the stage keeps all but those named like a result, which takes their place.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import bound_batches, extended, table, widened
+from rivulet.llm.common import bound_batches, extended, packed, table, widened
 
 FILE = "byte_bpe_multi_50k.tiktoken"
 #: words kept per task; the table is emptied when it is full
@@ -202,9 +203,12 @@ def decode_ids(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> Data
 
 
 def round_trip(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """n_tokens, ids_sha256 and decoded_sha256 for the column text, beside the other columns."""
-    coded = decode_ids(encode_texts(df, path, pattern), path, pattern)
-    return coded.select(*[c for c in df.columns if c != "text"],
+    """n_tokens, ids_sha256 and decoded_sha256 for the column text, beside the other columns (without any that have one
+    of these three names)."""
+    rest = df.drop("n_tokens", "ids_sha256", "decoded_sha256")
+    rows, back = packed(rest, "text")
+    coded = decode_ids(encode_texts(rows, path, pattern), path, pattern)
+    return coded.select(*[c for c, name in zip(back, rest.columns, strict=True) if name != "text"],
                         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

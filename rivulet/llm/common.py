@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,14 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def packed(df: DataFrame, *own: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` as the columns ``own`` and one struct of all others, so that no column of the caller's can clash with those
+    an operator adds; and the columns that turn it back."""
+    others = [c for c in df.columns if c not in own]
+    held = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("_others")] if others else []
+    return df.select(*own, *held), [F.col(c) if c in own else F.col("_others").getField(c).alias(c) for c in df.columns]
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from rivulet.llm.common import cut, table
+from rivulet.llm.common import cut, packed, table
 
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 12
@@ -269,10 +269,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sampled documents: rows whose id's uniform number is under the probability of their own cell."""
     own = document_dimensions()
+    rows, back = packed(docs, "doc_id", "text", "source", "lang")
     chance = cell_chances(docs.select(*[c.alias(n) for n, c in own.items()], n_words(F.col("text")).cast("long")
                                       .alias("tokens")), list(own))
-    return (docs.join(chance, in_cell(own)).where(uniform(F.col("doc_id")) < F.col("probability"))
-            .select(*[docs[c] for c in docs.columns]))
+    return rows.join(chance, in_cell(own)).where(uniform(F.col("doc_id")) < F.col("probability")).select(*back)
 
 
 def _sql() -> str:

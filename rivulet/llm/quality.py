@@ -14,7 +14,8 @@ count with their whole text. Inputs of a score are the text alone.
 
 Defined results: a null text is the empty text, and has a score like any other (that of differences and ratio 0).
 Null labels teach nothing; a row that is labelled twice counts twice. Without labels of both classes every score is
-0.5. Repeated documents are scored alike. Columns other than the key and the text are dropped, so none can clash.
+0.5. Repeated documents are scored alike. The query drops columns
+other than the key and the text; the stage keeps all, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import bound_batches, extended, table, widened
+from rivulet.llm.common import bound_batches, extended, packed, table, widened
 
 BLOCK_BYTES = 4096
 DICTIONARY_BYTES = 112 << 10
@@ -142,13 +143,12 @@ def score_column(weights: tuple[float, ...]) -> Column:
 
 
 def score_quality(docs: DataFrame, model: QualityModel | None, threshold: float = THRESHOLD) -> DataFrame:
-    """docs (with column text) with score and predicted; the text stays."""
-    if model is None:
-        scored = docs.withColumn("score", F.lit(0.5))
-    else:
-        scored = (with_features(docs, model, "text").withColumn("score", score_column(model.weights))
-                  .drop("difference", "ratio", "product"))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    """docs (with column text) with score and predicted, in place of any columns of these two names; all others stay."""
+    rows, back = packed(docs.drop("score", "predicted"), "text")
+    score = F.lit(0.5) if model is None else score_column(model.weights)
+    scored = rows if model is None else with_features(rows, model, "text")
+    return (scored.withColumn("score", score)
+            .select(*back, "score", (F.col("score") >= threshold).cast("int").alias("predicted")))
 
 
 def held_out(key: Column) -> Column:
@@ -174,4 +174,5 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; labels come from the input's table."""
     model = learn(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
-    return score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+    rows, back = packed(docs, "doc_id", "text")
+    return score_quality(rows, model).where("predicted = 1").select(*back)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rivulet.llm.common import bound_batches, cut, partitions, table
+from rivulet.llm.common import bound_batches, cut, packed, partitions, table
 from rivulet.llm.components import connected_components
 from rivulet.llm.shingles import groups, shingle_sets
 
@@ -341,7 +341,8 @@ def dedupe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Rows are numbered as they are written, and groups are made of rows, not of ids: a row without id is in the group of
     its text like any other, rows with one id and unlike texts are groups of their own. Rows whose texts have no words
     link with nothing, but rows with one id and one such text are copies (a null text is empty)."""
-    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "join-rows")
+    rows, back = packed(docs, "doc_id", "text")
+    rows = cut(rows.withColumn("_row", F.monotonically_increasing_id()), "join-rows")
     found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(
         F.col("doc_id").alias("_row"), "n_shingles", "component_id")
     mark = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
@@ -351,4 +352,4 @@ def dedupe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     least = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_row")).alias("least")
     kept = (rows.select("_row", "doc_id", mark.alias("mark")).join(found, "_row").groupBy(*group).agg(least)
             .select("least._row"))
-    return rows.join(cut(kept, "join-kept"), "_row", "left_semi").select(*docs.columns)
+    return rows.join(cut(kept, "join-kept"), "_row", "left_semi").select(*back)

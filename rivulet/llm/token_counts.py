@@ -13,7 +13,8 @@ characters before an edit stays, and once a new end meets an old one behind the
 
 Defined results: null texts are empty and have no pre-tokens and 0 tokens. Edits are clipped to the text; a null edit
 list changes nothing; edits of one document are applied in order, each to the result of the one before. Rows do not
-meet each other, so repeated rows give equal results. Other columns are kept.
+meet each other, so repeated rows give equal results. Other columns are kept, but for
+those named like a result, which takes their place.
 """
 
 from __future__ import annotations
@@ -134,7 +135,8 @@ def state_arrays(done: list[Counted]) -> dict[str, pa.Array]:
 
 
 def build_counts(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``df`` (with column text) and its STATE columns."""
+    """``df`` (with column text) and its STATE columns, in place of any of these names."""
+    df = df.drop(*STATE)
     bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((load_ranks(path), pattern))
 
@@ -150,9 +152,10 @@ def build_counts(df: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def apply_edits(state: DataFrame, path: str, pattern: str) -> DataFrame:
     """Rows of ``build_counts`` with a column edits (EDITS): text and STATE after the edits, n_tokens_before, n_tokens,
-    and encoded_chars, the code points that were encoded again. The column edits goes."""
+    and encoded_chars, the code points that were encoded again. The column edits goes, and columns of the result's
+    names are replaced."""
     shared = state.sparkSession.sparkContext.broadcast((load_ranks(path), pattern))
-    changed = ("text", *STATE, "edits")
+    changed = ("text", *STATE, "edits", "n_tokens_before", "n_tokens", "encoded_chars")
     kept = [c for c in state.columns if c not in changed]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,10 +184,11 @@ def apply_edits(state: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def edited_counts(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """``build_counts`` and ``apply_edits`` of rows (text, edits, and others that stay) at one go: n_tokens_before,
-    n_tokens, encoded_chars and n_chars after the edits. The states pass in memory and are not returned."""
+    n_tokens, encoded_chars and n_chars after the edits, in place of any columns of these names. The states pass in
+    memory and are not returned."""
     bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((load_ranks(path), pattern))
-    kept = [c for c in df.columns if c not in ("text", "edits")]
+    kept = [c for c in df.columns if c not in ("text", "edits", *EDITED)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, by = shared.value

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from rivulet.llm import bpe, mixing, quality
+from rivulet.llm import bpe, mixing, quality, token_counts
 from test_similarity_join import components, shingles
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -55,6 +55,36 @@ def test_each_stage_takes_empty_and_awkward_rows(spark, k):
     assert out.collect() == []
 
 
+CLASHING = ["score", "predicted", "difference", "ratio", "product", "_row", "_others", "probability", "of_source",
+            "of_lang", "of_topic", "topic", "tokens", "tree", "ids", "decoded", "key", "component_id", "mark", "n"]
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_each_stage_keeps_the_values_of_clashing_columns(spark, k):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    more = docs.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    _, stage = corpus_pipeline.STAGES[k]
+    plain, got = stage(spark, docs, SF_SMALL).collect(), stage(spark, more, SF_SMALL).collect()
+    assert plain and sorted(r.doc_id for r in got) == sorted(r.doc_id for r in plain)
+    assert all(r[c] == f"{c} {r.doc_id}" for r in got for c in CLASHING)
+    rest = {r.doc_id: r for r in plain}
+    assert all(r[c] == rest[r.doc_id][c] for r in got for c in plain[0].__fields__)
+
+
+def test_results_take_the_place_of_columns_with_their_names(spark):
+    df = spark.createDataFrame([(1, "some text", "mine", "mine", "mine")],
+                               "doc_id long, text string, n_tokens string, ids_sha256 string, tree string")
+    coded = corpus_pipeline.STAGES[3][1](spark, df, SF_SMALL)
+    assert sorted(coded.columns) == ["decoded_sha256", "doc_id", "ids_sha256", "n_tokens", "tree"]
+    assert (coded.first().n_tokens, coded.first().tree) == (2, "mine")
+    state = token_counts.build_counts(df, *bpe.tokenizer())
+    edits = F.array().cast(token_counts.EDITS).alias("edits")
+    done = token_counts.apply_edits(state.select("*", edits), *bpe.tokenizer()).first()
+    assert (done.n_tokens, done.ids_sha256) == (2, "mine")
+    at_once = token_counts.edited_counts(df.select("*", edits), *bpe.tokenizer()).first()
+    assert (at_once.n_tokens, at_once.tree) == (2, "mine")
+
+
 def test_one_row_of_each_group_stays(spark):
     a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
     rows = [(None, a, "null id, unique"), (7, b, "x"), (7, b, "x"), (None, b, "x"), (3, b + " more", "least id"),
