@@ -18,7 +18,9 @@ shares at least the smaller l of the two.
    and place of the shared shingles allow, are verified. No pair is left out, and pairs within a component need no
    check.
 
-Verification intersects the whole sets, which are made again from the texts of a round's pairs alone. Components come from ``connected_components``.
+Before their sets are moved, pairs are held against the sets' signs: parity bits, about one per shingle, that prove most
+pairs of unlike texts too far apart. Verification intersects the whole sets of the others, which are made again from the
+texts of a round's pairs alone. Components come from ``connected_components``.
 
 Defined results: a null text is empty; an empty text, or one without words, has no shingles and links with nothing (its
 component is its own id). Rows with equal ids count as one node. Rows whose id is null belong to the component of their
@@ -108,7 +110,8 @@ def choose_matches(excess: np.ndarray, bounds: np.ndarray, least: np.ndarray) ->
 
 def prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> DataFrame:
     """doc_id, n (set size), s1 and s2 (128 bits that stand for the set), matches, prefix (shingles in global order),
-    p0.. (PARITY columns: each bit says whether the set has an odd number of the shingles that hash to it)."""
+    p0.. (PARITY columns: each bit says whether the set has an odd number of the shingles that hash to it), sign (the
+    same with a bit or more per shingle, ``sign_words`` longs)."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
     load = cells.mean()
     noise = load + 3 * np.sqrt(load)
@@ -134,16 +137,33 @@ def prefixes(docs: DataFrame, cells: np.ndarray, words: int, percent: int) -> Da
             bit = ((h >> np.uint64(24)) % np.uint64(width)).astype(np.int64)
             odd = np.bincount(owner * width + bit, minlength=len(texts) * width).reshape(-1, width) & 1
             parity = np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+            signs, at = sign_bits(h, bounds)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(s[:, 0]), pa.array(s[:, 1]),
                  pa.array(matches, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(taken)),
-                 *(pa.array(np.ascontiguousarray(parity[:, k])) for k in range(PARITY))],
-                names=["doc_id", "n", "s1", "s2", "matches", "prefix", *parities()])
+                 *(pa.array(np.ascontiguousarray(parity[:, k])) for k in range(PARITY)),
+                 pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(signs))],
+                names=["doc_id", "n", "s1", "s2", "matches", "prefix", *parities(), "sign"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n long, s1 long, s2 long, matches int, prefix array<long>, "
-             + ", ".join(f"{p} long" for p in parities()))
+             + ", ".join(f"{p} long" for p in parities()) + ", sign array<long>")
+
+
+def sign_words(size: np.ndarray) -> np.ndarray:
+    """Longs of the sign of a set: a power of two, at least PARITY, with a bit per shingle."""
+    return np.maximum(PARITY, 1 << np.ceil(np.log2(np.maximum(size, 1) / 64)).clip(0).astype(np.int64))
+
+
+def sign_bits(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(longs, bounds) of the sets' signs. A sign of twice as many longs, halves XORed, is that of the shorter length."""
+    size = np.diff(bounds)
+    longs = sign_words(size)
+    at = np.concatenate([[0], np.cumsum(longs)])
+    bit = (h >> np.uint64(24)).astype(np.int64) & np.repeat(64 * longs - 1, size)
+    odd = np.bincount(np.repeat(64 * at[:-1], size) + bit, minlength=64 * at[-1]) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8"), at
 
 
 def parities() -> list[str]:
@@ -239,9 +259,28 @@ def possible(percent: int) -> Column:
     return (here >= need) & (F.least("x.n", "y.n") >= need) & (differ <= F.col("x.n") + F.col("y.n") - 2 * need)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def not_far(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their signs leave possible: sets differ in one shingle at least for each bit that differs.
+    ``possible`` has passed them, so the longer sign has at most twice the longs of the other."""
+    both = pairs
+    for side in "ab":
+        both = both.join(marks.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"),
+                                      F.col("sign").alias(f"sign_{side}")), side)
+    short = F.least(F.size("sign_a"), F.size("sign_b"))
+
+    def folded(sign: str) -> Column:
+        halves = F.zip_with(F.slice(sign, F.lit(1), short), F.slice(sign, short + 1, short), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(sign) > short, halves).otherwise(F.col(sign))
+
+    differ = F.aggregate(F.zip_with(folded("sign_a"), folded("sign_b"), lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                         F.lit(0), lambda total, one: total + one)
+    size = F.col("n_a") + F.col("n_b")
+    return both.where(differ <= size - 2 * F.ceil(percent * size / (100 + percent))).select("a", "b").distinct()
+
+
+def verified(pairs: DataFrame, marks: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
-    pairs = cut(pairs, "join-pairs")
+    pairs = cut(not_far(cut(pairs, "join-pairs"), marks, percent), "join-near")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = cut(sets_of(docs, cut(ids, "join-ids"), words), "join-sets")
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
@@ -261,7 +300,7 @@ def opened(posts: DataFrame, component: DataFrame, marks: DataFrame, percent: in
     tokens = cut(by_part.groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("texts", "part")).alias("most"))
                  .where("parts > 1").select("token", F.col("most.part").alias("most")), "join-open")
     in_text = W.partitionBy("doc_id", "n")
-    left = now.join(tokens, "token").join(marks, "doc_id")
+    left = now.join(tokens, "token").join(marks.select("doc_id", "n", *parities()), ["doc_id", "n"])
     return (left.withColumn("main", F.col("part") == F.col("most")).drop("most")
             .withColumns({"before": F.row_number().over(in_text.orderBy("pos")) - 1,
                           "index": F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + F.col("matches")}))
@@ -298,7 +337,7 @@ def links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFra
     """(id, component) of the classes that link with another one."""
     posts = cut(postings(rows), "join-postings")
     marks = rows.join(cut(posts.select("doc_id").distinct(), "join-ids"), "doc_id", "left_semi").select(
-        "doc_id", *parities()).distinct()
+        "doc_id", "n", *parities(), "sign").distinct()
     marks = cut(marks, "join-marks")
     kind = posts.schema["doc_id"].dataType.simpleString()
     component = docs.sparkSession.createDataFrame([], f"id {kind}, component {kind}")
@@ -307,10 +346,10 @@ def links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFra
         left = cut(opened(posts, component, marks, percent), "join-open-postings")
         new = None
         if turn < STARS:
-            new = verified(star_pairs(left, turn, percent), docs, words, percent)
+            new = verified(star_pairs(left, turn, percent), marks, docs, words, percent)
             turn = STARS if new.isEmpty() else turn + 1
         if new is None or new.isEmpty():
-            last, new = True, verified(open_pairs(left, percent), docs, words, percent)
+            last, new = True, verified(open_pairs(left, percent), marks, docs, words, percent)
         if not new.isEmpty():
             found = new if found is None else found.unionByName(new)
             component = connected_components(found)

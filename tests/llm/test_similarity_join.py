@@ -134,6 +134,30 @@ def test_stage_keeps_one_of_each_group(spark):
     assert sorted(r.doc_id for r in out.collect()) == [i for i, _, c in want if i == c]
 
 
+def test_signs_never_rule_out_a_pair_that_links(spark):
+    """Pairs just inside the threshold, on both sides of a step in the signs' length, stay; pairs without a common
+    shingle go."""
+    rng = np.random.default_rng(5)
+    sets, pairs, far = [], [], []
+    for n in (1, 5, 40, 255, 256, 257, 300, 513, 2048, 2100, 9000):
+        h = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        part = h[:-(-80 * n // 100)]  # a subset with 80% of it
+        changed = np.unique(np.concatenate([h[n // 9:], rng.integers(0, 1 << 63, n // 9, dtype=np.uint64)]))
+        for x, y in ((h, part), (h, changed), (h, h)):
+            assert 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))
+            pairs.append((len(sets), len(sets) + 1))
+            sets += [x, y]
+        if n >= 40:
+            far.append((len(sets), len(sets) + 1))
+            sets += [h, np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    longs, at = J.sign_bits(np.concatenate(sets), bounds)
+    marks = spark.createDataFrame([(i, len(s), longs[at[i]:at[i + 1]].tolist()) for i, s in enumerate(sets)],
+                                  "doc_id long, n long, sign array<long>")
+    got = J.not_far(spark.createDataFrame(pairs + far, "a long, b long"), marks, 80).collect()
+    assert sorted(map(tuple, got)) == pairs
+
+
 def test_very_long_text_and_word():
     long = "x" * 300_000 + " " + "w " * 100_000
     h, bounds = H.shingle_sets([long.encode(), b"", b" \t", b"A b", b"a B"], 5)
