@@ -4,9 +4,11 @@ task before the shuffle."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.operators.ranks import numbered
+
 
 def reduce_then_look_up(facts: DataFrame, key: str, totals: list[Column], dim: DataFrame, dim_key: str) -> DataFrame:
     """Reduce facts by ``key`` (in every map task first), then join the one row per key to its dimension row."""
@@ -34,15 +36,13 @@ def pair_by_rank(keys: DataFrame, key: str, items: DataFrame, item_key: str,
                  item_cols: list[str]) -> DataFrame:
     """Pair the n-th smallest key with the n-th smallest ``item_key``.
 
-    Keys are a small distinct set; ranking it is a sort of that set only.
-    Items are cut to the first N ids (N = number of keys) with a distributed
-    top-N over the id column alone; the other item columns (e.g. whole
-    texts) are fetched for those N ids only. Only the scalar N reaches the
-    driver. A key beyond the number of items is kept, with null items.
+    Keys and item ids (unique; items without one are left out) are numbered in
+    range partitions (``ranks.numbered``) and joined on the number; no task
+    holds all of either. The other item columns (e.g. whole texts) are fetched
+    for the paired ids only. A key beyond the number of items is kept, with
+    null items.
     """
-    n_keys = keys.count()
-    ranked_keys = keys.withColumn("_n", F.row_number().over(Window.orderBy(F.col(key))))
-    first_ids = (items.select(item_key).orderBy(item_key).limit(max(n_keys, 1))
-                      .withColumn("_n", F.row_number().over(Window.orderBy(item_key))))
-    chosen = items.select(item_key, *[c for c in item_cols if c != item_key]).join(first_ids, item_key)
-    return ranked_keys.join(chosen, "_n", "left").select(key, *item_cols)
+    ids = numbered(items.select(item_key).where(F.col(item_key).isNotNull()), [item_key])
+    paired = numbered(keys.select(key), [key]).join(ids, "_n", "left").drop("_n")
+    others = [c for c in item_cols if c != item_key]
+    return paired.join(items.select(item_key, *others), item_key, "left").select(key, *item_cols)

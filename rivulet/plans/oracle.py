@@ -204,6 +204,15 @@ from d""",
     "reward_stream": _with(("v", V_PURCHASE)) + f"""select customer_id,
   cast(sum({JAVA_INT.format(x=AMOUNT)}) as bigint) as total_reward_points, count(*) as n_purchases
 from v group by customer_id""",
+    "reward_days_stream": _with(("v", V_PURCHASE)) + f""",
+d as (select customer_id, purchase_date, count(*) n, sum({JAVA_INT.format(x=AMOUNT)}) points,
+      row_number() over (partition by customer_id order by purchase_date desc) place,
+      lead(purchase_date) over (partition by customer_id order by purchase_date desc) before
+      from v group by customer_id, purchase_date)
+select customer_id, cast(sum(points) as bigint) as total_reward_points, cast(sum(n) as bigint) as n_purchases,
+  cast(max(purchase_date) as date) as last_purchase,
+  cast(coalesce(max(date_diff('day', before, purchase_date)) filter (where place = 1), 0) as int)
+    as days_from_last_purchase from d group by customer_id""",
     "progress_percent": """with p as (select cast(user_id % 4 as int) "partition", cast(ts as date) batch,
   count(*) batch_completed from events group by 1, 2),
 r as (select *, cast(sum(batch_completed) over (partition by "partition" order by batch

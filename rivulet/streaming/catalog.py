@@ -122,6 +122,20 @@ def q_reward_stream(spark, d):
     return last.select("customer_id", "total_reward_points", "n_purchases")
 
 
+def q_reward_days_stream(spark, d):
+    """Reward points, last purchase day and days since the one before, per customer, kept by the stream."""
+    pur = V.v_purchase(spark, d).select("customer_id", P.java_int(P.amount()).cast("long").alias("points"),
+                                        F.unix_date(F.to_date("purchase_date")).alias("day"))
+    path = stage_chunks(spark, pur, F.col("day"), "reward-days")
+    days = O.reward_days(file_stream(spark, path, pur.schema))
+    back = read_batches(spark, run_update(spark, days, "reward-days"), days.schema)
+    values = [c for c in days.columns if c != "customer_id"]
+    last = latest_per_key(back, "customer_id", "batch_id", values, keep_deletes=True)
+    return last.select("customer_id", "total_reward_points", "n_purchases",
+                       F.date_from_unix_date(F.col("last_day").cast("int")).alias("last_purchase"),
+                       F.col("days_from_last_purchase").cast("int").alias("days_from_last_purchase"))
+
+
 def q_cogroup_stream(spark, d):
     """Clicks and purchases, each a stream of its own, co-grouped per user and
     day; the emitted groups are read back in the batch co-group's form."""
@@ -301,6 +315,7 @@ STREAM_QUERIES = {
     "session_stream": q_session_stream,
     "topk_stream": q_topk_stream,
     "reward_stream": q_reward_stream,
+    "reward_days_stream": q_reward_days_stream,
     "cogroup_stream": q_cogroup_stream,
     "correlate_purchases_stream": q_correlate_purchases_stream,
     "correlate_purchases_full_stream": lambda spark, d: q_correlate_purchases_stream(spark, d, "full"),

@@ -25,6 +25,7 @@ FILE_BYTES = 128 << 20
 BATCH_BYTES = 256 << 30
 #: micro-batches of a small input
 LEAST_BATCHES = 4
+MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 #: marks the end-of-input rows of a staged stream
 END = "_end"
 
@@ -141,16 +142,18 @@ def state_partitions(spark: SparkSession) -> int:
 
 
 def start_with_partitions(spark: SparkSession, writer, partitions: int | None = None) -> StreamingQuery:
-    """Start ``writer`` with ``spark.sql.shuffle.partitions`` set for the
-    stream; the query clones the session conf at start, so the caller's
-    setting is restored right after."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    """Start ``writer`` with its state's partitions, and with session windows
+    merged in every task before the shuffle; the query clones the session conf
+    at start, so the caller's settings are restored right after."""
+    settings = {"spark.sql.shuffle.partitions": str(partitions or state_partitions(spark)), MERGE_SESSIONS: "true"}
+    before = {key: spark.conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         return writer.start()
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def run_batches(spark: SparkSession, df: DataFrame, name: str, write: Callable[[DataFrame, int], None],

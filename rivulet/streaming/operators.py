@@ -18,7 +18,7 @@ from rivulet.operators.running import repair_event_time
 from rivulet.operators.tables import latest_per_key
 from rivulet.session import ensure_state_store, ship_package
 from rivulet.streaming.harness import END, to_event_time
-from rivulet.streaming.state import PAIRED, RetainedPairs
+from rivulet.streaming.state import PAIRED, REWARDED, RetainedPairs, RewardDays, reward_days_reduced
 from rivulet.streaming.versions import Versions, commit, committed, read_committed, uncommit
 
 #: event time that co-group state outlives its window, unless the caller says otherwise
@@ -31,7 +31,8 @@ def _marker(stream: DataFrame) -> list[str]:
 
 def session_counts(stream: DataFrame, keys: list[str], gap: str, delay: str, ts: str = "ts") -> DataFrame:
     """Session count per key: event time ``ts``, watermark ``delay``, append mode (each session is emitted once, when
-    closed)."""
+    closed). Streams that the harness starts merge the rows of a session in every task before the shuffle, so a hot key
+    reaches state as one row per task and session."""
     s = to_event_time(stream, ts).withWatermark(ts, delay)
     return (s.groupBy(*keys, *_marker(s), F.session_window(ts, gap))
              .agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.count(F.lit(1)).alias("n"))
@@ -53,6 +54,20 @@ def materialized(spark: SparkSession, checkpoint: str, batch_id: int | None = No
     return reader.load(checkpoint).select("key.*", F.col("value").alias("state"))
 
 
+def reward_days(purchases: DataFrame) -> DataFrame:
+    """Update-mode stream of each touched customer's points, purchases, last purchase day and the days between it and the
+    purchase day before (0 if there is none). Input: customer_id, points (null: 0), day (days since 1970; purchases
+    without one count, but are no purchase day), in any order. Every task reduces its rows to one per customer and day
+    of a batch before the shuffle; the state is one row per customer (``state.RewardDays``)."""
+    ensure_state_store(purchases.sparkSession)
+    ship_package(purchases.sparkSession)
+    rows = purchases.select(F.col("customer_id").cast("string").alias("customer_id"), F.col("day").cast("long").alias("day"),
+                            F.coalesce(F.col("points").cast("long"), F.lit(0)).alias("points"))
+    reduced = rows.mapInPandas(reward_days_reduced, "customer_id string, day long, points long, n long")
+    return reduced.groupBy("customer_id").transformWithStateInPandas(
+        statefulProcessor=RewardDays(), outputStructType=REWARDED, outputMode="Update", timeMode="None")
+
+
 def latest_change(stream: DataFrame, key: str, seq: str, values: list[str]) -> DataFrame:
     """Table to change stream, for update mode: the newest value of each key that a batch touches (a null value is a
     delete, kept as a tombstone)."""
@@ -60,10 +75,11 @@ def latest_change(stream: DataFrame, key: str, seq: str, values: list[str]) -> D
 
 
 def cogroup(a: DataFrame, b: DataFrame, key: str, ts: str, rid: str, window: str = "1 day",
-            retention: str = RETENTION, parts: int = 8) -> DataFrame:
+            retention: str = RETENTION, slot_seconds: int = 900) -> DataFrame:
     """Two streams co-grouped per key and window: rows (key, window_start, part, records_a, records_b), emitted when
-    the watermark (``retention`` behind the latest time) passes the window. A hot key's window is kept in ``parts``
-    state rows by record id; ``cogrouped`` puts them together again."""
+    the watermark (``retention`` behind the latest time) passes the window. A key's window is kept in one state row per
+    time slot that has records (part: seconds since 1970 of the slot's start), so a list is as long as a slot's records,
+    however long the window; ``cogrouped`` puts them together again."""
     def side(s: DataFrame, name: str) -> DataFrame:
         s = to_event_time(s, ts)
         return s.select(F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(rid).alias("rid"),
@@ -71,7 +87,8 @@ def cogroup(a: DataFrame, b: DataFrame, key: str, ts: str, rid: str, window: str
 
     both = side(a, "a").unionByName(side(b, "b"))
     record = F.struct("ts", "rid")
-    return (both.groupBy("key", F.window("ts", window), F.pmod("rid", F.lit(parts)).alias("part"), *_marker(both))
+    part = (F.floor(F.unix_seconds("ts") / F.lit(slot_seconds)) * F.lit(slot_seconds)).alias("part")
+    return (both.groupBy("key", F.window("ts", window), part, *_marker(both))
                 .agg(F.collect_list(F.when(F.col("side") == "a", record)).alias("records_a"),
                      F.collect_list(F.when(F.col("side") == "b", record)).alias("records_b"))
                 .withColumn("window_start", F.col("window.start")).drop("window"))
