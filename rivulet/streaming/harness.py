@@ -22,6 +22,8 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 from rivulet.session import scratch_dir
 
 FILE_BYTES = 128 << 20
+#: a chunk of more bytes than this is spread over the cores, in files of at least so many bytes
+LEAST_FILE_BYTES = 1 << 20
 BATCH_BYTES = 256 << 30
 #: micro-batches of a small input
 LEAST_BATCHES = 4
@@ -47,6 +49,12 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
 
 
+def data_files(spark: SparkSession, path: str) -> int:
+    """Number of data files in a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-*")
+    return len(at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or ())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that this module wrote."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -60,8 +68,10 @@ def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, name: str, n
     (end-of-input rows, marked in the column END) as the last one.
 
     The number of chunks grows with the input (``n_chunks`` fixes it), and
-    each chunk is spread over files of about FILE_BYTES, which
-    ``file_stream`` reads as one micro-batch.  Cut points come from
+    each chunk is spread over files of at most about FILE_BYTES, one per core
+    at least unless they would be smaller than LEAST_FILE_BYTES, which
+    ``file_stream`` reads as one micro-batch.  Every chunk has the same number
+    of files (empty ones where rows are too few), so no batch holds two.  Cut points come from
     ``approxQuantile`` (one number per chunk reaches the driver), unless
     ``cuts`` gives the last value of every chunk but the last one.
     ``sequence`` gives the order in which chunks are appended (default:
@@ -76,7 +86,9 @@ def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, name: str, n
     _spread(staged, max(spark.sparkContext.defaultParallelism, 1)).write.mode("overwrite").parquet(source)
     size = stored_bytes(spark, source)
     n_chunks = len(cuts) + 1 if cuts is not None else n_chunks or max(LEAST_BATCHES, -(-size // BATCH_BYTES))
-    files = max(1, -(-size // (n_chunks * FILE_BYTES)))
+    chunk = -(-size // n_chunks)
+    cores = max(spark.sparkContext.defaultParallelism, 1)
+    files = max(1, -(-chunk // FILE_BYTES), min(cores, -(-chunk // LEAST_FILE_BYTES)))
     keyed = spark.read.parquet(source)
     probs = [i / n_chunks for i in range(1, n_chunks)]
     if cuts is None:
@@ -91,7 +103,12 @@ def stage_chunks(spark: SparkSession, df: DataFrame, order: Column, name: str, n
             cond = cond & (F.col("_o") <= F.lit(hi))
         if lo is None:
             cond = cond | F.col("_o").isNull()  # rows without an order value go first
-        _spread(keyed.where(cond).drop("_o"), files).write.mode("append").parquet(path)
+        rows = keyed.where(cond).drop("_o")
+        there = data_files(spark, path) if files > 1 else 0
+        # the table is spread over files by hash, so its scan's partitions are even without another shuffle
+        rows.coalesce(files).write.mode("append").parquet(path)
+        for _ in range(there + files - data_files(spark, path) if files > 1 else 0):
+            rows.limit(0).write.mode("append").parquet(path)
     if tail is not None:
         _spread(tail.select(*df.columns).withColumn(END, F.lit(True)), 1).write.mode("append").parquet(path)
     remove(spark, source)
