@@ -55,21 +55,24 @@ def write_outputs(upstream: DataFrame, outputs: Callable[[DataFrame], Outputs],
 
 def fan_out_writer(outputs: Callable[[DataFrame], Outputs], base: str):
     """``foreachBatch`` function for a stream with several outputs: the
-    micro-batch is persisted once, each output is written to
+    micro-batch is computed once (persisted if it has more than one output), each output is written to
     ``base/<name>/batch=<id>``, and a marker last.  A replayed batch overwrites
     its own folders, and ``versions.read_committed`` reads whole batches only,
     so each output is exactly-once."""
     base = base.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        made = outputs(batch)
+        if len(made) > 1:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
         uncommit(batch.sparkSession, base, batch_id)
         try:
-            for name, df in outputs(b).items():
+            for name, df in made.items():
                 (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
                    .write.mode("overwrite").parquet(f"{base}/{name}/batch={batch_id}"))
         finally:
-            b.unpersist()
+            if len(made) > 1:
+                batch.unpersist()
         commit(batch.sparkSession, base, batch_id)
     return write
 

@@ -275,13 +275,13 @@ def q_purchase_fanout_stream(spark, d):
 def q_employee_alerts_stream(spark, d):
     """The watched employee's purchases appended to an alert table, batch by
     batch, as the stream's side effect."""
-    pur = V.v_purchase(spark, d)
+    shown = ["employee_id", "customer_id", "item_purchased", "price", "quantity", "purchase_date", "store_id"]
+    pur = V.v_purchase(spark, d).select(*shown)
     path = stage_chunks(spark, pur, F.unix_date(F.to_date("purchase_date")), "alerts")
     base = scratch_dir(spark, "sink-alerts")
     run_batches(spark, file_stream(spark, path, pur.schema), "alerts",
                 fan_out_writer(lambda batch: {"alerts": R.watch_employee(batch)}, base))
-    return read_committed(spark, base, "alerts").select(
-        "employee_id", "customer_id", "item_purchased", "price", "quantity", "purchase_date", "store_id")
+    return read_committed(spark, base, "alerts").select(*shown)
 
 
 def q_purchase_days_stream(spark, d):

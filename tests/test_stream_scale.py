@@ -41,3 +41,12 @@ def test_a_chunk_is_spread_over_the_cores_and_a_batch_holds_one(spark, monkeypat
     assert seen == {0: {0: 1000}, 1: {1: 1}, 2: {2: 1000}, 3: {3: 1000}}
 
 
+@pytest.mark.parametrize("names, held", [("a", 0), ("ab", 1)])
+def test_a_batch_is_held_only_for_several_outputs(spark, monkeypatch, names, held):
+    calls = []
+    persist = type(spark.range(1)).persist
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *a: calls.append(1) or persist(self, *a))
+    base = scratch_dir(spark, "held")
+    fan_out_writer(lambda batch: {n: batch.where(F.col("id") > 1) for n in names}, base)(spark.range(5), 0)
+    assert len(calls) == held
+    assert all(read_committed(spark, base, n).count() == 3 for n in names)
