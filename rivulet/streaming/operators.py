@@ -18,7 +18,7 @@ from rivulet.operators.running import repair_event_time
 from rivulet.operators.tables import latest_per_key
 from rivulet.session import ensure_state_store, ship_package
 from rivulet.streaming.harness import END, to_event_time
-from rivulet.streaming.state import PAIRED, REWARDED, RetainedPairs, RewardDays, reward_days_reduced
+from rivulet.streaming.state import PAIRED, RetainedPairs
 from rivulet.streaming.versions import Versions, commit, committed, read_committed, uncommit
 
 #: event time that co-group state outlives its window, unless the caller says otherwise
@@ -57,15 +57,17 @@ def materialized(spark: SparkSession, checkpoint: str, batch_id: int | None = No
 def reward_days(purchases: DataFrame) -> DataFrame:
     """Update-mode stream of each touched customer's points, purchases, last purchase day and the days between it and the
     purchase day before (0 if there is none). Input: customer_id, points (null: 0), day (days since 1970; purchases
-    without one count, but are no purchase day), in any order. Every task reduces its rows to one per customer and day
-    of a batch before the shuffle; the state is one row per customer (``state.RewardDays``)."""
-    ensure_state_store(purchases.sparkSession)
-    ship_package(purchases.sparkSession)
+    without one count, but are no purchase day), in any order. A native aggregate: every task reduces its rows to one per
+    customer before the shuffle, and the state is one row per customer with the sums and the set of its purchase days
+    (at most one entry per calendar day, however many purchases)."""
     rows = purchases.select(F.col("customer_id").cast("string").alias("customer_id"), F.col("day").cast("long").alias("day"),
                             F.coalesce(F.col("points").cast("long"), F.lit(0)).alias("points"))
-    reduced = rows.mapInPandas(reward_days_reduced, "customer_id string, day long, points long, n long")
-    return reduced.groupBy("customer_id").transformWithStateInPandas(
-        statefulProcessor=RewardDays(), outputStructType=REWARDED, outputMode="Update", timeMode="None")
+    latest = F.slice(F.sort_array(F.collect_set("day"), asc=False), 1, 2)
+    totals = running_totals(rows, ["customer_id"], [F.sum("points").alias("total_reward_points"),
+                                                    F.count(F.lit(1)).alias("n_purchases"), latest.alias("_days")])
+    last, before = F.get("_days", F.lit(0)), F.get("_days", F.lit(1))
+    return totals.select("customer_id", "total_reward_points", "n_purchases", last.alias("last_day"),
+                         F.coalesce(last - before, F.lit(0)).alias("days_from_last_purchase"))
 
 
 def latest_change(stream: DataFrame, key: str, seq: str, values: list[str]) -> DataFrame:

@@ -132,42 +132,3 @@ class RetainedPairs(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-REWARDED = T.StructType([
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("total_reward_points", T.LongType()),
-    T.StructField("n_purchases", T.LongType()),
-    T.StructField("last_day", T.LongType()),
-    T.StructField("days_from_last_purchase", T.LongType()),
-])
-
-
-def reward_days_reduced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (customer_id, day, points) to one per customer and day of each Arrow batch, with their number n."""
-    for frame in frames:
-        of = frame.groupby(["customer_id", "day"], dropna=False, sort=False)["points"]
-        yield of.agg(points="sum", n="size").reset_index().astype({"day": "Int64"})
-
-
-class RewardDays(StatefulProcessor):
-    """Per customer: points, purchases and the two latest distinct purchase days. Two such rows merge into one by adding
-    the sums and keeping the two latest of their days, so neither order nor repeated days matter."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("kept", "points long, n long, days string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        points, n, days = self.kept.get() if self.kept.exists() else (0, 0, "[]")
-        points, n, days = int(points), int(n), set(json.loads(days))
-        for frame in rows:
-            points, n = points + int(frame["points"].sum()), n + int(frame["n"].sum())
-            days = set(heapq.nlargest(2, days | {int(d) for d in frame["day"].dropna().unique()}))
-        latest = sorted(days, reverse=True)
-        self.kept.update((points, n, json.dumps(latest)))
-        yield pd.DataFrame({"customer_id": [key[0]], "total_reward_points": [points], "n_purchases": [n],
-                            "last_day": pd.array([latest[0] if latest else None], dtype="Int64"),
-                            "days_from_last_purchase": [latest[0] - latest[1] if len(latest) == 2 else 0]})
-
-    def close(self) -> None:
-        pass

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rivulet.session import scratch_dir
 from rivulet.sources.sinks import fan_out_writer
 from rivulet.streaming import harness as H
+from rivulet.streaming import operators as O
 from rivulet.streaming.versions import read_committed
 
 
@@ -28,6 +29,10 @@ def is_native(df):
     return not any(word in plan(df) for word in ("Python", "PySpark", "Pandas", "MapInArrow"))
 
 
+def test_reward_days_are_kept_without_python(spark):
+    assert is_native(O.reward_days(streaming(spark, "customer_id string, day int, points long")))
+
+
 def test_a_chunk_is_spread_over_the_cores_and_a_batch_holds_one(spark, monkeypatch):
     monkeypatch.setattr(H, "LEAST_FILE_BYTES", 1 << 10)
     rows = [(i % 4, f"text {i} " * 5) for i in range(4000) if i % 4 != 1] + [(1, "one row only")]
