@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rivulet.operators.joins import interval_join
 from rivulet.operators.running import repair_event_time
 from rivulet.operators.tables import latest_per_key
-from rivulet.session import ensure_state_store, ship_package
+from rivulet.session import ensure_state_store
 from rivulet.streaming.harness import END, to_event_time
-from rivulet.streaming.state import PAIRED, RetainedPairs
 from rivulet.streaming.versions import Versions, commit, committed, read_committed, uncommit
 
 #: event time that co-group state outlives its window, unless the caller says otherwise
@@ -115,12 +115,11 @@ def daily_counts(stream: DataFrame, ts: str, delay: str, totals: list[Column]) -
 def retained_pairs(a: DataFrame, b: DataFrame, key: str, ts: str, rid: str, retention_seconds: int = 120,
                    delay: str = "0 seconds") -> DataFrame:
     """Append-mode stream of the pairs (key, a_id, b_id, a_ms, b_ms) of two streams whose event times are at most the
-    retention apart. Records wait in keyed state (``state.RetainedPairs``), split by time slots of the retention's length,
-    and are dropped when the watermark (``delay`` behind the latest time of both sides) has passed them; a record that
-    comes later still meets nobody. The clock is the watermark, which the checkpoint keeps over restarts. Records
+    retention apart. A stream-stream join on (key, time bucket): records wait in its state, split by buckets, and are
+    dropped when the watermark (``delay`` behind the latest time of both sides) has passed all that they could meet; a
+    record that comes later meets nobody. The clock is the watermark, which the checkpoint keeps over restarts. Records
     without a key or time pair with none."""
     ensure_state_store(a.sparkSession)
-    ship_package(a.sparkSession)
     width = retention_seconds * 1000
 
     def side(s: DataFrame, name: str) -> DataFrame:
@@ -130,10 +129,17 @@ def retained_pairs(a: DataFrame, b: DataFrame, key: str, ts: str, rid: str, rete
                         ms.cast("long").alias("ms"), F.lit(name).alias("side"))
 
     both = side(a, "a").unionByName(side(b, "b")).withWatermark("ts", delay)
-    own = F.floor(F.col("ms") / width)
-    slots = F.when(F.col("side") == "a", F.array(own)).otherwise(F.array(own - 1, own, own + 1))
-    return (both.withColumn("slot", F.explode(slots)).groupBy("key", "slot").transformWithStateInPandas(
-        statefulProcessor=RetainedPairs(width), outputStructType=PAIRED, outputMode="Append", timeMode="EventTime"))
+
+    def one(name: str) -> DataFrame:
+        # a condition on ts stays above the watermark, so that both sides have one clock: the latest time of either
+        own = both.where(F.when(F.col("ts").isNotNull(), F.col("side")) == name)
+        return own.select(*[F.col(c).alias(f"{name}_{c}") for c in ("key", "ts", "rid", "ms")])
+
+    # times count in whole milliseconds, so the join's range is a millisecond wider and the exact one is asked after it
+    reach = retention_seconds + 0.001
+    met = interval_join(one("a"), one("b"), ("a_key", "b_key"), ("a_ts", "b_ts"), -reach, reach)
+    return met.where(F.abs(F.col("b_ms") - F.col("a_ms")) <= width).select(
+        F.col("a_key").alias("key"), F.col("a_rid").alias("a_id"), F.col("b_rid").alias("b_id"), "a_ms", "b_ms")
 
 
 def repair_writer(base: str, schema: StructType, partition: str = "partition", offset: str = "offset",
