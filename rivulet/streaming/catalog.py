@@ -24,7 +24,7 @@ from rivulet.operators.tables import latest_per_key
 from rivulet.operators.topk import top_k_by_volume
 from rivulet.plans.apps import purchase_flow
 from rivulet.plans.catalog import fan_out_summary
-from rivulet.session import ensure_state_store, scratch_dir, ship_package
+from rivulet.session import ensure_state_store, scratch_dir
 from rivulet.sources import fixtures as V
 from rivulet.sources.sinks import fan_out_writer
 from rivulet.sources.tables import read_table
@@ -206,8 +206,6 @@ def q_event_time_repair_stream(spark, d):
 def q_topk_changes_stream(spark, d):
     """Top 5 of each industry as a change stream: trades and returns of trades
     arrive two years at a time, and each batch emits one list per touched industry."""
-    ensure_state_store(spark)
-    ship_package(spark)
     changes = V.v_trade_changes(spark, d)
     periods = [r["period"] for r in changes.select("period").distinct().orderBy("period").collect()]
     path = stage_chunks(spark, changes, F.col("period"), "trade-changes", cuts=periods[:-1])

@@ -11,6 +11,7 @@ from rivulet.session import scratch_dir
 from rivulet.sources.sinks import fan_out_writer
 from rivulet.streaming import harness as H
 from rivulet.streaming import operators as O
+from rivulet.streaming.ranking import bucket_lists
 from rivulet.streaming.versions import read_committed
 
 
@@ -38,6 +39,11 @@ def test_pairs_are_kept_without_python(spark):
     assert is_native(O.retained_pairs(streaming(spark, schema), streaming(spark, schema), "who", "ts", "id"))
 
 
+def test_rankings_are_kept_without_python(spark):
+    s = streaming(spark, "industry string, symbol string, shares long, n long")
+    assert is_native(bucket_lists(s, F.col("industry"), F.col("symbol"), F.col("shares"), F.col("n")))
+
+
 def test_pairs_count_whole_milliseconds_and_follow_the_later_side(spark):
     schema = "id long, who string, ts timestamp_ntz"
     paths = [scratch_dir(spark, f"clock-{s}") for s in "ab"]
