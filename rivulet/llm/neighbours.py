@@ -43,6 +43,8 @@ SAMPLE = 64
 RECALL = 0.97
 BANDS = 16
 BLOCK = 4096
+#: bytes of vectors that a task hands on at a time
+FILED_BYTES = 4 << 20
 SEED = 20_240_607
 #: vectors whose squared lengths differ by less than this share of the largest count as of one length
 LENGTH_SLACK = 1e-6
@@ -121,11 +123,15 @@ def filed(rows: DataFrame, width: int, tables: int, probes: dict[int, int] | Non
                         order = axes_in_order(y)
                         found = [(np.full(len(x), b * tables + t), order[:, :n]) for b, n in probes.items()]
                     for of, axes in found:
-                        take = pa.array(np.repeat(np.arange(len(x)), axes.shape[1]))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.repeat(of, axes.shape[1]).astype(np.int32)),
-                             pa.array(axes.ravel().astype(np.int32)), part.column("id").take(take),
-                             part.column("vector").take(take)], names=["t", "axis", "id", "vector"])
+                        row, axis = np.repeat(np.arange(len(x)), axes.shape[1]), axes.ravel().astype(np.int32)
+                        step = max(1, FILED_BYTES // (8 * width))
+                        for at_row in range(0, len(row), step):
+                            these = row[at_row:at_row + step]
+                            take = pa.array(these)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(of[these].astype(np.int32)), pa.array(axis[at_row:at_row + step]),
+                                 part.column("id").take(take), part.column("vector").take(take)],
+                                names=["t", "axis", "id", "vector"])
 
     return rows.mapInArrow(run, f"t int, axis int, id long, vector {rows.schema['vector'].dataType.simpleString()}")
 
