@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: texts are hashed in groups of about so many bytes (a longer text is a group of its own)
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 17
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -73,10 +73,11 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
         return np.frombuffer(v, "<i4" if len(v) == 4 * CHUNK else "<i8").astype(np.int64)
 
     def rows(chunks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        used = [(k, v.astype("<i4" if v.max() < 1 << 31 else "<i8").tobytes()) for k, v in chunks.items() if v.any()]
-        if used:
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in used], pa.int32()),
-                                              pa.array([v for _, v in used], pa.binary())], names=["chunk", "cells"])
+        for k, v in chunks.items():  # a chunk at a time, so neither side of the pipe holds copies of all
+            if v.any():
+                cells = v.astype("<i4" if v.max() < 1 << 31 else "<i8").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([cells], pa.binary())],
+                                                 names=["chunk", "cells"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -170,11 +171,22 @@ def parities() -> list[str]:
     return [f"p{k}" for k in range(PARITY)]
 
 
+def bit_words(values: DataFrame, bits: int) -> DataFrame:
+    """(word, bits): the words with set bits of a bitmap of ``bits`` bits in 64-bit words, in which the rows' one column
+    (long, a hash) sets bits; at most bits / 64 rows."""
+    word, bit = place(F.col(values.columns[0]), bits)
+    return values.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def place(mark: Column, bits: int) -> tuple[Column, Column]:
+    """(word, bit): where a hash has its bit."""
+    at = F.pmod(mark, F.lit(bits))
+    return F.floor(at / 64), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+
+
 def bitmap(values: DataFrame, bits: int) -> np.ndarray:
-    """``bits`` bits as 64-bit words; those of the rows' one column (long, a hash) are set."""
-    bit = F.pmod(F.col(values.columns[0]), F.lit(bits))
-    words = (values.select(F.floor(bit / 64).alias("word"), F.call_function(
-        "shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
+    """``bit_words`` as an array, on the driver."""
+    words = bit_words(values, bits).toArrow()
     out = np.zeros(bits // 64, np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out.view(np.uint64)
@@ -224,12 +236,10 @@ def classes(rows: DataFrame) -> DataFrame:
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """(doc_id, shingles array<long>) of the documents named in ids (doc_id). Only their texts go to the shingling, and
     only their sets are moved, but for the few that a bitmap of fixed size cannot rule out."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select(F.xxhash64("doc_id")), ID_BITS))
     kind = docs.schema["doc_id"].dataType.simpleString()
-
-    @F.arrow_udf("boolean")
-    def wanted(marks: pa.Array) -> pa.Array:
-        return pa.array(bit_set(shared.value, marks.to_numpy()))
+    # a broadcast of at most ID_BITS / 64 rows, so no second Python process per task holds texts back
+    words_of = F.broadcast(bit_words(ids.select(F.xxhash64("doc_id").alias("mark")), ID_BITS))
+    word, bit = place(F.xxhash64("doc_id"), ID_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in groups(batches):
@@ -239,8 +249,9 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                                                                  pa.array(h.astype(np.int64)))],
                 names=["doc_id", "shingles"])
 
-    found = (docs.where("doc_id is not null").where(wanted(F.xxhash64("doc_id"))).select("doc_id", "text")
-             .mapInArrow(run, f"doc_id {kind}, shingles array<long>"))
+    found = (docs.where("doc_id is not null").join(words_of, word == F.col("word"))
+             .where(F.col("bits").bitwiseAND(bit) != 0).select("doc_id", "text").mapInArrow(
+                 run, f"doc_id {kind}, shingles array<long>"))
     return found.join(ids, "doc_id", "left_semi")
 
 
