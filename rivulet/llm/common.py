@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +24,42 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return read_table(spark, sf_dir, name, *columns)
 
 
+#: folders that ``cut`` wrote, by the DataFrame that reads them
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of a query in here when the query ends, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back: the lineage ends there, and a lost executor
     costs only a re-read."""
     spark = df.sparkSession
-    path = scratch_dir(spark, purpose) + "/table"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = scratch_dir(spark, purpose)
+    path = folder + "/table"
+    with brief_shuffles(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = folder
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete what ``cut`` wrote for these DataFrames. Nothing made of them may be read any more, unless it was cut."""
+    for df in tables:
+        if folder := _FOLDERS.pop(df, None):
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import cut
+from rivulet.llm.common import cut, release
 
 
 def connected_components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
@@ -25,7 +25,8 @@ def connected_components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
         # small star: an id and its smaller neighbours go to the least of these
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "components")
+        last, edges = edges, cut(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "components")
+        release(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rivulet.llm.common import bound_batches, cut, packed, partitions, table
+from rivulet.llm.common import bound_batches, brief_shuffles, cut, packed, partitions, release, table
 from rivulet.llm.components import connected_components
 from rivulet.llm.shingles import groups, shingle_sets
 
@@ -88,11 +88,13 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
 
     schema = "chunk int, cells binary"
     n = min(partitions(docs.sparkSession), CELLS // CHUNK)
-    parts = docs.select("text").mapInArrow(count, schema).repartition(n, "chunk").mapInArrow(add, schema).collect()
-    cells = np.zeros((CELLS // CHUNK, CHUNK), np.int64)
+    with brief_shuffles(docs.sparkSession):
+        parts = docs.select("text").mapInArrow(count, schema).repartition(n, "chunk").mapInArrow(add, schema).collect()
+    wide = any(len(r["cells"]) > 4 * CHUNK for r in parts)
+    cells = np.zeros((CELLS // CHUNK, CHUNK), np.int64 if wide else np.int32)
     for r in parts:
         cells[r["chunk"]] = numbers(r["cells"])
-    return cells.ravel().astype(np.int32) if cells.max() < 1 << 31 else cells.ravel()
+    return cells.ravel()
 
 
 def choose_matches(excess: np.ndarray, bounds: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -186,7 +188,8 @@ def place(mark: Column, bits: int) -> tuple[Column, Column]:
 
 def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     """``bit_words`` as an array, on the driver."""
-    words = bit_words(values, bits).toArrow()
+    with brief_shuffles(values.sparkSession):
+        words = bit_words(values, bits).toArrow()
     out = np.zeros(bits // 64, np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out.view(np.uint64)
@@ -221,11 +224,24 @@ def postings(rows: DataFrame) -> DataFrame:
                  batch.column("n").take(take), batch.column("matches").take(take)],
                 names=["token", "doc_id", "pos", "n", "matches"])
 
-    least = classes(rows).select(F.col("doc_id").alias("least"))
-    found = (rows.where("n > 0 and doc_id is not null").select("doc_id", "n", "matches", "prefix")
-             .mapInArrow(run, f"token long, doc_id {kind}, pos int, n long, matches int"))
-    return (found.join(tokens, "token", "left_semi")
-            .join(cut(least.distinct(), "join-classes"), F.col("doc_id") == F.col("least"), "left_semi"))
+    named = rows.where("n > 0 and doc_id is not null").select("doc_id", "n", "matches", "prefix")
+    least = cut(classes(rows).select("doc_id").distinct(), "join-classes")
+    copies = cut(named.select("doc_id").join(least, "doc_id", "left_anti").distinct(), "join-copies")
+    found = without(named, "doc_id", copies).mapInArrow(run, f"token long, doc_id {kind}, pos int, n long, matches int")
+    posts = cut(found.join(tokens, "token", "left_semi"), "join-postings")
+    release(tokens, least, copies)
+    shared.destroy()
+    return posts
+
+
+def without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not in gone (key). Only rows that a bitmap of fixed size cannot clear are moved."""
+    words = F.broadcast(bit_words(gone.select(F.xxhash64(key).alias("mark")), ID_BITS))
+    word, bit = place(F.xxhash64(key), ID_BITS)
+    marked = rows.withColumn("_word", word).join(words, F.col("_word") == F.col("word"), "left")
+    clear = F.coalesce(F.col("bits").bitwiseAND(bit), F.lit(0)) == 0
+    return (marked.where(clear).select(rows.columns)
+            .unionByName(marked.where(~clear).select(rows.columns).join(gone, key, "left_anti").select(rows.columns)))
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -291,42 +307,62 @@ def not_far(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, marks: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
-    pairs = cut(not_far(cut(pairs, "join-pairs"), marks, percent), "join-near")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = cut(sets_of(docs, cut(ids, "join-ids"), words), "join-sets")
+    first = cut(pairs, "join-pairs")
+    pairs = cut(not_far(first, marks, percent), "join-near")
+    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "join-ids")
+    sets = cut(sets_of(docs, ids, words), "join-sets")
+    release(first, ids)
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(x, "a").join(y, "b")
-    return cut(both.where(alike(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")), percent))
-               .select("a", "b").distinct(), "join-links")
+    out = cut(both.where(alike(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")), percent))
+              .select("a", "b").distinct(), "join-links")
+    release(pairs, sets)
+    return out
 
 
-def opened(posts: DataFrame, component: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+def opened(posts: DataFrame, component: DataFrame | None, marks: DataFrame, percent: int) -> DataFrame:
     """posts of the tokens whose texts are in two or more components so far (part), with main (whether the text is in
     the component that has most of the token's texts), before (open shingles of the text before this one), index (the
-    prefix length that is enough for the smaller set of a pair) and the parity columns."""
-    now = cut(posts.join(component, F.col("doc_id") == F.col("id"), "left").select(
-        *posts.columns, F.coalesce("component", "doc_id").alias("part")), "join-parts")
-    by_part = now.groupBy("token", "part").agg(F.count("*").alias("texts"))
-    tokens = cut(by_part.groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("texts", "part")).alias("most"))
-                 .where("parts > 1").select("token", F.col("most.part").alias("most")), "join-open")
+    prefix length that is enough for the smaller set of a pair) and the parity columns. Without components each text
+    is its own part, so all tokens are open and none has a main part."""
+    if component is None:
+        here = posts.withColumns({"part": F.col("doc_id"), "main": F.lit(False)})
+        written = []
+    else:
+        now = cut(posts.join(component, F.col("doc_id") == F.col("id"), "left").select(
+            *posts.columns, F.coalesce("component", "doc_id").alias("part")), "join-parts")
+        by_part = now.groupBy("token", "part").agg(F.count("*").alias("texts"))
+        tokens = cut(by_part.groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("texts", "part"))
+                                                  .alias("most"))
+                     .where("parts > 1").select("token", F.col("most.part").alias("most")), "join-open")
+        here = now.join(tokens, "token").withColumn("main", F.col("part") == F.col("most")).drop("most")
+        written = [now, tokens]
     in_text = W.partitionBy("doc_id", "n")
-    left = now.join(tokens, "token").join(marks.select("doc_id", "n", *parities()), ["doc_id", "n"])
-    return (left.withColumn("main", F.col("part") == F.col("most")).drop("most")
-            .withColumns({"before": F.row_number().over(in_text.orderBy("pos")) - 1,
-                          "index": F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + F.col("matches")}))
+    left = here.join(marks.select("doc_id", "n", *parities()), ["doc_id", "n"])
+    out = cut(left.withColumns({
+        "before": F.row_number().over(in_text.orderBy("pos")) - 1,
+        "index": F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + F.col("matches")}),
+        "join-open-postings")
+    release(*written)
+    return out
 
 
 def pair_of(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def star_pairs(left: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Per token, one text as the middle with each text of another component."""
+def middles(left: DataFrame, marks: DataFrame, turn: int) -> DataFrame:
+    """Per token, the posting of one text. Its parity columns come after the choice: they are most of a row's bytes."""
     order = F.lit(0) if turn == 0 else F.xxhash64("token", "doc_id", F.lit(turn))
-    middle = left.groupBy("token").agg(F.min(F.struct(order.alias("order"), "doc_id", "part", "pos", "n", "before",
-                                                      *parities())).alias("y")).select("token", "y.*")
-    return (left.alias("x").join(cut(middle, "join-middles").alias("y"), "token")
+    least = F.min(F.struct(order.alias("order"), "doc_id", "part", "pos", "n", "before")).alias("y")
+    return cut(left.groupBy("token").agg(least).select("token", "y.doc_id", "y.part", "y.pos", "y.n", "y.before")
+               .join(marks.select("doc_id", "n", *parities()), ["doc_id", "n"]), "join-middles")
+
+
+def star_pairs(left: DataFrame, middle: DataFrame, percent: int) -> DataFrame:
+    """Per token, one text as the middle with each text of another component."""
+    return (left.alias("x").join(middle.alias("y"), "token")
             .where((F.col("x.part") != F.col("y.part")) & possible(percent))
             .select(*pair_of("x.doc_id", "y.doc_id")).distinct())
 
@@ -344,23 +380,20 @@ def open_pairs(left: DataFrame, percent: int) -> DataFrame:
             .where("shared >= asked").select("a", "b"))
 
 
-def links(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """(id, component) of the classes that link with another one."""
-    posts = cut(postings(rows), "join-postings")
-    marks = rows.join(cut(posts.select("doc_id").distinct(), "join-ids"), "doc_id", "left_semi").select(
-        "doc_id", "n", *parities(), "sign").distinct()
-    marks = cut(marks, "join-marks")
-    kind = posts.schema["doc_id"].dataType.simpleString()
-    component = docs.sparkSession.createDataFrame([], f"id {kind}, component {kind}")
-    found, turn, last = None, 0, False
+def links(docs: DataFrame, posts: DataFrame, marks: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """(id, component) of the classes that link with another one; None if there are none."""
+    component, found, turn, last = None, None, 0, False
     while True:
-        left = cut(opened(posts, component, marks, percent), "join-open-postings")
+        left = opened(posts, component, marks, percent)
         new = None
         if turn < STARS:
-            new = verified(star_pairs(left, turn, percent), marks, docs, words, percent)
+            middle = middles(left, marks, turn)
+            new = verified(star_pairs(left, middle, percent), marks, docs, words, percent)
+            release(middle)
             turn = STARS if new.isEmpty() else turn + 1
         if new is None or new.isEmpty():
             last, new = True, verified(open_pairs(left, percent), marks, docs, words, percent)
+        release(left)
         if not new.isEmpty():
             found = new if found is None else found.unionByName(new)
             component = connected_components(found)
@@ -372,10 +405,22 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """docs (doc_id, text) to doc_id, n_shingles, component_id: one row per input row."""
     bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    rows = cut(prefixes(docs, sketch(docs, words), words, percent), "join-prefixes")
-    component = links(docs, rows, words, percent)
-    by_set = cut(classes(rows).join(component, F.col("doc_id") == F.col("id"), "left")
-                 .select("s1", "s2", F.coalesce("component", "doc_id").alias("of_class")), "join-classes")
+    whole = cut(prefixes(docs, sketch(docs, words), words, percent), "join-prefixes")
+    posts = postings(whole)
+    named = cut(posts.select("doc_id").distinct(), "join-ids")
+    marks = cut(whole.join(named, "doc_id", "left_semi").select("doc_id", "n", *parities(), "sign").distinct(),
+                "join-marks")
+    rows = cut(whole.select("doc_id", "n", "s1", "s2"), "join-sizes")
+    release(whole, named)
+    component = links(docs, posts, marks, words, percent)
+    by_set = classes(rows)
+    if component is None:
+        by_set = by_set.withColumn("of_class", F.col("doc_id"))
+    else:
+        by_set = by_set.join(component, F.col("doc_id") == F.col("id"), "left").withColumn(
+            "of_class", F.coalesce("component", "doc_id"))
+    by_set = cut(by_set.select("s1", "s2", "of_class"), "join-classes")
+    release(posts, marks)
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("of_class"))
     return rows.select("doc_id", "n", "s1", "s2").join(by_set, ["s1", "s2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
@@ -400,6 +445,8 @@ def dedupe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     group = [F.when(wordless, F.col("doc_id")).alias("id"), F.when(wordless, F.col("mark")).alias("mark"),
              F.when(~wordless, F.col("component_id")).alias("component")]
     least = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_row")).alias("least")
-    kept = (rows.select("_row", "doc_id", mark.alias("mark")).join(found, "_row").groupBy(*group).agg(least)
-            .select("least._row"))
-    return rows.join(cut(kept, "join-kept"), "_row", "left_semi").select(*back)
+    kept = cut(rows.select("_row", "doc_id", mark.alias("mark")).join(found, "_row").groupBy(*group).agg(least)
+               .select("least._row"), "join-kept")
+    copies = cut(rows.select("_row").join(kept, "_row", "left_anti"), "join-copies")
+    release(kept)
+    return without(rows, "_row", copies).select(*back)

@@ -1,5 +1,9 @@
 import random
 import re
+import tempfile
+import time
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +12,7 @@ from pyspark.sql import functions as F
 from conftest import SF_CHECK
 from rivulet.llm import shingles as H
 from rivulet.llm import similarity_join as J
+from rivulet.llm.common import cut
 from rivulet.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string, n long, part string, component_id string"
@@ -171,3 +176,66 @@ def test_components_of_paths_stars_and_nothing(spark):
     assert got == {**{i: 0 for i in range(61)}, **{1000 + i: 1000 for i in range(50)}, 2000: 2000, 2001: 2000}
     assert connected_components(df.limit(0)).collect() == []
     assert connected_components(df.where(F.col("a") == 7).where("b = 7")).collect() == []
+
+
+def scratch(spark):
+    """Files under the checkpoint folder, by the purpose of their folder, and the session's shuffle files."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    found = Counter()
+    for at in Path(root.removeprefix("file:")).glob("rivulet/*"):
+        found[at.name.rpartition("-")[0]] += sum(1 for f in at.rglob("part-*"))
+    return found
+
+
+def test_what_no_later_step_reads_is_deleted(spark):
+    docs = spark.createDataFrame([(i, t, 1, "", "") for i, t in corpus(5)], SCHEMA)
+    before = scratch(spark)
+    out = J.near_duplicates(docs)
+    left = {k for k, n in (scratch(spark) - before).items() if n}
+    assert left <= {"join-sizes", "join-classes", "join-links", "components"}
+    assert out.count() == docs.count()
+
+
+def test_shuffle_files_go_with_the_query_and_the_setting_is_put_back(spark):
+    key, tracker = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", {}
+
+    def files():
+        return {f for d in Path(tempfile.gettempdir()).glob("blockmgr-*") for f in d.rglob("shuffle_*.data")}
+
+    before, was = files(), spark.conf.get(key)
+    cut(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test-shuffle")
+    for _ in range(50):
+        if not (tracker := files() - before):
+            break
+        time.sleep(0.1)
+    assert not tracker and spark.conf.get(key) == was
+    with pytest.raises(Exception):
+        cut(spark.range(5).select(F.raise_error(F.lit("no"))), "test-error")
+    assert spark.conf.get(key) == was
+
+
+@pytest.mark.parametrize("bits", [64, J.ID_BITS])
+def test_rows_without_keys_are_exact_whatever_the_bitmap_holds(spark, monkeypatch, bits):
+    monkeypatch.setattr(J, "ID_BITS", bits)
+    rows = spark.createDataFrame([(i % 500, f"text {i}") for i in range(1000)] + [(None, "none")], "key long, text string")
+    for gone in (range(0, 500, 3), range(0), range(500)):
+        ids = spark.createDataFrame([(i,) for i in gone], "key long")
+        got = sorted((r.key, r.text) for r in J.without(rows, "key", ids).collect() if r.key is not None)
+        assert got == sorted((i % 500, f"text {i}") for i in range(1000) if i % 500 not in set(gone))
+        assert J.without(rows, "key", ids).where("key is null").count() == 1
+
+
+def test_the_stage_does_not_move_the_texts_that_stay(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefgh ", k=2000)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    auto = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(auto)
+    spark.conf.set(auto, "-1")
+    try:
+        out = J.dedupe_stage(spark, df, "")
+        assert out.count() == 300
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(auto, was)
+    assert "BroadcastHashJoin" in plan
