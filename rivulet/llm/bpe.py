@@ -23,7 +23,7 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -154,11 +154,22 @@ class Words(dict):
 
 
 class Codec:
-    """Encoder and decoder of one tokenizer."""
+    """Encoder and decoder of one tokenizer. What only one of the two needs is made when it is first used."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.split, self.words = splitter(pattern).findall, Words(ranks)
-        self.piece = {rank: piece for piece, rank in ranks.items()}
+        self.ranks, self.pattern = ranks, pattern
+
+    @cached_property
+    def split(self):
+        return splitter(self.pattern).findall
+
+    @cached_property
+    def words(self) -> Words:
+        return Words(self.ranks)
+
+    @cached_property
+    def piece(self) -> dict[int, bytes]:
+        return {rank: piece for piece, rank in self.ranks.items()}
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.split(text)))
