@@ -1,8 +1,6 @@
 import random
 import re
-import tempfile
 import time
-from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -10,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_CHECK
+from rivulet.llm import common
 from rivulet.llm import shingles as H
 from rivulet.llm import similarity_join as J
 from rivulet.llm.common import cut
@@ -178,37 +177,30 @@ def test_components_of_paths_stars_and_nothing(spark):
     assert connected_components(df.where(F.col("a") == 7).where("b = 7")).collect() == []
 
 
-def scratch(spark):
-    """Files under the checkpoint folder, by the purpose of their folder, and the session's shuffle files."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    found = Counter()
-    for at in Path(root.removeprefix("file:")).glob("rivulet/*"):
-        found[at.name.rpartition("-")[0]] += sum(1 for f in at.rglob("part-*"))
-    return found
-
-
-def test_what_no_later_step_reads_is_deleted(spark):
-    docs = spark.createDataFrame([(i, t, 1, "", "") for i, t in corpus(5)], SCHEMA)
-    before = scratch(spark)
+def test_what_no_later_step_reads_is_deleted(spark, monkeypatch):
+    made, make = [], common.scratch_dir
+    monkeypatch.setattr(common, "scratch_dir", lambda *a: made.append(make(*a)) or made[-1])
+    docs = spark.createDataFrame([(i, t, 1, "", "") for i, t in corpus(5, groups=4)], SCHEMA)
     out = J.near_duplicates(docs)
-    left = {k for k, n in (scratch(spark) - before).items() if n}
-    assert left <= {"join-sizes", "join-classes", "join-links", "components"}
-    assert out.count() == docs.count()
+    left = {Path(d).name.rpartition("-")[0] for d in made if any(Path(d.removeprefix("file:")).rglob("part-*"))}
+    assert {"join-sizes", "join-classes"} <= left <= {"join-sizes", "join-classes", "join-links", "components"}
+    assert len(made) > 10 and out.count() == docs.count()
 
 
 def test_shuffle_files_go_with_the_query_and_the_setting_is_put_back(spark):
-    key, tracker = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", {}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = [d.toString() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
 
     def files():
-        return {f for d in Path(tempfile.gettempdir()).glob("blockmgr-*") for f in d.rglob("shuffle_*.data")}
+        return {f for d in own for f in Path(d).rglob("shuffle_*.data")}
 
     before, was = files(), spark.conf.get(key)
     cut(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test-shuffle")
     for _ in range(50):
-        if not (tracker := files() - before):
+        if not (left := files() - before):
             break
         time.sleep(0.1)
-    assert not tracker and spark.conf.get(key) == was
+    assert not left and spark.conf.get(key) == was
     with pytest.raises(Exception):
         cut(spark.range(5).select(F.raise_error(F.lit("no"))), "test-error")
     assert spark.conf.get(key) == was
