@@ -12,11 +12,11 @@ shares at least the smaller l of the two.
    one class only are dropped, before any row is moved where a bitmap of fixed size shows it.
 3. Stars: each prefix shingle proposes pairs of one member and each other, a number of rows that is linear in the
    shingle's. Verified pairs make components. This joins large groups of near copies without all their pairs. The
-   first round takes the least id as the middle, the next ones a member by hash, for open shingles (whose texts are
-   still in several components), until a round finds nothing new.
-4. What remains are pairs of texts of different components: all that share enough open prefix shingles, and that size
-   and place of the shared shingles allow, are verified. No pair is left out, and pairs within a component need no
-   check.
+   first round's middle is the text with the fewest rarer shingles, the next ones' is a member by hash, for open
+   shingles (whose texts are still in several components), until a round finds nothing new.
+4. What remains are pairs of texts of different components: all that share enough open prefix shingles, and that size,
+   place and earlier open shingles of the shared ones allow, are verified. No pair is left out, and pairs within a
+   component need no check.
 
 Before their sets are moved, pairs are held against the sets' signs: parity bits, about one per shingle, that prove most
 pairs of unlike texts too far apart. Verification intersects the whole sets of the others, which are made again from the
@@ -55,6 +55,8 @@ TOKEN_BITS = 1 << 26
 ID_BITS = 1 << 23
 #: parity bits that a set is summed up in, as PARITY columns of 64 bits
 PARITY = 4
+#: longs that the open shingles of a text before one of them are summed up in, a parity bit for each bit
+EARLIER = 4
 #: star rounds at most; the last step does the rest in any case
 STARS = 2
 
@@ -173,6 +175,10 @@ def parities() -> list[str]:
     return [f"p{k}" for k in range(PARITY)]
 
 
+def earlier() -> list[str]:
+    return [f"e{k}" for k in range(EARLIER)]
+
+
 def bit_words(values: DataFrame, bits: int) -> DataFrame:
     """(word, bits): the words with set bits of a bitmap of ``bits`` bits in 64-bit words, in which the rows' one column
     (long, a hash) sets bits; at most bits / 64 rows."""
@@ -276,14 +282,26 @@ def alike(size: Column, other: Column, shared: Column, percent: int) -> Column:
     return 100 * shared >= percent * (size + other - shared)
 
 
+def differing(columns: list[str]) -> Column:
+    """Parity bits that differ between x and y: their sets differ in one shingle at least for each."""
+    return sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in columns), F.lit(0))
+
+
+def shared_before() -> Column:
+    """At most so many shingles two texts share before a token of both prefixes: such are in both prefixes, so open, and
+    parity bits show some open ones that only one text has."""
+    both = F.col("x.before") + F.col("y.before") - differing(earlier())
+    return F.least("x.before", "y.before", F.floor(both / 2))
+
+
 def possible(percent: int) -> Column:
     """Of a pair of postings x and y with one token: whether sizes, places and parity bits leave room for enough shared
-    shingles. What two texts share before a token of both prefixes is in both prefixes, so open; from the token on they
-    share at most what either still has; and they differ in one shingle at least for each parity bit that differs."""
+    shingles. What two texts share before the token is bounded by ``shared_before``; from the token on they share at
+    most what either still has; and they differ in one shingle at least for each parity bit that differs."""
     need = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
-    here = F.least("x.before", "y.before") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    differ = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in parities()), F.lit(0))
-    return (here >= need) & (F.least("x.n", "y.n") >= need) & (differ <= F.col("x.n") + F.col("y.n") - 2 * need)
+    here = shared_before() + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    return ((F.least("x.n", "y.n") >= need) & (differing(parities()) <= F.col("x.n") + F.col("y.n") - 2 * need)
+            & (here >= need))
 
 
 def not_far(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
@@ -323,9 +341,10 @@ def verified(pairs: DataFrame, marks: DataFrame, docs: DataFrame, words: int, pe
 
 def opened(posts: DataFrame, component: DataFrame | None, marks: DataFrame, percent: int) -> DataFrame:
     """posts of the tokens whose texts are in two or more components so far (part), with main (whether the text is in
-    the component that has most of the token's texts), before (open shingles of the text before this one), index (the
-    prefix length that is enough for the smaller set of a pair) and the parity columns. Without components each text
-    is its own part, so all tokens are open and none has a main part."""
+    the component that has most of the token's texts), before (open shingles of the text before this one), e0.. (EARLIER
+    columns of their parity bits), index (the prefix length that is enough for the smaller set of a pair) and the parity
+    columns of the whole set. Without components each text is its own part, so all tokens are open and none has a main
+    part."""
     if component is None:
         here = posts.withColumns({"part": F.col("doc_id"), "main": F.lit(False)})
         written = []
@@ -338,10 +357,14 @@ def opened(posts: DataFrame, component: DataFrame | None, marks: DataFrame, perc
                      .where("parts > 1").select("token", F.col("most.part").alias("most")), "join-open")
         here = now.join(tokens, "token").withColumn("main", F.col("part") == F.col("most")).drop("most")
         written = [now, tokens]
-    in_text = W.partitionBy("doc_id", "n")
+    in_text = W.partitionBy("doc_id", "n").orderBy("pos")
+    so_far = in_text.rowsBetween(W.unboundedPreceding, W.currentRow)
+    word, bit = place(F.col("token"), 64 * EARLIER)
+    own = [F.when(word == k, bit).otherwise(F.lit(0).cast("long")) for k in range(EARLIER)]
     left = here.join(marks.select("doc_id", "n", *parities()), ["doc_id", "n"])
     out = cut(left.withColumns({
-        "before": F.row_number().over(in_text.orderBy("pos")) - 1,
+        "before": F.row_number().over(in_text) - 1,
+        **{e: F.bit_xor(b).over(so_far).bitwiseXOR(b) for e, b in zip(earlier(), own, strict=True)},
         "index": F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + F.col("matches")}),
         "join-open-postings")
     release(*written)
@@ -353,10 +376,13 @@ def pair_of(x: str, y: str) -> list[Column]:
 
 
 def middles(left: DataFrame, marks: DataFrame, turn: int) -> DataFrame:
-    """Per token, the posting of one text. Its parity columns come after the choice: they are most of a row's bytes."""
-    order = F.lit(0) if turn == 0 else F.xxhash64("token", "doc_id", F.lit(turn))
-    least = F.min(F.struct(order.alias("order"), "doc_id", "part", "pos", "n", "before")).alias("y")
-    return cut(left.groupBy("token").agg(least).select("token", "y.doc_id", "y.part", "y.pos", "y.n", "y.before")
+    """Per token, the posting of one text: first of the text with the fewest rarer shingles, which of near copies is the
+    one with the fewest edits, so that most others link with it. Its parity columns come after the choice: they are most
+    of a row's bytes."""
+    order = F.col("pos").cast("long") if turn == 0 else F.xxhash64("token", "doc_id", F.lit(turn))
+    held = ["doc_id", "part", "pos", "n", "before", *earlier()]
+    least = F.min(F.struct(order.alias("order"), *held)).alias("y")
+    return cut(left.groupBy("token").agg(least).select("token", *[f"y.{c}" for c in held])
                .join(marks.select("doc_id", "n", *parities()), ["doc_id", "n"]), "join-middles")
 
 
@@ -367,17 +393,21 @@ def star_pairs(left: DataFrame, middle: DataFrame, percent: int) -> DataFrame:
             .select(*pair_of("x.doc_id", "y.doc_id")).distinct())
 
 
-def open_pairs(left: DataFrame, percent: int) -> DataFrame:
-    """All candidates of different components, once each. A token's texts of its main component are compared with the
-    others, not with each other."""
+def open_matches(left: DataFrame, percent: int) -> DataFrame:
+    """(a, b, asked) for each open prefix shingle that two texts of different components share. A token's texts of its
+    main component are compared with the others, not with each other."""
     smaller = F.struct("x.n", "x.doc_id") < F.struct("y.n", "y.doc_id")
     early = F.when(smaller, F.col("x.pos") < F.col("x.index")).otherwise(F.col("y.pos") < F.col("y.index"))
     once = F.col("y.main") | (F.col("x.doc_id") < F.col("y.doc_id"))
     both = left.where("not main").alias("x").join(left.alias("y"), (F.col("x.token") == F.col("y.token")) & once & early
                                                   & (F.col("x.part") != F.col("y.part")) & possible(percent))
-    return (both.groupBy(*pair_of("x.doc_id", "y.doc_id"))
-            .agg(F.count("*").alias("shared"), F.min(F.least("x.matches", "y.matches")).alias("asked"))
-            .where("shared >= asked").select("a", "b"))
+    return both.select(*pair_of("x.doc_id", "y.doc_id"), F.least("x.matches", "y.matches").alias("asked"))
+
+
+def open_pairs(left: DataFrame, percent: int) -> DataFrame:
+    """All candidates of different components, once each."""
+    return (open_matches(left, percent).groupBy("a", "b")
+            .agg(F.count("*").alias("shared"), F.min("asked").alias("asked")).where("shared >= asked").select("a", "b"))
 
 
 def links(docs: DataFrame, posts: DataFrame, marks: DataFrame, words: int, percent: int) -> DataFrame | None:

@@ -102,6 +102,37 @@ def test_large_group_of_near_copies_and_hot_passage(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def edited_copies(seed, count):
+    """Copies of one text of 150 words with 1 to 6 words replaced: many of them link with no other."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(150)]
+    out = []
+    for i in range(count):
+        words = list(base)
+        for k, at in enumerate(rng.sample(range(150), rng.randint(1, 6))):
+            words[at] = f"x{i}_{k}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_rows_matched_in_a_group_of_edited_copies_are_not_its_square(spark, monkeypatch):
+    made, match = [], J.open_matches
+    monkeypatch.setattr(J, "open_matches", lambda *a: made.append(match(*a).count()) or match(*a))
+    for count in (200, 400):
+        rows = edited_copies(6, count)
+        want = brute(rows)
+        assert run(spark, rows) == want
+        assert len({c for _, _, c in want}) > count // 10
+    assert len(made) == 2 and made[0] <= 5 * 200 and made[1] <= 5 * 400
+
+
+def test_signs_of_earlier_shingles_never_rule_out_a_pair_that_links(spark, monkeypatch):
+    monkeypatch.setattr(J, "EARLIER", 1)
+    monkeypatch.setattr(J, "STARS", 0)
+    rows = corpus(8) + [(1000 + i, t) for i, t in edited_copies(8, 60)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_whole_table_against_brute_force_on_an_inverted_index(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text").collect()]
     sets = {i: shingles(t) for i, t in rows}
