@@ -44,9 +44,9 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
-def _ranges(wanted: str) -> str:
-    """Inner part of a character class: all characters whose Unicode category starts with ``wanted``."""
-    codes = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == wanted]
+def _ranges(wanted: str, limit: int) -> str:
+    """Inner part of a character class: all characters below ``limit`` whose Unicode category starts with ``wanted``."""
+    codes = [c for c in range(limit) if unicodedata.category(chr(c))[0] == wanted]
     runs, start = [], None
     for a, b in zip(codes, [*codes[1:], -1], strict=True):
         start = a if start is None else start
@@ -60,10 +60,11 @@ def _ranges(wanted: str) -> str:
 SPACE = r"\t-\r \x85\xa0  -     　"
 
 
-@lru_cache(maxsize=4)
-def splitter(pattern: str) -> re.Pattern:
-    """The tokenizer's pattern for Python's re: \\p{L}, \\p{N} and Unicode's \\s are spelled out."""
-    inside = {r"\p{L}": _ranges("L"), r"\p{N}": _ranges("N"), r"\s": SPACE}
+@lru_cache(maxsize=12)
+def compiled(pattern: str, limit: int) -> re.Pattern:
+    """The tokenizer's pattern for Python's re, for texts of code points below ``limit``: \\p{L}, \\p{N} and Unicode's \\s
+    are spelled out."""
+    inside = {r"\p{L}": _ranges("L", limit), r"\p{N}": _ranges("N", limit), r"\s": SPACE}
     out, i, depth = [], 0, 0
     while i < len(pattern):
         for name, chars in inside.items():
@@ -82,6 +83,30 @@ def splitter(pattern: str) -> re.Pattern:
     return re.compile("".join(out))
 
 
+class Splitter:
+    """findall and finditer of the tokenizer's pattern, with classes no wider than the text: re looks up characters in a
+    table up to 0xFFFF, and holds all others of a class range by range against each character that the class lacks."""
+
+    def __init__(self, pattern: str):
+        self.pattern = pattern
+
+    def _of(self, text: str) -> re.Pattern:
+        if text.isascii():
+            return compiled(self.pattern, 1 << 7)
+        wide = len(text.encode("utf-16-le", "surrogatepass")) > 2 * len(text)
+        return compiled(self.pattern, sys.maxunicode + 1 if wide else 1 << 16)
+
+    def findall(self, text: str) -> list[str]:
+        return self._of(text).findall(text)
+
+    def finditer(self, text: str, at: int = 0) -> Iterator[re.Match]:
+        return self._of(text).finditer(text, at)
+
+
+def splitter(pattern: str) -> Splitter:
+    return Splitter(pattern)
+
+
 def fold(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece."""
     whole = ranks.get(piece)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +31,20 @@ def test_ids_equal_tiktoken():
         assert codec.decode(ids) == text.encode()
 
 
+def test_a_text_is_split_by_classes_no_wider_than_itself():
+    whole, split = bpe.compiled(PATTERN, sys.maxunicode + 1), bpe.splitter(PATTERN)
+    last = (1 << 7, 1 << 16, sys.maxunicode + 1)
+    rng = random.Random(7)
+    for limit in last:
+        bits = [c for c in (*BITS, "\uffff", "\uff21", "\U00010000", "\U0001d400", "\U0010ffff") if max(map(ord, c)) < limit]
+        for _ in range(300):
+            text = "".join(rng.choices(bits, k=rng.randint(0, 40)))
+            assert split.findall(text) == whole.findall(text)
+            at = rng.randint(0, len(text))
+            assert [m.span() for m in split.finditer(text, at)] == [m.span() for m in whole.finditer(text, at)]
+    assert [split._of(t) for t in ("a", "é", "a😀")] == [bpe.compiled(PATTERN, n) for n in last]
+
+
 def test_word_table_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
     codec = bpe.Codec(RANKS, PATTERN)
